@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.llm import vec
+from lakeloom.llm.chunks import ChunkEncoder
 from lakeloom.llm.common import only
 
 LONG = 1024
