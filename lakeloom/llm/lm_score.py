@@ -1,24 +1,28 @@
-"""Language-model scoring with a probabilistic suffix tree.
-
-A text is its lower-cased words and an end; a word is spelled by its bytes and a
-space, the end is one symbol. The tree's states are contexts of up to DEPTH
-preceding symbols, reaching over word borders but not before the text's start.
-A context is a candidate if it is at least `least_context` of all training
-symbols (so there are at most 1 / least_context of a length, whatever the
-input), and is retained if what follows it differs from what follows its longest
-proper suffix: its count times the Kullback-Leibler divergence must reach
-`gain` nats for each of its symbols. Retained contexts keep all their suffixes.
-Distributions are discounted and interpolated with the suffix's, and every
-symbol is scored by the longest retained suffix of what precedes it.
-
-The unigram base needs the count of every word. Words of at least
-`least_context` of all tokens are at most 1 / least_context and are sent to all
-tasks; the others are joined.
+"""Language-model scoring with a probabilistic suffix tree over words.
+
+A text's symbols are its lower-cased words and one end. The root gives a word
+(c + 0.5) / (N + 0.5 (V + 1)), unknown words being one symbol. Deeper states are
+the contexts of up to `depth` preceding symbols, a text's start reading as an
+end. Contexts are counted length by length: one is a candidate if it is at least
+`least_context` of all training symbols, and a following word is counted by name
+if the two together are at least `least_entry` and occur twice. So a length has
+at most 1 / least_context contexts and 1 / least_entry entries, whatever the
+input, which bounds what is sent to the driver and to every task.
+
+A candidate is retained if what follows it differs from what follows its longest
+proper suffix: its count times the Kullback-Leibler divergence must reach `gain`
+nats for every word it names. Its suffixes are retained with it. Counts are
+discounted and the mass left goes to the suffix's distribution; every symbol is
+scored by the longest retained suffix of what precedes it.
+
+Words too rare for an entry have the root's probability times the masses left;
+their counts, of any number, are joined instead of broadcast.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -29,246 +33,235 @@ from pyspark.sql import functions as F
 from lakeloom.llm import vec
 from lakeloom.llm.common import id_crc, only, written
 
-DEPTH, DISCOUNT, END, GAP = 6, 0.75, 10, 32
+DISCOUNT = 0.75
 U64 = np.uint64
-END_WORD = vec.mix(np.array([END], U64))[0]
-
-
-def symbols(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The symbol streams of texts, one after another, and the bounds of each: words with a space after each, then the end."""
-    texts = len(bounds) - 1
-    sizes = ends - starts + 1
-    word_to = np.concatenate([[0], np.cumsum(sizes)])
-    text = np.repeat(np.arange(texts), np.diff(bounds))
-    out = np.full(int(word_to[-1]) + texts, GAP, np.uint8)
-    if len(starts):
-        inside = ends - starts
-        before = np.cumsum(inside) - inside
-        run = np.arange(int(inside.sum())) - np.repeat(before, inside)
-        out[np.repeat(word_to[:-1] + text, inside) + run] = data[np.repeat(starts, inside) + run]
-    cuts = word_to[bounds] + np.arange(texts + 1)
-    out[cuts[1:] - 1] = END
-    return out, cuts
-
-
-def grams(stream: np.ndarray, cuts: np.ndarray) -> np.ndarray:
-    """For every symbol: itself in the low byte, the one before it in the next, ...; the start of a text reads as an end, and nothing before that."""
-    n = len(stream)
-    place = np.arange(n) - np.repeat(cuts[:-1], np.diff(cuts))
-    out = stream.astype(U64)
-    for d in range(1, DEPTH + 1):
-        before = np.zeros(n, U64)
-        before[d:] = stream[:-d]
-        before[place < d] = 0
-        before[place == d - 1] = END
-        out |= before << U64(8 * d)
-    return out
-
-
-def summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    k, c = np.concatenate(keys), np.concatenate(counts)
-    if not len(k):
-        return k, c
-    order = np.argsort(k, kind="stable")
-    k, c = k[order], c[order]
-    first = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
-    return k[first], np.add.reduceat(c, first)
-
-
-def read(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For runs of texts: rows, word hashes and bounds, symbol stream and cuts."""
-    for i, j, data, offs in vec.slabs(column):
-        data = vec.LOWER[data]
-        starts, ends, bounds = vec.word_spans(data, offs)
-        yield i, j, vec.span_hashes(data, starts, ends), bounds, *symbols(data, starts, ends, bounds)
+END = vec.mix(np.array([10], U64))[0]
 
 
-def counts(docs: DataFrame, fold: int) -> DataFrame:
-    """kind (0: word, 1: symbol with DEPTH before it), key and n over all training texts; summed in each task before the exchange."""
+def find(table: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Places of values in a sorted table; -1 where they are missing."""
+    if not len(table):
+        return np.full(len(values), -1, np.int64)
+    at = np.minimum(np.searchsorted(table, values), len(table) - 1)
+    return np.where(table[at] == values, at, -1)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list] = {0: [[], []], 1: [[], []]}
-        fresh = {0: 0, 1: 0}
-        for batch in batches:
-            train = np.array([id_crc(x) % 5 != fold for x in batch.column(0).to_pylist()])
-            for i, j, words, bounds, stream, cuts in read(batch.column(1)):
-                own = train[i:j]
-                n_words = np.diff(bounds)
-                words = np.concatenate([words[np.repeat(own, n_words)], np.full(int(own.sum()), END_WORD, U64)])
-                for kind, keys in ((0, words), (1, grams(stream, cuts)[np.repeat(own, np.diff(cuts))])):
-                    k, c = np.unique(keys, return_counts=True)
-                    held[kind][0].append(k)
-                    held[kind][1].append(c)
-                    fresh[kind] += len(k)
-                    if fresh[kind] > 2 * len(held[kind][0][0]) + 2_000_000:
-                        held[kind] = [[x] for x in summed(*held[kind])]
-                        fresh[kind] = len(held[kind][0][0])
-        for kind in (0, 1):
-            if held[kind][0]:
-                k, c = summed(*held[kind])
-                for a in range(0, len(k), 100_000):
-                    part = k[a : a + 100_000]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), kind, np.int8)), pa.array(part.view(np.int64)), pa.array(c[a : a + 100_000].astype(np.int64))], ["kind", "key", "n"])
-
-    return docs.mapInArrow(run, "kind tinyint, key bigint, n bigint").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+
+@dataclass
+class Level:
+    """Contexts of one length. Entry keys are context << 32 | word."""
+
+    entries: np.ndarray  # sorted keys
+    counts: np.ndarray  # of the entries
+    totals: np.ndarray  # of the contexts
+    suffix: np.ndarray  # of each context, the context one shorter (none at length 1)
+    context_of: np.ndarray  # of each entry, the context one longer that it is, or -1
+    kept: np.ndarray = field(default_factory=lambda: np.zeros(0, bool))
+    rest: np.ndarray = field(default_factory=lambda: np.zeros(0))  # log10 of the mass each context leaves to its suffix
+    ratio: np.ndarray = field(default_factory=lambda: np.zeros(0))  # of each entry, log10 of its probability over the root's
 
 
 class SuffixTree:
-    """Retained contexts by length, with the log10 of what they give to their symbols and to their suffix."""
-
-    def __init__(self, root: tuple[np.ndarray, np.ndarray], levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]], gain: float):
-        """root: symbols and counts. levels, for lengths 1, 2, ...: contexts, counts, (context, symbol) entries and counts; all sorted."""
-        base = np.full(256, 0.5)
-        base[root[0].astype(np.int64)] += root[1]
-        self.root = np.log10(base / base.sum())
-        self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
-        marks = []
-        for contexts, total, entries, n in levels:
-            of = np.searchsorted(contexts, entries >> U64(8))
-            lower = 10 ** self.log10(entries, len(self.levels))  # by the suffixes so far
-            divergence = np.bincount(of, n * np.log(n / total[of] / lower), len(contexts))
-            marks.append(divergence >= gain * np.bincount(of, minlength=len(contexts)))
-            own = np.bincount(of, n - DISCOUNT, len(contexts)) / total
-            rest = np.maximum(1 - own, 1e-9)
-            p = (n - DISCOUNT) / total[of] + rest[of] * lower
-            self.levels.append((contexts, np.log10(rest), entries, np.log10(p)))
-        keep = np.zeros(0, bool)
-        for d in range(len(levels) - 1, -1, -1):  # longest first: whoever is kept keeps its suffix
-            contexts = levels[d][0]
-            keep_here = marks[d].copy()
-            if d + 1 < len(levels):
-                longer = levels[d + 1][0][keep]
-                at = np.searchsorted(contexts, longer & U64((1 << 8 * (d + 1)) - 1))
-                keep_here[at] = True
-            keep = keep_here
-            c, rest, entries, p = self.levels[d]
-            of = np.searchsorted(c, entries >> U64(8))
-            self.levels[d] = (c[keep], rest[keep], entries[keep[of]], p[keep[of]])
-
-    @property
-    def states(self) -> int:
-        return sum(len(x[0]) for x in self.levels)
-
-    def log10(self, keys: np.ndarray, depth: int | None = None) -> np.ndarray:
-        """Of P(symbol | longest retained suffix of up to `depth` symbols before it)."""
-        out = np.zeros(len(keys))
-        todo = np.arange(len(keys))
-        for d in range(len(self.levels) if depth is None else depth, 0, -1):
-            contexts, rest, entries, p = self.levels[d - 1]
-            if not len(contexts) or not len(todo):
-                continue
-            own = keys[todo] & U64((1 << 8 * (d + 1)) - 1)
-            at = np.minimum(np.searchsorted(contexts, own >> U64(8)), len(contexts) - 1)
-            here = contexts[at] == own >> U64(8)
-            if len(entries):
-                e = np.minimum(np.searchsorted(entries, own), len(entries) - 1)
-                named = here & (entries[e] == own)
-                out[todo[named]] += p[e[named]]
+    """words: sorted hashes of the words that can have entries; first: the length-1 context of each, or -1."""
+
+    def __init__(self, words: np.ndarray, counts: np.ndarray, first: np.ndarray, root: np.ndarray):
+        self.words, self.counts, self.first, self.root, self.levels = words, counts, first, root, []
+
+    def ids(self, hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the symbols of texts, ends included, -1 for rare words; and which symbols begin a text."""
+        begins = np.zeros(len(hashes), bool)
+        begins[bounds[:-1]] = True
+        return find(self.words, hashes), begins
+
+    def walk(self, ids: np.ndarray, begins: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each length, the context of every symbol (-1: no candidate) and its entry (-1: not named); after the last level, the contexts still to be counted."""
+        end = find(self.words, np.array([END], U64))[0]
+        before = np.concatenate([[end], ids[:-1]])
+        before[begins] = end
+        context = np.where(before >= 0, self.first[before] if len(self.first) else -1, -1)
+        for level in self.levels:
+            entry = np.where((context >= 0) & (ids >= 0), find(level.entries, (context << 32) | ids), -1)
+            yield context, entry
+            longer = np.where(entry >= 0, level.context_of[entry] if len(level.context_of) else -1, -1)
+            context = np.concatenate([[-1], longer[:-1]]) if len(longer) else longer
+            context[begins] = -1
+        yield context, np.full(len(ids), -1, np.int64)
+
+    def add(self, keys: np.ndarray, counts: np.ndarray, totals: np.ndarray, least: float) -> None:
+        """Adds the entries counted for the next length; those of at least `least` become contexts one longer."""
+        order = np.argsort(keys)
+        keys, counts = keys[order], counts[order]
+        context_of = np.full(len(keys), -1, np.int64)
+        longer = np.flatnonzero(counts >= least)
+        context_of[longer] = np.arange(len(longer))
+        suffix = np.full(len(totals), -1, np.int64)
+        if self.levels:
+            last = self.levels[-1]
+            made = np.flatnonzero(last.context_of >= 0)  # the entry that each context is
+            word = last.entries[made] & 0xFFFFFFFF
+            if len(self.levels) == 1:
+                suffix = self.first[word]
             else:
-                named = np.zeros(len(todo), bool)
-            out[todo[here & ~named]] += rest[at[here & ~named]]
-            todo = todo[~named]
-        out[todo] += self.root[(keys[todo] & U64(255)).astype(np.int64)]
+                shorter = self.levels[-2]
+                suffix = shorter.context_of[find(shorter.entries, (last.suffix[last.entries[made] >> 32] << 32) | word)]
+        self.levels.append(Level(keys, counts, totals, suffix, context_of))
+
+    def totals(self) -> np.ndarray:
+        """Counts of the contexts of the next length."""
+        if not self.levels:
+            return self.counts[self.first >= 0]
+        last = self.levels[-1]
+        return last.counts[last.context_of >= 0]
+
+    def ratio_at(self, depth: int, context: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """log10 of P(word | context of that length) over the root's."""
+        out, todo = np.zeros(len(context)), np.arange(len(context))
+        for d in range(depth, 0, -1):
+            level = self.levels[d - 1]
+            entry = find(level.entries, (context[todo] << 32) | word[todo])
+            out[todo] += np.where(entry >= 0, level.ratio[entry] if len(level.ratio) else 0.0, level.rest[context[todo]])
+            todo = todo[entry < 0]
+            if not len(todo):
+                break
+            context = context.copy()
+            context[todo] = level.suffix[context[todo]]
         return out
 
+    def finish(self, gain: float) -> None:
+        """Smooths from the shortest contexts on, then tests divergences and retains from the longest on."""
+        tests = []
+        for d, level in enumerate(self.levels, 1):
+            context, word = level.entries >> 32, level.entries & 0xFFFFFFFF
+            total = level.totals[context]
+            shorter = self.ratio_at(d - 1, level.suffix[context], word) if d > 1 else np.zeros(len(word))
+            root = self.root[word]
+            lower = 10 ** (shorter + root)
+            n = len(level.totals)
+            named = np.bincount(context, level.counts - DISCOUNT, n) / level.totals
+            left = np.maximum(1 - named, 1e-9)
+            level.rest = np.log10(left)
+            p = (level.counts - DISCOUNT) / total + left[context] * lower
+            level.ratio = np.log10(p) - root
+            other = np.maximum(1 - np.bincount(context, lower, n), 1e-12)
+            mass = np.maximum(1 - np.bincount(context, level.counts, n) / level.totals, 1e-12)
+            divergence = np.bincount(context, level.counts * np.log(level.counts / total / lower), n) + level.totals * mass * np.log(mass / other)
+            tests.append(divergence >= gain * np.bincount(context, minlength=n))
+        kept = np.zeros(0, bool)
+        for level, test in zip(reversed(self.levels), reversed(tests), strict=True):
+            level.kept = test.copy()
+            if len(kept):
+                level.kept[longer_suffix[kept]] = True
+            kept, longer_suffix = level.kept, level.suffix
+
+    def log_ratios(self, hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """For every symbol, log10 of its probability by the longest retained suffix over the root's."""
+        ids, begins = self.ids(hashes, bounds)
+        steps = list(self.walk(ids, begins))[: len(self.levels)]
+        out, todo = np.zeros(len(ids)), np.ones(len(ids), bool)
+        for level, (context, entry) in zip(reversed(self.levels), reversed(steps), strict=True):
+            at = np.flatnonzero(todo & (context >= 0))
+            at = at[level.kept[context[at]]]
+            named = entry[at] >= 0
+            out[at] += np.where(named, level.ratio[entry[at]] if len(level.ratio) else 0.0, level.rest[context[at]])
+            todo[at[named]] = False
+        return out
 
-class Scorer:
-    """Scores streams, with a table of the grams met last: one place for each hash, so that it never grows."""
 
-    def __init__(self, tree: SuffixTree, bits: int = 21):
-        self.tree, self.shift = tree, U64(64 - bits)
-        self.key, self.value = np.full(1 << bits, (1 << 64) - 1, U64), np.zeros(1 << bits)
+def symbols(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """For runs of texts: rows, the hashes of their words with an end after each text, and the bounds of each."""
+    for i, j, data, offs in vec.slabs(column):
+        data = vec.LOWER[data]
+        starts, ends, bounds = vec.word_spans(data, offs)
+        yield i, j, np.insert(vec.span_hashes(data, starts, ends), bounds[1:], END), bounds + np.arange(j - i + 1)
+
 
-    def __call__(self, keys: np.ndarray) -> np.ndarray:
-        at = (keys * U64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
-        out = self.value[at]
-        lost = np.flatnonzero(self.key[at] != keys)
-        if len(lost):
-            fresh, back = np.unique(keys[lost], return_inverse=True)
-            value = self.tree.log10(fresh)
-            out[lost] = value[back]
-            at = (fresh * U64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
-            self.key[at], self.value[at] = fresh, value
-        return out
+def counted(docs: DataFrame, fold: int, tree: SuffixTree | None) -> DataFrame:
+    """key and n over the training texts: of words without a tree, else of (context << 32 | word) for the tree's next length. Summed in each task before the exchange."""
+    shared = docs.sparkSession.sparkContext.broadcast(tree)
 
+    def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        k, c = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.argsort(k, kind="stable")
+        k, c = k[order], c[order]
+        first = np.flatnonzero(np.append(True, k[1:] != k[:-1])) if len(k) else np.zeros(0, np.int64)
+        return k[first], np.add.reduceat(c, first) if len(k) else c
 
-def arrays(df: DataFrame) -> list[np.ndarray]:
-    """The columns of a bounded result, as unsigned keys and float counts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, parts, fresh = shared.value, [], 0
+        for batch in batches:
+            train = np.array([id_crc(x) % 5 != fold for x in batch.column(0).to_pylist()], bool)
+            for i, j, hashes, bounds in symbols(batch.column(1)):
+                use = np.repeat(train[i:j], np.diff(bounds))
+                if own is None:
+                    keys = hashes[use].view(np.int64)
+                else:
+                    ids, begins = own.ids(hashes, bounds)
+                    *_, (context, _) = own.walk(ids, begins)
+                    keys = ((context << 32) | ids)[use & (context >= 0) & (ids >= 0)]
+                parts.append(np.unique(keys, return_counts=True))
+                fresh += len(parts[-1][0])
+                if fresh > 2 * len(parts[0][0]) + 2_000_000:
+                    parts = [merged(parts)]
+                    fresh = len(parts[0][0])
+        if parts:
+            k, c = merged(parts)
+            for a in range(0, len(k), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(k[a : a + 100_000]), pa.array(c[a : a + 100_000].astype(np.int64))], ["key", "n"])
+
+    return docs.mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+
+
+def arrays(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """key and n of a bounded result."""
     got = df.toArrow()
-    return [got.column(0).to_numpy().view(U64).copy(), *(got.column(k).to_numpy().astype(np.float64) for k in range(1, got.num_columns))]
-
-
-def grown(table: DataFrame, least_context: float, least_entry: float, gain: float) -> SuffixTree:
-    """The tree from counts of symbols with DEPTH before them. Only contexts and entries above their least shares reach the driver."""
-    total = table.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
-    levels, at = [], table
-    for d in range(DEPTH, -1, -1):
-        if d < DEPTH:
-            at = written(at.groupBy(F.col("key").bitwiseAND((1 << 8 * (d + 1)) - 1).alias("key")).agg(F.sum("n").alias("n")), f"grams-{d}")
-        if d:
-            contexts = at.groupBy(F.shiftrightunsigned("key", 8).alias("context")).agg(F.sum("n").alias("total")).where(F.col("total") >= least_context * total)
-            c, n = arrays(contexts)
-            order = np.argsort(c)
-            c, n = c[order], n[order]
-            e, m = arrays(at.where(F.col("n") >= max(2.0, least_entry * total)))
-            order = np.argsort(e)
-            e, m = e[order], m[order]
-            if len(c):
-                place = np.minimum(np.searchsorted(c, e >> U64(8)), len(c) - 1)
-                known = c[place] == e >> U64(8)
-                e, m = e[known], m[known]
-            else:
-                e, m = e[:0], m[:0]
-            levels.insert(0, (c, n, e, m))
-    for d in range(1, len(levels)):  # a context's suffix is at least as frequent; keep the rule where a text's start cuts it
-        c, n, e, m = levels[d]
-        parent = levels[d - 1][0]
-        suffix = c & U64((1 << 8 * d) - 1)
-        ok = np.isin(suffix, parent)
-        levels[d] = (c[ok], n[ok], *((e[np.isin(e >> U64(8), c[ok])], m[np.isin(e >> U64(8), c[ok])])))
-    return SuffixTree(tuple(arrays(at)), levels, gain)
-
-
-def scores(docs: DataFrame, text: str = "text", fold: int = 1, least_context: float = 1e-6, least_entry: float = 1e-7, gain: float = 2.0) -> DataFrame:
+    return got.column("key").to_numpy(), got.column("n").to_numpy()
+
+
+def scores(docs: DataFrame, text: str = "text", fold: int = 1, depth: int = 3, least_context: float = 5e-7, least_entry: float = 2e-7, gain: float = 1.0) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row.
 
     Texts whose crc32(doc_id as text) mod 5 is `fold` are held out of all counts; a null doc_id counts as the empty text. Null and empty texts are the end alone.
-    Repeated rows count and are scored each. Without training texts the base gives every token probability 1 and the tree is its uniform root.
+    Repeated rows count and are scored each. Without training texts both scores are 0. Words count as equal if their 64-bit hashes are.
     """
     slim = only(docs, doc_id="doc_id", text=text).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    table = written(counts(slim, fold), "counts")
-    words, symbols_ = table.where("kind = 0").select("key", "n"), table.where("kind = 1").select("key", "n")
+    words = written(counted(slim, fold, None), "words")
     size = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     tokens, distinct = size["n"], size["v"]
-    often = max(1.0, least_context * tokens)
+    below = float(np.log10(tokens + 0.5 * (distinct + 1)))
+    often = max(2.0, least_entry * tokens)
     k, c = arrays(words.where(F.col("n") >= often))
-    order = np.argsort(k)
-    shared = docs.sparkSession.sparkContext.broadcast((k[order], c[order], grown(symbols_, least_context, least_entry, gain)))
+    order = np.argsort(k.view(U64))
+    k, c = k.view(U64)[order], c[order]
+    first, wide = np.full(len(k), -1, np.int64), max(2.0, least_context * tokens)
+    first[c >= wide] = np.arange(int((c >= wide).sum()))
+    tree = SuffixTree(k, c, first, np.log10(c + 0.5) - below)
+    for _ in range(depth):
+        totals = tree.totals()
+        if not len(totals):
+            break
+        tree.add(*arrays(counted(slim, fold, tree).where(F.col("n") >= often)), totals, wide)
+    tree.finish(gain)
+    shared = docs.sparkSession.sparkContext.broadcast(tree)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, known_n, tree = shared.value
-        scorer, row = Scorer(tree), TaskContext.get().partitionId() << 36
+        own, row = shared.value, TaskContext.get().partitionId() << 36
         for batch in batches:
             held = [id_crc(x) % 5 == fold for x in batch.column(0).to_pylist()]
-            for i, j, hashes, bounds, stream, cuts in read(batch.column(1)):
+            for i, j, hashes, bounds in symbols(batch.column(1)):
                 texts = j - i
-                n_words = np.diff(bounds)
-                # the end is every text's last word
-                hashes = np.insert(hashes, bounds[1:], END_WORD)
-                owner = np.repeat(np.arange(texts), n_words + 1)
-                at = np.minimum(np.searchsorted(known, hashes), max(len(known) - 1, 0))
-                frequent = known[at] == hashes if len(known) else np.zeros(len(hashes), bool)
-                log = np.bincount(owner[frequent], np.log10(known_n[at[frequent]] + 0.5) if len(known) else None, texts)
-                n_known = np.bincount(owner[frequent], minlength=texts)
-                rare = np.flatnonzero(~frequent)
+                owner = np.repeat(np.arange(texts), np.diff(bounds))
+                ids = find(own.words, hashes)
+                named = ids >= 0
+                log = np.bincount(owner[named], own.root[ids[named]], texts)
+                rare = np.flatnonzero(~named)
                 lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(owner[rare], np.arange(texts + 1)).astype(np.int32)), pa.array(hashes[rare].view(np.int64)))
-                score = np.add.reduceat(scorer(grams(stream, cuts)), cuts[:-1])
-                yield pa.RecordBatch.from_arrays([pa.array(row + np.arange(texts)), batch.column(0).slice(i, texts), pa.array(held[i:j]), pa.array((n_words + 1).astype(np.int64)), pa.array(n_known.astype(np.int64)), pa.array(log), pa.array(score), lists], ["row", "doc_id", "held_out", "n_tokens", "often", "log", "score", "rare"])
+                more = np.bincount(owner, own.log_ratios(hashes, bounds), texts)
+                columns = [row + np.arange(texts), held[i:j], np.diff(bounds), np.bincount(owner[named], minlength=texts), log, more]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, texts), *map(pa.array, columns), lists], ["doc_id", "row", "held_out", "n_tokens", "often", "log", "more", "rare"])
                 row += texts
 
-    scored = written(slim.mapInArrow(run, "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, often bigint, log double, score double, rare array<bigint>"), "scored")
+    scored = written(slim.mapInArrow(run, "doc_id bigint, row bigint, held_out boolean, n_tokens bigint, often bigint, log double, more double, rare array<bigint>"), "scored")
     met = scored.select("row", F.explode("rare").alias("key")).groupBy("row", "key").agg(F.count("*").alias("times"))
-    rest = met.join(words.where(F.col("n") < often), "key", "left").groupBy("row").agg(F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("rare_known"), F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("rare_log"))
-    below = float(np.log10(tokens + 0.5 * (distinct + 1)))
-    out = scored.drop("rare").join(rest, "row", "left")
-    return out.select("doc_id", "held_out", "n_tokens", (F.col("often") + F.coalesce("rare_known", F.lit(0))).alias("n_known"), F.lit(int(tokens)).cast("long").alias("train_tokens"), (F.col("log") + F.coalesce("rare_log", F.lit(0.0)) - F.col("n_tokens") * F.lit(below)).alias("base_score"), "score")
+    known = F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)
+    rest = met.join(words.where(F.col("n") < often), "key", "left").groupBy("row").agg(F.sum(known).alias("rare_known"), F.sum(F.col("times") * (F.log10(F.coalesce("n", F.lit(0)) + 0.5) - F.lit(below))).alias("rare_log"))
+    base = F.col("log") + F.coalesce("rare_log", F.lit(0.0))
+    return scored.drop("rare").join(rest, "row", "left").select("doc_id", "held_out", "n_tokens", (F.col("often") + F.coalesce("rare_known", F.lit(0))).alias("n_known"), F.lit(int(tokens)).cast("long").alias("train_tokens"), base.alias("base_score"), (base + F.col("more")).alias("score"))
