@@ -1,17 +1,413 @@
-"""Registered queries of the record-linkage engine and their SQL."""
+"""Registered queries of the record-linkage engine, over whole tables, and their SQL.
+
+Records are the stand-ins of lakeloom.sources.records; truth is equal raw text
+between an anchor and a target. Counts are BIGINT, ratios rounded to 6 places.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lakeloom.functions import normalize as N
+from lakeloom.functions import similarity as S
+from lakeloom.operators import blocking as B
+from lakeloom.operators import decision as D
+from lakeloom.operators import evaluate as E
+from lakeloom.operators import features as X
+from lakeloom.operators import model as M
+from lakeloom.operators import validate as V
+from lakeloom.plans.linkage import sides
+from lakeloom.sources import records as R
+
+FLAGSHIP = "assemble_matches"
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+THRESHOLD = 0.5
+
+# pieces of SQL -------------------------------------------------------------------
+
+_WORDS = "|".join(w for w in N.LEGAL_SUFFIXES if " " not in w)
+
+
+def _clean(x: str) -> str:
+    return f"trim(regexp_replace(regexp_replace(strip_accents(lower(coalesce({x}, ''))), '[^\\x00-\\x7F]', '', 'g'), '[^A-Za-z0-9_]+', ' ', 'g'))"
+
+
+def _name(x: str) -> str:
+    alias = f"case when contains({x}, ' dba ') then string_split({x}, ' dba ')[-1] when contains({x}, ' doing business as ') then string_split({x}, ' doing business as ')[-1] else {x} end"
+    return f"regexp_replace({alias}, '(^| )({_WORDS})( ({_WORDS}))*$', '')"
+
+
+def _address(x: str) -> str:
+    words = "map {" + ", ".join(f"'{a}': '{b}'" for a, b in N.ADDRESS_WORDS.items()) + "}"
+    return f"array_to_string(list_transform(string_split({x}, ' '), lambda w: coalesce({words}[w], w)), ' ')"
+
+
+def _country(x: str) -> str:
+    whens = " ".join(f"when {x} in ({', '.join(repr(n) for n in names)}) then '{code}'" for code, names in N.COUNTRIES.items())
+    return f"case {whens} else {x} end"
+
+
+def _tokens(x: str) -> str:
+    return f"list_distinct(list_filter(string_split({x}, ' '), lambda w: w <> ''))"
+
+
+def _grams(x: str, n: int) -> str:
+    bare = f"replace({x}, ' ', '')"
+    return f"list_distinct(list_transform(range(1, greatest(length({bare}) - {n} + 2, 1)), lambda i: substr({bare}, i, {n})))"
+
+
+def _jaccard(a: str, b: str) -> str:
+    both = f"len(list_intersect({_tokens(a)}, {_tokens(b)}))"
+    return f"case when {a} = '' or {b} = '' then 0.0 else {both}::double / (len({_tokens(a)}) + len({_tokens(b)}) - {both}) end"
+
+
+RECORDS = f"""
+cleaned as materialized (select doc_id, text, lang, {_clean("text")} as t from documents),
+split as (select *, string_split(t, ' ') as w from cleaned),
+records as materialized (
+    select 'S' || (doc_id % 3 + 1) || '-' || doc_id as record_id, array_to_string(w[1:6], ' ') as name, array_to_string(w[greatest(len(w) - 5, 1):len(w)], ' ') as address, lang as country, text
+    from split
+),
+anchors as (select * from records where starts_with(record_id, 'S1-')),
+targets as (select * from records where not starts_with(record_id, 'S1-')),
+truth as (select distinct a.record_id as id_1, b.record_id as id_2 from anchors a join targets b on a.text = b.text)"""
+PARTIES = f"""
+records as materialized (
+    select 'S1-' || c_custkey as record_id, {_clean("c_name")} as name, lower(c_mktsegment) as address, lower(n_name) as country from customer left join nation on c_nationkey = n_nationkey
+    union all select 'S2-' || s_suppkey, {_clean("s_name")}, '', lower(n_name) from supplier left join nation on s_nationkey = n_nationkey
+    union all select 'S3-' || p_partkey, {_clean("p_name")}, {_clean("p_type")}, '' from part
+),
+anchors as (select * from records where starts_with(record_id, 'S1-')),
+targets as (select * from records where not starts_with(record_id, 'S1-'))"""
+
+
+def _rare(name: str, column: str, cap: int) -> str:
+    keyed = lambda t: f"(select distinct record_id, unnest({_tokens(column)}) as key from {t})"
+    return f"""
+{name}_post as materialized (select record_id, key from {keyed("targets")} where length(key) > 2),
+{name}_rare as (select key from {name}_post group by key having count(*) <= {cap}),
+{name} as (select distinct a.record_id as id_1, p.record_id as id_2 from {keyed("anchors")} a join {name}_post p using (key) join {name}_rare using (key) where length(a.key) > 2)"""
+
+
+EXACT = "exact_name as (select distinct a.record_id as id_1, b.record_id as id_2 from anchors a join targets b on trim(a.name) = trim(b.name) where trim(a.name) <> '')"
+CANDIDATES = f"{EXACT}, {_rare('rare_name', 'name', 10)}, {_rare('rare_address', 'address', 10)}, candidates as materialized (select * from exact_name union select * from rare_name union select * from rare_address)"
+SCORED = f"""
+wide as (select c.id_1, c.id_2, a.name as n1, b.name as n2, a.address as a1, b.address as a2 from candidates c join records a on a.record_id = c.id_1 join records b on b.record_id = c.id_2),
+scored as materialized (
+    select id_1, id_2, ({_jaccard("n1", "n2")} + {_jaccard("a1", "a2")}) / 2 as score, case when t.id_1 is null then 0 else 1 end as label
+    from wide left join truth t using (id_1, id_2)
+)"""
+ALL = f"with {RECORDS}, {CANDIDATES}, {SCORED}"
+
+# pieces of Spark -----------------------------------------------------------------
+
+
+def query(sql: str | None = None) -> Callable:
+    def keep(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return keep
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.from_documents(spark, sf_dir)
+
+
+def _truth(records: DataFrame) -> DataFrame:
+    a, t = sides(records.select("record_id", "text"))
+    return a.select(F.col("record_id").alias("id_1"), "text").join(t.select(F.col("record_id").alias("id_2"), "text"), "text").select("id_1", "id_2").distinct()
+
+
+def _candidates(records: DataFrame) -> DataFrame:
+    return B.retrieve(*sides(records.select("record_id", "name", "address")))
+
+
+def _scored(records: DataFrame) -> DataFrame:
+    """Candidates with the unsupervised score of the two set similarities, and labels."""
+    wide = X.attributes(_candidates(records), records, ["name", "address"])
+    rows = wide.select("id_1", "id_2", S.jaccard(F.col("name_1"), F.col("name_2")).alias("name_jaccard"), S.jaccard(F.col("address_1"), F.col("address_2")).alias("addr_jaccard"))
+    return E.label_pairs(X.baseline_score(rows), _truth(records)).select("id_1", "id_2", "score", "label")
+
+
+def _r6(c: str) -> Column:
+    return F.round(F.col(c), 6).alias(c)
+
+
+# normalization -------------------------------------------------------------------
+
+
+@query(f"select doc_id, {_clean('text')} as cleaned from documents")
+def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "documents").select("doc_id", N.clean_text("text").alias("cleaned"))
+
+
+@query(f"with c as (select doc_id, {_clean('text')} as t from documents) select doc_id, {_name('t')} as name from c")
+def normalize_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "documents").select("doc_id", N.clean_text("text").alias("t")).select("doc_id", N.clean_name(F.col("t")).alias("name"))
+
+
+@query(f"with c as (select doc_id, {_clean('text')} as t from documents) select doc_id, {_address('t')} as address from c")
+def normalize_address(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "documents").select("doc_id", N.clean_text("text").alias("t")).select("doc_id", N.clean_address(F.col("t")).alias("address"))
+
+
+@query(f"with c as (select n_nationkey, {_clean('n_name')} as t from nation) select n_nationkey, {_country('t')} as country from c")
+def normalize_country(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "nation").select("n_nationkey", N.clean_text("n_name").alias("t")).select("n_nationkey", N.clean_country(F.col("t")).alias("country"))
+
+
+@query(f"with c as (select doc_id, {_clean('text')} as t from documents) select doc_id, len({_tokens('t')})::bigint as n_tokens, array_to_string(list_sort({_tokens('t')}), ' ') as tokens from c")
+def tokens_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = _table(spark, sf_dir, "documents").select("doc_id", N.tokens(N.clean_text("text")).alias("w"))
+    return words.select("doc_id", F.size("w").cast("long").alias("n_tokens"), F.array_join(F.array_sort("w"), " ").alias("tokens"))
+
+
+@query(f"with c as (select p_partkey, {_clean('p_name')} as t from part) select p_partkey, len({_grams('t', 3)})::bigint as n_grams, array_to_string(list_sort({_grams('t', 3)}), ' ') as grams from c")
+def char_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = _table(spark, sf_dir, "part").select("p_partkey", N.clean_text("p_name").alias("t"))
+    grams = cleaned.select("p_partkey", N.char_ngrams("t", 3).alias("g"))
+    return grams.select("p_partkey", F.size("g").cast("long").alias("n_grams"), F.array_join(F.array_sort("g"), " ").alias("grams"))
+
+
+# sources, filters, splits --------------------------------------------------------
+
+
+@query(f"with {PARTIES} select * from records")
+def union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.from_parties(spark, sf_dir)
+
+
+@query(f"with {RECORDS} select record_id, name, address, country, starts_with(record_id, 'S1-') as is_anchor from records")
+def anchors_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _records(spark, sf_dir).select("record_id", "name", "address", "country", R.is_anchor().alias("is_anchor"))
+
+
+@query(f"with {RECORDS} select record_id, record_id in (select id_1 from truth) as has_truth from anchors")
+def semi_anti_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = _records(spark, sf_dir)
+    anchors, known = sides(records)[0].select("record_id"), _truth(records).select(F.col("id_1").alias("record_id")).distinct()
+    return anchors.join(known, "record_id", "left_semi").withColumn("has_truth", F.lit(True)).unionAll(anchors.join(known, "record_id", "left_anti").withColumn("has_truth", F.lit(False)))
+
+
+@query(f"with {RECORDS}, k as (select count(distinct id_1) as n from truth) select least(300, (select count(*) from anchors))::bigint as sampled, least(300, n)::bigint as with_truth from k")
+def anchor_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The capped training sample; the cap is the operator's own, scaled to the test tables."""
+    records = _records(spark, sf_dir)
+    known = _truth(records).select(F.col("id_1").alias("anchor")).distinct()
+    chosen = E.capped_anchors(sides(records)[0].select("record_id"), known, 300)
+    return chosen.join(known.withColumn("t", F.lit(1)), F.col("record_id") == F.col("anchor"), "left").agg(F.count("*").alias("sampled"), F.count("t").alias("with_truth"))
+
+
+@query(f"{ALL}, n as (select label, count(*) as n from scored group by label) select label, ceil(0.2 * n)::bigint as held_out, (n - ceil(0.2 * n))::bigint as trained from n")
+def stratified_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    split = E.holdout(_scored(_records(spark, sf_dir)))
+    return split.groupBy("label").agg(F.sum(F.col("held_out").cast("long")).alias("held_out"), F.sum((~F.col("held_out")).cast("long")).alias("trained"))
+
+
+# blocking ------------------------------------------------------------------------
+
+
+@query(f"with {RECORDS}, {EXACT} select * from exact_name")
+def block_exact_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return B.exact_name(*sides(_records(spark, sf_dir)))
+
+
+@query(f"with {RECORDS}, {_rare('rare_name', 'name', 10)} select * from rare_name")
+def block_rare_token_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return B.rare_token(*sides(_records(spark, sf_dir)), "name", 10)
+
+
+@query(f"with {RECORDS}, {_rare('rare_address', 'address', 10)} select * from rare_address")
+def block_rare_token_address(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return B.rare_token(*sides(_records(spark, sf_dir)), "address", 10)
+
+
+@query(
+    f"""with {RECORDS},
+    post as materialized (select record_id, unnest({_grams("name", 3)}) as key from targets),
+    rare as (select key from post group by key having count(*) <= 200),
+    asked as (select record_id, unnest({_grams("name", 3)}) as key from anchors)
+    select a.record_id as id_1, p.record_id as id_2 from asked a join post p using (key) join rare using (key) group by all having count(*) >= 2"""
+)
+def block_ngram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return B.ngram(*sides(_records(spark, sf_dir)))
+
+
+def _token_sql(column: str, cap: int) -> str:
+    return f"""select distinct a.record_id as id_1, b.record_id as id_2 from {column}_key a join {column}_key b using (key) join {column}_ok using (key) where a.record_id < b.record_id"""
+
+
+def _token_with(column: str, cap: int) -> str:
+    return f"""{column}_key as materialized (select record_id, key from (select record_id, unnest({_tokens(column)}) as key from records) where length(key) > 2),
+    {column}_ok as (select key from {column}_key group by key having count(*) between 2 and {cap})"""
+
+
+@query(f"with {RECORDS}, {_token_with('name', 20)} {_token_sql('name', 20)}")
+def block_token(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return B.token(_records(spark, sf_dir), "name", max_token_freq=20)
+
+
+@query(f"with {RECORDS}, {_token_with('name', 20)}, {_token_with('address', 20)} {_token_sql('name', 20)} union {_token_sql('address', 20)}")
+def block_layered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return B.layered(_records(spark, sf_dir))
+
+
+@query("with r as (select 'S3-' || p_partkey as record_id, p_brand, p_type, p_size from part) select a.record_id as id_1, b.record_id as id_2 from r a join r b using (p_brand, p_type, p_size) where a.record_id < b.record_id")
+def block_exact_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = _table(spark, sf_dir, "part").withColumn("record_id", F.concat(F.lit("S3-"), F.col("p_partkey").cast("string")))
+    return B.exact_key(part, ["p_brand", "p_type", "p_size"])
+
+
+@query(f"with {PARTIES}, {_rare('rare_name', 'name', 100)} select * from rare_name")
+def block_rare_token_parties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return B.rare_token(*sides(R.from_parties(spark, sf_dir)), "name", 100)
+
+
+@query(f"with {RECORDS}, {CANDIDATES} select * from candidates")
+def candidates_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _candidates(_records(spark, sf_dir))
+
+
+@query(f"with {RECORDS}, {CANDIDATES} select record_id as source1_entity_id, coalesce(string_agg(id_2, ',' order by id_2), '') as candidate_entity_ids from anchors left join candidates on id_1 = record_id group by record_id")
+def candidate_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = _records(spark, sf_dir)
+    return D.candidate_lists(_candidates(records), sides(records)[0])
+
+
+# features, scores, labels --------------------------------------------------------
+
+
+def _exact(a: str, b: str) -> str:
+    return f"case when {a} = '' or {b} = '' then 0.0 else ({a} = {b})::int::double end"
+
+
+@query(f"with {RECORDS}, {CANDIDATES}, wide as (select c.*, a.name as n1, b.name as n2, a.address as a1, b.address as a2 from candidates c join records a on a.record_id = c.id_1 join records b on b.record_id = c.id_2) select id_1, id_2, {_exact('n1', 'n2')} as name_exact_match, round({_jaccard('n1', 'n2')}, 6) as name_jaccard, {_exact('a1', 'a2')} as addr_exact_match, round({_jaccard('a1', 'a2')}, 6) as addr_jaccard from wide")
+def features_exact_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = _records(spark, sf_dir)
+    n1, n2, a1, a2 = (F.col(c) for c in ("name_1", "name_2", "address_1", "address_2"))
+    wide = X.attributes(_candidates(records), records, ["name", "address"])
+    return wide.select("id_1", "id_2", S.exact_match(n1, n2).alias("name_exact_match"), F.round(S.jaccard(n1, n2), 6).alias("name_jaccard"), S.exact_match(a1, a2).alias("addr_exact_match"), F.round(S.jaccard(a1, a2), 6).alias("addr_jaccard"))
+
+
+@query(f"with {RECORDS}, {CANDIDATES} select id_1, id_2, -1.0::double as city_match, -1.0::double as state_match, case when a.country = '' or b.country = '' then -1.0 else (a.country = b.country)::int::double end as country_match, -1.0::double as zip_match from candidates join records a on a.record_id = id_1 join records b on b.record_id = id_2")
+def features_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = _records(spark, sf_dir)
+    return X.attributes(_candidates(records), records, list(X.AGREEMENTS.values())).select("id_1", "id_2", *X.agreement_features())
+
+
+@query()
+def features_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ten features; the sequence ratio has no SQL (tests compare it with difflib)."""
+    records = _records(spark, sf_dir)
+    return X.build_features(records, _candidates(records))
+
+
+@query()
+def baseline_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = _records(spark, sf_dir)
+    return X.baseline_score(X.build_features(records, _candidates(records))).select("id_1", "id_2", "score")
+
+
+@query(f"{ALL} select id_1, id_2, label from scored")
+def label_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = _records(spark, sf_dir)
+    return E.label_pairs(_candidates(records), _truth(records)).select("id_1", "id_2", "label")
+
+
+@query(f"with {RECORDS}, listed as (select id_1 as anchor, string_agg(id_2, ',') as matches from truth group by id_1), each as (select anchor, unnest(string_split(matches, ',')) as m from listed) select least(anchor, m) as id_1, greatest(anchor, m) as id_2 from each")
+def explode_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """List-form truth, as a ground-truth file has it, back to pairs."""
+    listed = _truth(_records(spark, sf_dir)).groupBy(F.col("id_1").alias("anchor")).agg(F.array_join(F.collect_set("id_2"), ",").alias("matches"))
+    return E.explode_matches(listed)
+
+
+@query()
+def train_gbt_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trees fitted on every labelled candidate, and their scores of the same."""
+    records = _records(spark, sf_dir)
+    rows = E.label_pairs(X.build_features(records, _candidates(records)), _truth(records)).persist()
+    return M.PairModel({"maxIter": 20}).fit(rows).predict(rows).select("id_1", "id_2", "label", "score")
+
+
+# decision ------------------------------------------------------------------------
+
+_F = "case when 0.25 * p + r > 0 then 1.25 * p * r / (0.25 * p + r) else 0 end"
+_PR = "case when tp + fp > 0 then tp / (tp + fp)::double else 0 end as p, case when tp + fn > 0 then tp / (tp + fn)::double else 0 end as r"
+
+
+@query(
+    f"""{ALL}, g as (select 0.01::double + i * (0.98::double / 99) as threshold from range(100) t(i)),
+    c as (select threshold, count(*) filter (label = 1 and score >= threshold) as tp, count(*) filter (label = 0 and score >= threshold) as fp, count(*) filter (label = 1 and score < threshold) as fn from g, scored group by threshold),
+    m as (select *, {_PR} from c)
+    select round(threshold, 6) as threshold, tp as true_positives, fp as false_positives, fn as false_negatives, round({_F}, 6) as f_beta from m"""
+)
+def threshold_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = D.sweep(_scored(_records(spark, sf_dir)))
+    return out.select(_r6("threshold"), "true_positives", "false_positives", "false_negatives", _r6("f_beta"))
+
+
+@query(f"{ALL}, c as (select count(*) filter (label = 1 and score >= 0.5) as tp, count(*) filter (label = 0 and score >= 0.5) as fp, count(*) filter (label = 1 and score < 0.5) as fn from scored), m as (select *, {_PR} from c) select tp as true_positives, fp as false_positives, fn as false_negatives, round({_F}, 6) as f_beta from m")
+def f_beta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = D.f_beta_score(_scored(_records(spark, sf_dir)).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int")))
+    return out.select("true_positives", "false_positives", "false_negatives", _r6("f_beta"))
+
+
+@query(f"{ALL} select record_id as source1_entity_id, coalesce(string_agg(id_2, ',' order by id_2), '') as matched_entity_ids from anchors left join (select * from scored where score >= 0.5) on id_1 = record_id group by record_id")
+def assemble_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = _records(spark, sf_dir)
+    return D.assemble_matches(_scored(records), THRESHOLD, sides(records)[0])
+
+
+@query(f"{ALL} select record_id from anchors where record_id not in (select id_1 from scored where score >= 0.5)")
+def singletons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = _records(spark, sf_dir)
+    return D.singletons(sides(records)[0], _scored(records).where(F.col("score") >= THRESHOLD), "id_1")
+
+
+# evaluation and checks -----------------------------------------------------------
+
+
+@query(f"{ALL}, pred as (select id_1, id_2 from scored where score >= 0.5), c as (select (select count(*) from (select * from pred intersect select * from truth)) as tp, (select count(*) from (select * from pred except select * from truth)) as fp, (select count(*) from (select * from truth except select * from pred)) as fn), m as (select *, {_PR} from c) select round(p, 6) as precision, round(r, 6) as recall, round({_F}, 6) as f0_5, tp as true_positives, fp as false_positives, fn as false_negatives from m")
+def match_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = _records(spark, sf_dir)
+    out = E.match_metrics(_scored(records).where(F.col("score") >= THRESHOLD), _truth(records))
+    return out.select(_r6("precision"), _r6("recall"), _r6("f0_5"), "true_positives", "false_positives", "false_negatives")
+
+
+@query(f"with {RECORDS}, {CANDIDATES}, n as (select count(*)::double as n from records) select round((select count(*) from (select * from candidates intersect select * from truth)) / (select count(*) from truth)::double, 6) as pair_completeness, round(1 - (select count(*) from candidates) / (n * (n - 1) / 2), 6) as reduction_ratio, (select count(*) from candidates)::double as candidate_count, (select count(*) from truth)::double as true_match_count, (select count(*) from (select * from candidates intersect select * from truth))::double as matches_found from n where (select count(*) from truth) > 0")
+def blocking_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = _records(spark, sf_dir)
+    out = E.blocking_metrics(_candidates(records), _truth(records), records.agg(F.count("*").alias("n")))
+    return out.select(_r6("pair_completeness"), _r6("reduction_ratio"), "candidate_count", "true_match_count", "matches_found")
+
+
+def _errors_sql(wrong: str, against: str) -> str:
+    return f"{ALL}, pred as (select id_1, id_2 from scored where score >= 0.5), e as (select * from {wrong} except select * from {against}) select id_1, id_2, a.name as name_1, a.country as country_1, b.name as name_2, b.country as country_2 from e left join records a on a.record_id = id_1 left join records b on b.record_id = id_2"
+
 
-FLAGSHIP = "tables"
+@query(_errors_sql("pred", "truth"))
+def false_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = _records(spark, sf_dir)
+    return E.false_merges(_scored(records).where(F.col("score") >= THRESHOLD), _truth(records), records)
 
 
-def tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/nation.parquet")
+@query(_errors_sql("truth", "pred"))
+def missed_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = _records(spark, sf_dir)
+    return E.missed_matches(_scored(records).where(F.col("score") >= THRESHOLD), _truth(records), records)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"tables": tables}
-ORACLE_SQL: dict[str, str] = {"tables": "select * from nation"}
+@query(f"with {RECORDS} select (select count(*) from anchors) as rows, true as columns_ok, 0::bigint as nulls, true as valid")
+def validate_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return V.findings(assemble_matches(spark, sf_dir), V.RESULT, ["matched_entity_ids"])
