@@ -11,6 +11,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # fixed values
 LEGAL_SUFFIXES = ["inc", "incorporated", "corp", "corporation", "llc", "l l c", "plc", "ltd", "limited", "co", "company", "lp", "llp", "gmbh", "sa", "nv"]
@@ -35,7 +36,7 @@ _WORDS = "|".join(w for w in LEGAL_SUFFIXES if " " not in w)
 SUFFIX_RUN = f"(^| )({_WORDS})( ({_WORDS}))*$"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _fold(text: pd.Series) -> pd.Series:
     return text.map(lambda x: "" if x is None else x.lower() if x.isascii() else unicodedata.normalize("NFKD", x.lower()).encode("ascii", "ignore").decode(), na_action=None)
 

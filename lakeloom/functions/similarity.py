@@ -7,6 +7,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from lakeloom.functions.normalize import tokens
 
@@ -26,7 +27,7 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when(blank(a, b) | (F.size(x) == 0) | (F.size(y) == 0), 0.0).otherwise(both / (F.size(x) + F.size(y) - both))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def _ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     known: dict[tuple[str, str], float] = {}  # of this batch
 
