@@ -18,12 +18,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir as the cluster names it; set here only where it is unset."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = f"file://{tempfile.gettempdir()}/checkpoints"
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named.rstrip("/")
+    """The folder that driver and executors share: spark.checkpoint.dir as the cluster names it; a local one only where it is unset, as in tests."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    return (named or f"file://{tempfile.gettempdir()}/checkpoints").rstrip("/")
 
 
 def written(df: DataFrame, name: str, partition_by: str | None = None, **options: str) -> DataFrame:
