@@ -29,37 +29,38 @@ from lakeloom.llm.chunks import ChunkEncoder
 from lakeloom.llm.common import only
 
 LONG = 1024
-#: state: the tokens of the words that still change, with the least (rank, position) of any pair of each word; words whose best is null are done.
+#: state: the tokens of the words that still change, in the order of their places, with the least (rank, place) of any pair of each word; words whose best is null are done.
 ENCODE = """
-with recursive state(word, pos, tok, best) as (
-    select word, pos, tok, min(rank) over (partition by word)
+with recursive state(place, word, tok, best) as (
+    select place, word, tok, min(rank) over (partition by word)
     from (
-        select s.word, s.pos, s.tok, m.id::bigint << 32 | s.pos as rank
-        from (select word, pos, tok, lead(tok) over (partition by word order by pos) as follower from start) s
+        select s.place, s.word, s.tok, m.id::bigint << 32 | s.place as rank
+        from (select place, word, tok, case when lead(word) over w = word then lead(tok) over w end as follower from start window w as (order by place)) s
         left join merges m on m.a = s.tok and m.b = s.follower
     )
     union all
-    select word, pos, tok, min(rank) over (partition by word)
+    select place, word, tok, min(rank) over (partition by word)
     from (
-        select s.word, s.pos, s.tok, m.id::bigint << 32 | s.pos as rank
+        select s.place, s.word, s.tok, m.id::bigint << 32 | s.place as rank
         from (
-            select word, pos, tok, lead(tok) over (partition by word order by pos) as follower
+            select place, word, tok, case when lead(word) over w = word then lead(tok) over w end as follower
             from (
-                select word, pos, (if(pos = best & 4294967295, best >> 32, tok))::integer as tok
-                from (select *, lag(pos) over (partition by word order by pos) as previous from state where best is not null)
-                where previous is null or previous <> best & 4294967295
+                select place, word, (if(place = best & 4294967295, best >> 32, tok))::integer as tok
+                from (select *, lag(place) over (order by place) as previous, lag(word) over (order by place) as before from state where best is not null)
+                where before is null or before <> word or previous <> best & 4294967295
             )
+            window w as (order by place)
         ) s
         left join merges m on m.a = s.tok and m.b = s.follower
     )
 )
-select word, pos, tok from state where best is null order by word, pos
+select word, tok from state where best is null order by place
 """
-#: Decoding: the bytes of each text's tokens in the order of their places.
+#: Decoding: the bytes of each text's tokens in the order of their places, every byte as the character of that number.
 DECODE = """
-select t.text, unhex(string_agg(v.hex, '' order by t.place)) as bytes
+select t.text, string_agg(v.bytes, '' order by t.place) as bytes
 from ids t join vocabulary v on v.id = t.id
-group by t.text order by t.text
+group by t.text
 """
 
 
@@ -108,13 +109,13 @@ class Contractor:
 
         self.ranks = ranks
         self.folder = tempfile.TemporaryDirectory()
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "220MB", "temp_directory": self.folder.name})
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "150MB", "temp_directory": self.folder.name})
         a, b, n = merge_rows(ranks)
         merges = pa.table({"a": pa.array(a, pa.int32()), "b": pa.array(b, pa.int32()), "id": pa.array(n, pa.int32())})
         self.con.register("given", merges)
         self.con.execute("create table merges as select * from given")
         self.con.unregister("given")
-        vocabulary = pa.table({"id": pa.array(ranks.values(), pa.int32()), "hex": [t.hex() for t in ranks]})
+        vocabulary = pa.table({"id": pa.array(ranks.values(), pa.int32()), "bytes": [t.decode("latin-1") for t in ranks]})
         self.con.register("given", vocabulary)
         self.con.execute("create table vocabulary as select * from given")
         self.con.unregister("given")
@@ -128,7 +129,7 @@ class Contractor:
             return out
         self.con.register("ids", pa.table({"text": texts, "place": np.arange(len(ids), dtype=np.int64), "id": ids.astype(np.int32)}))
         for text, data in self.con.sql(DECODE).fetchall():
-            out[text] = data
+            out[text] = data.encode("latin-1")
         self.con.unregister("ids")
         return out
 
@@ -159,8 +160,7 @@ class Contractor:
         size = np.array([len(w) for w in words])
         ends = np.cumsum(size)
         flat = np.frombuffer(b"".join(words), np.uint8)
-        place = np.arange(ends[-1]) - np.repeat(ends - size, size)
-        self.con.register("start", pa.table({"word": np.repeat(np.arange(len(words), dtype=np.int32), size), "pos": place.astype(np.int32), "tok": self.of_byte[flat]}))
+        self.con.register("start", pa.table({"place": np.arange(ends[-1]), "word": np.repeat(np.arange(len(words), dtype=np.int32), size), "tok": self.of_byte[flat]}))
         got = self.con.sql(ENCODE).to_arrow_table()
         self.con.unregister("start")
         word, tok = got.column("word").to_numpy(), got.column("tok").to_numpy()
@@ -171,24 +171,32 @@ class Contractor:
 class BpeCodec:
     """Encodes columns of texts through a memo and DuckDB, and decodes ids."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, memo: int = 1_500_000, words: int = 300_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, stretches: int = 1_000_000, words: int = 2_000_000):
         import regex
 
-        self.split, self.words, self.limit = regex.compile(pattern).findall, {}, words
+        self.split, self.words = regex.compile(pattern).findall, vec.Memo(words)
         self.contractor = Contractor(ranks)
-        self.chunks = ChunkEncoder(self.encode_chunks, limit=memo)
-
-    def encode_chunks(self, chunks: list[bytes]) -> list[list[int]]:
-        """Ids of stretches of text: split by the pattern, unknown words contracted together."""
-        split = [[w.encode() for w in self.split(c.decode())] for c in chunks]
-        known = self.words
-        fresh = list(dict.fromkeys(w for ws in split for w in ws if w not in known))
-        if len(known) + len(fresh) > self.limit:
-            known.clear()
-            fresh = list(dict.fromkeys(w for ws in split for w in ws))
-        for w, ids in zip(fresh, self.contractor.encode(fresh), strict=True):
-            known[w] = np.asarray(ids, np.int32).tolist()
-        return [known[ws[0]] if len(ws) == 1 else [i for w in ws for i in known[w]] for ws in split]
+        self.chunks = ChunkEncoder(self.encode_chunks, limit=stretches)
+
+    def encode_chunks(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of stretches of text, one after another, and how many each has: split by the pattern, unknown words contracted together."""
+        split = [self.split(c.decode()) for c in chunks]
+        words = [w.encode() for ws in split for w in ws]
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        starts = np.concatenate([[0], ends[:-1]])
+        keys, first, back = np.unique(vec.span_hashes(np.frombuffer(b"".join(words), np.uint8), starts, ends), return_index=True, return_inverse=True)
+        lost = np.flatnonzero(self.words.find(keys) < 0)
+        if len(self.words.keys) + len(lost) > self.words.limit:
+            self.words.clear()
+            lost = np.arange(len(keys))
+        if len(lost):
+            got = self.contractor.encode([words[i] for i in first[lost].tolist()])
+            self.words.add(keys[lost], np.concatenate([np.asarray(x, np.uint32) for x in got]), np.fromiter(map(len, got), np.int64, len(got)))
+        at = self.words.find(keys)[back]
+        size = self.words.size[at].astype(np.int64)
+        of_chunk = np.cumsum(np.fromiter(map(len, split), np.int64, len(split)))
+        total = np.concatenate([[0], np.cumsum(size)])[of_chunk]
+        return vec.gather(self.words.pool, self.words.start[at], size), np.diff(total, prepend=0)
 
     def decode(self, ids: np.ndarray, bounds: np.ndarray) -> list[bytes]:
         """The bytes of each run ids[bounds[i]:bounds[i+1]]."""
@@ -236,14 +244,16 @@ def decode(tokens: DataFrame, ranks_path: str, pattern: str, ids: str = "ids") -
 
 
 def round_trip_digests(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text") -> DataFrame:
-    """Encodes, decodes the ids, and returns doc_id, n_tokens, ids_sha256 (of little-endian 32-bit ids) and decoded_sha256."""
+    """Encodes, decodes the ids, and returns doc_id, n_tokens, ids_sha256 (of little-endian 32-bit ids) and decoded_sha256; in one Python worker for each task. Null and empty texts have no ids and empty decoded bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = codec(ranks_path, pattern)
         for batch in batches:
-            column = batch.column(1)
-            flat, ends = column.flatten().to_numpy(zero_copy_only=False).astype("<u4").tobytes(), np.concatenate([[0], np.cumsum(pa.compute.list_value_length(column).to_numpy())]).tolist()
-            digests = [hashlib.sha256(flat[4 * a : 4 * b]).hexdigest() for a, b in zip(ends[:-1], ends[1:], strict=True)]
-            decoded = [hashlib.sha256(x).hexdigest() for x in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(ends)), pa.array(digests), pa.array(decoded)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            for i, j, ids, bounds in own.chunks.column(batch.column(1)):
+                flat, ends = ids.astype("<u4").tobytes(), bounds.tolist()
+                digests = [hashlib.sha256(flat[4 * a : 4 * b]).hexdigest() for a, b in zip(ends[:-1], ends[1:], strict=True)]
+                decoded = [hashlib.sha256(x).hexdigest() for x in own.decode(ids, bounds)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(np.diff(bounds)), pa.array(digests), pa.array(decoded)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return decode(encode(docs, ranks_path, pattern, text), ranks_path, pattern).mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    slim = only(docs, doc_id="doc_id", text=text).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return slim.mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,9 +22,9 @@ def solid_cuts(data: np.ndarray) -> np.ndarray:
 
 
 class ChunkEncoder:
-    """Ids of whole texts, from the ids of their stretches. `encode` turns distinct stretches into ids."""
+    """Ids of whole texts, from the ids of their stretches. `encode` turns distinct stretches into ids, one after another, and their numbers."""
 
-    def __init__(self, encode: Callable[[list[bytes]], Sequence[Sequence[int]]], cuts: Callable[[np.ndarray], np.ndarray] = solid_cuts, dtype=np.uint32, limit: int = 1_500_000):
+    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], cuts: Callable[[np.ndarray], np.ndarray] = solid_cuts, dtype=np.uint32, limit: int = 1_500_000):
         self.encode, self.cuts, self.memo = encode, cuts, vec.Memo(limit, dtype)
 
     def column(self, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -47,9 +47,8 @@ class ChunkEncoder:
                     self.memo.clear()
                     lost = np.arange(len(keys))
                 raw = data.tobytes()
-                got = self.encode([raw[a:b] for a, b in zip(starts[first[lost]].tolist(), ends[first[lost]].tolist(), strict=True)])
-                sizes = np.fromiter(map(len, got), np.int64, len(got))
-                self.memo.add(keys[lost], np.fromiter((x for ids in got for x in ids), self.memo.dtype, int(sizes.sum())), sizes)
+                flat, sizes = self.encode([raw[a:b] for a, b in zip(starts[first[lost]].tolist(), ends[first[lost]].tolist(), strict=True)])
+                self.memo.add(keys[lost], flat.astype(self.memo.dtype, copy=False), sizes)
                 at = self.memo.find(keys)
             at = at[back]
             size = self.memo.size[at].astype(np.int64)

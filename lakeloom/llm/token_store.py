@@ -45,10 +45,11 @@ def encoder(path: str) -> ChunkEncoder:
         tokenizer = Tokenizer.from_file(path)
         model, split, words = tokenizer.model, tokenizer.pre_tokenizer.pre_tokenize_str, {}
 
-        def encode(chunks: list[bytes]) -> list[list[int]]:
-            out = []
+        def encode(chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+            flat: list[int] = []
+            sizes = []
             for c in chunks:
-                ids: list[int] = []
+                before = len(flat)
                 for w, _ in split(c.decode()):
                     got = words.get(w)
                     if got is None:
@@ -56,9 +57,9 @@ def encoder(path: str) -> ChunkEncoder:
                         if len(words) > 200_000:
                             words.clear()
                         words[w] = got
-                    ids += got
-                out.append(ids)
-            return out
+                    flat += got
+                sizes.append(len(flat) - before)
+            return np.array(flat, np.uint32), np.array(sizes, np.int64)
 
         _ENCODERS[path] = ChunkEncoder(encode)
     return _ENCODERS[path]
