@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from lakeloom.llm.chunks import ChunkEncoder
 from lakeloom.llm.common import only
 
-SPACE, UNKNOWN_PENALTY = "▁", 10.0
+SPACE, UNKNOWN_PENALTY, NEVER = "▁", 10.0, -1e8
 
 
 class UnigramCounter:
@@ -67,8 +67,9 @@ class UnigramCounter:
             unknown(done)
         return score[-1], count[-1]
 
-    def counts(self, stretches: list[bytes]) -> list[tuple[int]]:
-        return [(self.best(s.decode().replace(" ", SPACE))[1],) for s in stretches]
+    def counts(self, stretches: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """One number for each stretch."""
+        return np.array([self.best(s.decode().replace(" ", SPACE))[1] for s in stretches], np.uint32), np.ones(len(stretches), np.int64)
 
 
 def word_cuts(data: np.ndarray) -> np.ndarray:
@@ -80,12 +81,13 @@ _COUNTERS: dict[str, ChunkEncoder] = {}
 
 
 def vocabulary(model_file: str) -> tuple[list[tuple[str, float]], bool]:
-    """Normal pieces and scores of a model file, and whether it has byte pieces."""
+    """Normal pieces and scores of a model file, and whether it has byte pieces. Scores that only mark a piece as never to be made (NEVER and less) become one less than the least other."""
     import sentencepiece
 
     m = sentencepiece.SentencePieceProcessor(model_file=model_file)
-    ids = range(m.get_piece_size())
-    return [(m.id_to_piece(i), m.get_score(i)) for i in ids if not (m.is_unknown(i) or m.is_control(i) or m.is_byte(i) or m.is_unused(i))], any(m.is_byte(i) for i in ids)
+    ids = [i for i in range(m.get_piece_size()) if not (m.is_unknown(i) or m.is_control(i) or m.is_byte(i) or m.is_unused(i))]
+    least = min((m.get_score(i) for i in ids if m.get_score(i) > NEVER), default=0.0) - 1
+    return [(m.id_to_piece(i), max(m.get_score(i), least)) for i in ids], any(m.is_byte(i) for i in range(m.get_piece_size()))
 
 
 def counter(model_file: str) -> ChunkEncoder:
