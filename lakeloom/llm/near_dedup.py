@@ -7,10 +7,13 @@ shingles, of the second permutation shifted circularly by k places. Bands of
 none of `bands` buckets with probability (1 - s**rows)**bands (4e-7 at 0.85).
 
 Buckets are never expanded into all pairs. Texts with equal shingle sets first
-become one. In each bucket the member that shares most buckets is paired with
-the others, those pairs are verified on full shingle sets, and only members
-that verification left in different components are then paired with each
-other, over blocks of a bucket, so that no link between components is lost.
+become one. In each bucket the member that shares most buckets, its hub, is paired
+with the others, and those pairs are verified on full shingle sets. Two members of
+a bucket share its hub; so whatever links are missing lie between members of
+one hub that verification left in different components. Few members are paired
+by a join; many are compared inside tasks, block against block, by
+what distinguishes each from the hub, which gives the exact similarity, and
+only links that join components come out. No link between components is lost.
 """
 
 from __future__ import annotations
@@ -27,7 +30,8 @@ from lakeloom.llm.common import only, written
 from lakeloom.llm.components import components
 
 U32 = np.uint32
-BLOCK = 512
+BLOCK, FEW = 512, 24
+FILTER_BITS, PROBES = 1 << 26, 3
 
 
 def scatter(x: np.ndarray) -> np.ndarray:
@@ -83,22 +87,128 @@ def signatures(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id bigint, n_shingles bigint, s1 bigint, s2 bigint, buckets array<bigint>")
 
 
-def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id and its sorted distinct shingle hashes."""
+def filter_places(ids: np.ndarray, size: int) -> np.ndarray:
+    """Bit numbers of ids in a Bloom filter of that size: a row for each id."""
+    h = vec.mix(ids.astype(np.int64).view(np.uint64))
+    step = vec.mix(h) | np.uint64(1)
+    return ((h[:, None] + step[:, None] * np.arange(PROBES, dtype=np.uint64)) % np.uint64(size)).astype(np.int64)
+
+
+def id_filter(ids: DataFrame, count: int) -> np.ndarray:
+    """A Bloom filter of the ids, 12 bits each: 64-bit words, at most FILTER_BITS in all."""
+    size = -(-min(max(64, 12 * count), FILTER_BITS) // 64) * 64
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = np.zeros(size // 64, np.uint64)
         for batch in batches:
+            at = filter_places(batch.column(0).to_numpy(), size).reshape(-1)
+            np.bitwise_or.at(words, at >> 6, np.uint64(1) << (at & 63).astype(np.uint64))
+        full = np.flatnonzero(words)
+        yield pa.RecordBatch.from_arrays([pa.array(full), pa.array(words[full].view(np.int64))], ["at", "word"])
+
+    out = np.zeros(size // 64, np.uint64)
+    got = ids.mapInArrow(run, "at bigint, word bigint").groupBy("at").agg(F.bit_or("word").alias("word")).toArrow()
+    out[got.column("at").to_numpy()] = got.column("word").to_numpy().view(np.uint64)
+    return out
+
+
+def shingle_sets(docs: DataFrame, k: int, words: np.ndarray | None = None) -> DataFrame:
+    """node (doc_id) and its sorted distinct shingle hashes; with a filter, only of ids that may be in it. Null ids have none."""
+    shared = docs.sparkSession.sparkContext.broadcast(words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        for batch in batches:
+            batch = batch.filter(batch.column(0).is_valid())
+            if own is not None and batch.num_rows:
+                at = filter_places(batch.column(0).to_numpy(), 64 * len(own))
+                batch = batch.filter(pa.array(((own[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)).all(axis=1)))
             for i, j, shingles, bounds in text_sets(batch.column(1), k):
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(shingles.view(np.int64)))], ["node", "shingles"])
 
     return docs.mapInArrow(run, "node bigint, shingles array<bigint>")
 
 
+def sets_of(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
+    """Shingle sets of the documents with these ids, once for each id.
+
+    As long as a bounded Bloom filter can tell the ids, tasks leave other texts where they are and only sets move; beyond that the texts are joined by id.
+    """
+    count = ids.count()
+    if 12 * count <= FILTER_BITS:
+        found = shingle_sets(docs, k, id_filter(ids, count)).join(ids, "node", "left_semi")
+    else:
+        found = shingle_sets(docs.join(ids, docs["doc_id"] == ids["node"], "left_semi"), k)
+    return found.dropDuplicates(["node"])
+
+
+def similar(sets: DataFrame, pairs: DataFrame, a: str, b: str) -> DataFrame:
+    """The pairs with sa and sb, the shingle sets of columns a and b."""
+    left, right = (sets.select(F.col("node").alias(x), F.col("shingles").alias(f"s{k}")) for k, x in (("a", a), ("b", b)))
+    return pairs.join(left, a).join(right, b)
+
+
 def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs (a, b) with den * intersection >= num * union on full sets."""
-    left, right = (sets.select(F.col("node").alias(x), F.col("shingles").alias(f"s{x}")) for x in "ab")
     both = F.size(F.array_intersect("sa", "sb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", both.alias("i"), (F.size("sa") + F.size("sb") - both).alias("u")).where(den * F.col("i") >= num * F.col("u")).select("a", "b")
+    return similar(sets, pairs, "a", "b").select("a", "b", both.alias("i"), (F.size("sa") + F.size("sb") - both).alias("u")).where(den * F.col("i") >= num * F.col("u")).select("a", "b")
+
+
+def block_links(rows: dict[str, list], p: int, q: int, num: int, den: int) -> list[tuple[int, int]]:
+    """Links between members of block p and of block q of a hub that join different labels, at most one for two labels joined already.
+
+    With x and y what distinguishes two texts from the hub, their sets differ in len(x) + len(y) - 2 * common shingles.
+    """
+    part, node, label = (np.array(rows[c]) for c in ("part", "node", "label"))
+    size, own = np.array(rows["size"]), rows["own"]
+    left, right = np.flatnonzero(part == p), np.flatnonzero(part == q)
+    flat = np.concatenate([own[i] for i in right]) if len(right) else np.zeros(0, np.int64)
+    holder = np.repeat(np.arange(len(right)), [len(own[i]) for i in right])
+    order = np.argsort(flat, kind="stable")
+    flat, holder = flat[order], holder[order]
+    length = np.array([len(own[i]) for i in right])
+    root: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while x in root:
+            x = root[x]
+        return x
+
+    out = []
+    for i in left:
+        lo, hi = np.searchsorted(flat, own[i], "left"), np.searchsorted(flat, own[i], "right")
+        common = np.bincount(vec.gather(holder, lo, hi - lo), minlength=len(right))
+        total = size[i] + size[right]
+        inside = (total - (len(own[i]) + length - 2 * common)) // 2
+        for j in right[(den * inside >= num * (total - inside)) & (label[right] != label[i])]:
+            a, b = top(int(label[i])), top(int(label[j]))
+            if a != b:
+                root[max(a, b)] = min(a, b)
+                out.append((int(min(node[i], node[j])), int(max(node[i], node[j]))))
+    return out
+
+
+def links_within(cells: DataFrame, num: int, den: int) -> DataFrame:
+    """Links (a, b) found in cells: rows of one (hub, p, q), which a task reads one after another."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, rows, found = None, {}, []
+        for batch in batches:
+            columns = [c.to_pylist() if c.type != pa.list_(pa.int64()) else c for c in batch.columns]
+            flat, offs = columns[-1].flatten().to_numpy(), np.concatenate([[0], np.cumsum(columns[-1].value_lengths().to_numpy())])
+            for k, (hub, p, q, part, node, label, size) in enumerate(zip(*columns[:-1], strict=True)):
+                if (hub, p, q) != key:
+                    if key:
+                        found += block_links(rows, *key[1:], num, den)
+                    key, rows = (hub, p, q), {"part": [], "node": [], "label": [], "size": [], "own": []}
+                for c, x in (("part", part), ("node", node), ("label", label), ("size", size), ("own", flat[offs[k] : offs[k + 1]])):
+                    rows[c].append(x)
+        if key:
+            found += block_links(rows, *key[1:], num, den)
+        yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in found], pa.int64()) for c in (0, 1)], ["a", "b"])
+
+    dealt = cells.repartition("hub", "p", "q").sortWithinPartitions("hub", "p", "q")
+    return dealt.select("hub", "p", "q", "part", "node", "label", "size", "own").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", k: int = 3, num: int = 85, den: int = 100, bands: int = 20, rows: int = 4) -> DataFrame:
@@ -110,29 +220,31 @@ def near_duplicates(docs: DataFrame, text: str = "text", k: int = 3, num: int =
     """
     slim = only(docs, doc_id="doc_id", text=text).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     base = written(signatures(slim, k, bands, rows), "signatures")
-    sets_of = base.where("n_shingles > 0 and doc_id is not null").groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("node"), F.first("buckets").alias("buckets"))
-    nodes = written(sets_of, "nodes")
+    alike = base.where("n_shingles > 0 and doc_id is not null").groupBy("s1", "s2", "n_shingles")
+    nodes = written(alike.agg(F.min("doc_id").alias("node"), F.first("buckets").alias("buckets")), "nodes")
     member = written(nodes.select("node", F.explode("buckets").alias("bucket")), "members")
     sizes = member.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     shared = written(member.join(sizes, "bucket"), "shared")
     weight = shared.groupBy("node").agg(F.sum(F.log2("n")).alias("weight"))
     best = shared.join(weight, "node").groupBy("bucket").agg(F.max(F.struct("weight", "node")).alias("m")).select("bucket", F.col("m.node").alias("hub"))
-    ordered = [F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")]
-    pairs = written(shared.join(best, "bucket").where("node <> hub").select(*ordered).distinct(), "pairs")
-    involved = shared.select("node").distinct()
-    one_text = slim.where("doc_id is not null").join(involved, slim["doc_id"] == involved["node"], "left_semi").dropDuplicates(["doc_id"])
-    sets = written(shingle_sets(one_text, k), "sets")
+    around = written(shared.join(best, "bucket").where("node <> hub").select("node", "hub").distinct(), "hubs")
+    involved = around.select("node").unionAll(around.select("hub")).distinct()
+    sets = written(sets_of(slim, written(involved, "involved"), k), "sets")
+    pairs = around.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
     links = written(verified(pairs, sets, num, den), "links")
     labels = components(links)
-    # what one hub did not join: members of a bucket in different components, over blocks
-    placed = shared.select("bucket", "node", "n").join(labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
-    open_ = placed.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
-    parts = placed.join(open_.select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts")), "bucket").withColumn("part", F.expr("cast(pmod(xxhash64(node), parts) as int)"))
-    cells = written(parts.select("bucket", "node", "label", "part", F.explode(F.expr("sequence(0, parts - 1)")).alias("other")).select("bucket", "node", "label", "part", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q")), "cells")
-    x, y = cells.where("part = p").alias("x"), cells.where("part = q").alias("y")
-    cross = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.p") == F.col("y.p")) & (F.col("x.q") == F.col("y.q")) & (F.col("x.label") != F.col("y.label")) & ((F.col("x.p") < F.col("x.q")) | (F.col("x.node") < F.col("y.node"))))
-    more = cross.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-    extra = written(verified(more, sets, num, den), "links")
+    # members of one hub in different components
+    placed = around.join(labels, "node", "left").select("node", "hub", F.coalesce("label", "node").alias("label"))
+    split = placed.groupBy("hub").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("hub", "n")
+    apart = written(placed.join(split, "hub").join(nodes.select("node", F.col("n_shingles").alias("size")), "node"), "apart")
+    few = apart.where(F.col("n") <= FEW).select("hub", "node", "label", "size")
+    x, y = few.alias("x"), few.alias("y")
+    fits = den * F.least("x.size", "y.size") >= num * F.greatest("x.size", "y.size")
+    near = x.join(y, (F.col("x.hub") == F.col("y.hub")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label")) & fits).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    own = F.array_sort(F.concat(F.array_except("sa", "sb"), F.array_except("sb", "sa")))
+    many = similar(sets, apart.where(F.col("n") > FEW), "node", "hub").withColumn("own", own).withColumn("parts", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("part", F.expr("cast(pmod(xxhash64(node), parts) as int)"))
+    cells = many.select("hub", "node", "label", "size", "own", "part", F.explode(F.expr("sequence(0, parts - 1)")).alias("other")).withColumn("p", F.least("part", "other")).withColumn("q", F.greatest("part", "other"))
+    extra = written(verified(near, sets, num, den).unionAll(links_within(cells, num, den)), "links")
     if not extra.isEmpty():
         labels = components(links.unionAll(extra))
     roots = nodes.select("s1", "s2", "n_shingles", "node").join(labels, "node", "left").select("s1", "s2", "n_shingles", F.coalesce("label", "node").alias("root"))
