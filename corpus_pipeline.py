@@ -18,10 +18,17 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each near-duplicate group: five words, a similarity of 0.8 or more."""
-    groups = near_dedup.near_duplicates(docs, k=5, num=80, den=100, bands=25, rows=4)
-    gone = groups.where(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("gone"), "left_anti").dropDuplicates(["doc_id", "text"])
+    """The document with the smallest doc_id of each near-duplicate group: five words, a similarity of 0.8 or more.
+
+    Rows with a null doc_id stay. Rows that share a doc_id are one document: its first text in byte order stays; only such rows are exchanged by doc_id.
+    """
+    groups = written(near_dedup.near_duplicates(docs, k=5, num=80, den=100, bands=25, rows=4), "groups")
+    known = groups.where("doc_id is not null").groupBy("doc_id").agg(F.min("kept").alias("kept"), F.count("*").alias("n"))
+    other = known.where("not kept or n > 1").select(F.col("doc_id").alias("other"), "kept")
+    single = docs.join(other, docs["doc_id"] == F.col("other"), "left_anti")
+    again = docs.join(other.where("kept"), docs["doc_id"] == F.col("other"), "left_semi")
+    least = again.groupBy(F.col("doc_id").alias("other")).agg(F.min_by(F.struct(*docs.columns), F.struct("text", *[c for c in docs.columns if c != "text"])).alias("r"))
+    return single.unionByName(least.select("r.*").select(*docs.columns))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
