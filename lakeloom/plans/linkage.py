@@ -1,6 +1,6 @@
 """Training and inference of the linkage pipeline, and its commands.
 
-python -m lakeloom.plans.linkage train|infer|evaluate|validate [settings file]
+python -m lakeloom.plans.linkage train|infer|evaluate|validate|package [settings file]
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.operators import blocking, decision, evaluate, features, model, validate
 from lakeloom.plans.config import Settings, load
+from lakeloom.plans.package import build_zip
 from lakeloom.sources import records as R
 from lakeloom.sources import tsv
 
@@ -80,6 +81,11 @@ def assess(spark: SparkSession, s: Settings) -> DataFrame:
 
 def main(args: list[str]) -> int:
     command, settings = args[0] if args else "", load(*args[1:])
+    if command == "package":
+        names = ("matching_results.tsv", "candidate_pairs.tsv")
+        if lost := build_zip(".", "submission.zip", {f"output/{n}": f"{settings.output_dir}/{n}" for n in names}):
+            print(f"warning: no {lost}", file=sys.stderr)
+        return 0
     spark = session()
     try:
         if command == "train":

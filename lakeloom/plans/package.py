@@ -19,8 +19,12 @@ def build_zip(root: str, target: str, results: dict[str, str], prefix: str = "co
             if p.is_file() and p.resolve() != out and not set(inner.parts) & set(left_out):
                 z.write(p, f"{prefix}/{inner.as_posix()}")
         for name, path in results.items():
-            if Path(path).exists():
-                z.write(path, name)
+            found = Path(path)
+            if found.is_dir():  # a result of several parts
+                for part in sorted(found.glob("part-*")):
+                    z.write(part, f"{name}/{part.name}")
+            elif found.exists():
+                z.write(found, name)
             else:
                 missing.append(name)
     return missing
