@@ -1,6 +1,6 @@
 """Toxicity: a linear classifier on character n-grams whose features are scaled by naive Bayes log-count ratios.
 
-A text's features are the distinct hashed n-grams of 3 to 5 bytes of its
+A text's features are the distinct hashed n-grams of 3, 4, 6 and 8 bytes of its
 lower-cased words, each word between spaces. On the labelled sample, the ratio
 of a feature is the log of its smoothed share in toxic texts over that in
 others; the classifier is logistic regression, with L2 penalty, on the binary
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from lakeloom.llm import vec
 from lakeloom.llm.common import id_crc, only
 
-ORDERS = (3, 4, 5)
+ORDERS = (3, 4, 6, 8)
 
 
 @dataclass
@@ -54,7 +54,7 @@ def gram_buckets(data: np.ndarray, offs: np.ndarray, bits: int) -> Iterator[np.n
     for n in range(2, max(ORDERS) + 1):
         packed = (packed[: len(long) - n + 1] << np.uint64(8)) | long[n - 1 :] if len(long) >= n else packed[:0]
         if n in ORDERS:
-            h = (packed + np.uint64(n << 56)) * np.uint64(0x9E3779B97F4A7C15)
+            h = (packed ^ np.uint64(n * 0x9FB21C651E98DF25 % 2**64)) * np.uint64(0x9E3779B97F4A7C15)
             per_order.append(((h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(64 - bits)).astype(np.int32))
     for a, b in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True):
         yield np.concatenate([h[a : max(a, b - n + 1)] for n, h in zip(ORDERS, per_order, strict=True)]) if b - a > 2 else np.zeros(0, np.int32)
@@ -67,11 +67,11 @@ def distinct(buckets: np.ndarray, last: np.ndarray) -> np.ndarray:
     return buckets[last[buckets] == order]
 
 
-def fit(texts: list[str | None], labels: list[int], bits: int = 20, l2: float = 1e-2, rounds: int = 150, seen_in: int = 3) -> NBModel:
+def fit(texts: list[str | None], labels: list[int], bits: int = 21, l2: float = 1e-2, rounds: int = 80, seen_in: int = 3, least_ratio: float = 0.7, lean: float = 3.0) -> NBModel:
     """Trains on the driver, from a bounded sample. Without both classes, every text scores the share of toxic ones (0 without rows).
 
-    Features of fewer than `seen_in` texts are left out. Accelerated gradient steps on the whole sample, classes balanced; a feature's
-    step is not rescaled, so that those of many texts lead.
+    Features of fewer than `seen_in` texts, or with a log-count ratio within `least_ratio` of 0, are left out. The toxic class weighs
+    `lean` times the other. Accelerated gradient steps on the whole sample; a feature's step is not rescaled, so that those of many texts lead.
     """
     y = np.asarray(labels, np.float64)
     size = 1 << bits
@@ -86,14 +86,14 @@ def fit(texts: list[str | None], labels: list[int], bits: int = 20, l2: float =
         (p if t else q)[r] += 1
     ratio = np.log(p / (1 + y.sum())) - np.log(q / (1 + (1 - y).sum()))
     ratio[p + q - 2 < seen_in] = 0
-    keep = np.flatnonzero(np.abs(ratio) > 0.2)  # features of hardly any ratio scale to nothing
+    keep = np.flatnonzero(np.abs(ratio) > least_ratio)
     place = np.full(size, -1, np.int32)
     place[keep] = np.arange(len(keep))
     rows = [x[x >= 0] for x in (place[r] for r in rows)]
     length = np.array([len(r) for r in rows])
     cols, ends = np.concatenate(rows), np.concatenate([[0], np.cumsum(length)])
     scaled, of_row = ratio[keep], np.repeat(np.arange(len(y), dtype=np.int32), length)
-    weight = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean())) / len(y)
+    weight = np.where(y == 1, lean / y.mean(), 1 / (1 - y.mean())) / (1 + lean) / len(y)
 
     def forward(w: np.ndarray) -> np.ndarray:
         total = np.concatenate([[0.0], np.cumsum((w * scaled)[cols])])
