@@ -9,9 +9,11 @@ a whole; Spark's committer makes lost tasks harmless.
 
 from __future__ import annotations
 
+import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -34,11 +36,37 @@ WRITER = {
     "parquet.page.write-checksum.enabled": "true",
     "compression": "zstd",
 }
-_ENCODERS: dict[str, ChunkEncoder] = {}
 
 
-def encoder(path: str) -> ChunkEncoder:
-    """One for each worker: the library's own pre-tokenizer and model, on distinct stretches of text."""
+@dataclass
+class Encoder:
+    """Ids as the library's encode() gives them: texts that hold one of the `added` tokens (a pattern) go to the library whole, all others by stretches."""
+
+    plain: ChunkEncoder
+    added: str
+    whole: Callable[[str], list[int]]
+
+    def column(self, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """For runs of texts: first row, end row, all their ids, and the bounds of each text's."""
+        holds = pc.fill_null(pc.match_substring_regex(column, self.added), False) if self.added else pa.repeat(False, len(column))
+        held = np.flatnonzero(holds.to_numpy(zero_copy_only=False))
+        rest = pc.if_else(holds, pa.scalar(None, column.type), column) if len(held) else column
+        for i, j, ids, bounds in self.plain.column(rest):
+            here = held[(held >= i) & (held < j)]
+            if len(here):
+                more = [np.array(self.whole(column[int(k)].as_py()), ids.dtype) for k in here]
+                sizes = np.zeros(j - i, np.int64)
+                sizes[here - i] = [len(x) for x in more]
+                ids = np.insert(ids, np.repeat(bounds[here - i], sizes[here - i]), np.concatenate(more))
+                bounds = bounds + np.concatenate([[0], np.cumsum(sizes)])
+            yield i, j, ids, bounds
+
+
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """One for each worker: the library's own pre-tokenizer and model, on distinct stretches of text; the library itself where added tokens occur."""
     if path not in _ENCODERS:
         from tokenizers import Tokenizer
 
@@ -61,12 +89,13 @@ def encoder(path: str) -> ChunkEncoder:
                 sizes.append(len(flat) - before)
             return np.array(flat, np.uint32), np.array(sizes, np.int64)
 
-        _ENCODERS[path] = ChunkEncoder(encode)
+        added = [re.escape(t.content) for t in tokenizer.get_added_tokens_decoder().values()]
+        _ENCODERS[path] = Encoder(ChunkEncoder(encode), "|".join(added), lambda text: tokenizer.encode(text, add_special_tokens=False).ids)
     return _ENCODERS[path]
 
 
 def token_ids(docs: DataFrame, tokenizer: str, text: str = "text", end: int | None = 0) -> DataFrame:
-    """doc_id, n_tokens and tokens of every whole text, special tokens' strings being ordinary text, with the id `end` after each (unless None). Null and empty texts have the end id alone."""
+    """doc_id, n_tokens and tokens of every whole text as the library encodes it, added tokens' strings being those tokens, with the id `end` after each (unless None). Null and empty texts have the end id alone."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(tokenizer)

@@ -215,6 +215,18 @@ def test_token_store(spark, docs, odd, none, tmp_path):
     assert "tokens" not in plan.split("ReadSchema")[1].replace("n_tokens", "")
 
 
+def test_token_store_reads_added_tokens_as_the_library(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    path, end = P.path("byte_bpe_50k.json"), "<|endoftext|>"
+    library = Tokenizer.from_file(path)
+    texts = [f"hello {end} world", "plain text", None, f"{end}{end}", f"a  {end}  b\n\n {end}", "<|endoftext", "", f"é {end}", "last one"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    token_store.write(df, f"file://{tmp_path}/t", path)
+    got = {r.doc_id: r.tokens for r in token_store.read(spark, f"file://{tmp_path}/t").collect()}
+    assert got == {k: library.encode(t or "", add_special_tokens=False).ids + [0] for k, t in enumerate(texts)}
+
+
 def test_token_store_encodings(spark, docs, tmp_path):
     import pyarrow.parquet as pq
 
