@@ -3,11 +3,9 @@
 A text's symbols are its lower-cased words and one end. The root gives a word
 (c + 0.5) / (N + 0.5 (V + 1)), unknown words being one symbol. Deeper states are
 the contexts of up to `depth` preceding symbols, a text's start reading as an
-end. Contexts are counted length by length: one is a candidate if it is at least
-`least_context` of all training symbols, and a following word is counted by name
-if the two together are at least `least_entry` and occur twice. So a length has
-at most 1 / least_context contexts and 1 / least_entry entries, whatever the
-input, which bounds what is sent to the driver and to every task.
+end. A context is a candidate if it occurs `least` times in training, and a
+following word is counted by name if the two together do. `least` does not
+depend on the input, so the tree grows with the corpus.
 
 A candidate is retained if what follows it differs from what follows its longest
 proper suffix: its count times the Kullback-Leibler divergence must reach `gain`
@@ -15,12 +13,19 @@ nats for every word it names. Its suffixes are retained with it. Counts are
 discounted and the mass left goes to the suffix's distribution; every symbol is
 scored by the longest retained suffix of what precedes it.
 
-Words too rare for an entry have the root's probability times the masses left;
-their counts, of any number, are joined instead of broadcast.
+The tree is never in one place. All contexts that end in the same word are one
+branch, so every symbol goes, with what precedes it, to the bucket of the word
+before it; a bucket's task grows its branches, scores its symbols and drops both.
+A word that precedes too many symbols has several buckets, dealt by the word
+before it; counts of its followers come summed, and symbols that depend on
+another bucket's retaining it wait for that. Counts of frequent words are
+broadcast (at most 1 / CACHED), those of all others are joined.
 """
 
 from __future__ import annotations
 
+import math
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -34,6 +39,8 @@ from lakeloom.llm import vec
 from lakeloom.llm.common import id_crc, only, written
 
 DISCOUNT = 0.75
+#: Words of at least this share of the training symbols are frequent: where their counts are kept changes no score.
+CACHED = 2e-7
 U64 = np.uint64
 END = vec.mix(np.array([10], U64))[0]
 
@@ -61,7 +68,7 @@ class Level:
 
 
 class SuffixTree:
-    """words: sorted hashes of the words that can have entries; first: the length-1 context of each, or -1."""
+    """The model of one stream in memory, which scores() is held against. words: sorted hashes of the words that can have entries; first: the length-1 context of each, or -1."""
 
     def __init__(self, words: np.ndarray, counts: np.ndarray, first: np.ndarray, root: np.ndarray):
         self.words, self.counts, self.first, self.root, self.levels = words, counts, first, root, []
@@ -174,9 +181,8 @@ def symbols(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray
         yield i, j, np.insert(vec.span_hashes(data, starts, ends), bounds[1:], END), bounds + np.arange(j - i + 1)
 
 
-def counted(docs: DataFrame, fold: int, tree: SuffixTree | None) -> DataFrame:
-    """key and n over the training texts: of words without a tree, else of (context << 32 | word) for the tree's next length. Summed in each task before the exchange."""
-    shared = docs.sparkSession.sparkContext.broadcast(tree)
+def counted(docs: DataFrame, fold: int) -> DataFrame:
+    """key and n of the words of the training texts. Summed in each task before the exchange."""
 
     def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
         k, c = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -186,18 +192,11 @@ def counted(docs: DataFrame, fold: int, tree: SuffixTree | None) -> DataFrame:
         return k[first], np.add.reduceat(c, first) if len(k) else c
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, parts, fresh = shared.value, [], 0
+        parts, fresh = [], 0
         for batch in batches:
             train = np.array([id_crc(x) % 5 != fold for x in batch.column(0).to_pylist()], bool)
             for i, j, hashes, bounds in symbols(batch.column(1)):
-                use = np.repeat(train[i:j], np.diff(bounds))
-                if own is None:
-                    keys = hashes[use].view(np.int64)
-                else:
-                    ids, begins = own.ids(hashes, bounds)
-                    *_, (context, _) = own.walk(ids, begins)
-                    keys = ((context << 32) | ids)[use & (context >= 0) & (ids >= 0)]
-                parts.append(np.unique(keys, return_counts=True))
+                parts.append(np.unique(hashes[np.repeat(train[i:j], np.diff(bounds))].view(np.int64), return_counts=True))
                 fresh += len(parts[-1][0])
                 if fresh > 2 * len(parts[0][0]) + 2_000_000:
                     parts = [merged(parts)]
@@ -210,58 +209,270 @@ def counted(docs: DataFrame, fold: int, tree: SuffixTree | None) -> DataFrame:
     return docs.mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def arrays(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """key and n of a bounded result."""
-    got = df.toArrow()
-    return got.column("key").to_numpy(), got.column("n").to_numpy()
+@dataclass
+class Deal:
+    """Which bucket each symbol goes to, and the counts that every task holds."""
+
+    words: np.ndarray  # sorted hashes of the frequent words
+    counts: np.ndarray
+    below: float  # log10 of the root's denominator
+    buckets: int
+    heavy: np.ndarray  # sorted hashes of the words with several buckets
+    salts: np.ndarray  # how many each has
+
+    def salted(self, last: np.ndarray, salt: np.ndarray) -> np.ndarray:
+        return (vec.mix(last + salt.astype(U64) * U64(0x9E3779B97F4A7C15)) % U64(self.buckets)).astype(np.int32)
+
+    def at(self, word: np.ndarray, last: np.ndarray, second: np.ndarray, have: np.ndarray) -> np.ndarray:
+        """Buckets of symbols after `last`, before which comes `second` if at least two symbols precede."""
+        place, salt = find(self.heavy, last), np.zeros(len(last), U64)
+        many = np.flatnonzero(place >= 0)
+        salt[many] = vec.mix(np.where(have[many] > 1, second[many], word[many])) % self.salts[place[many]].astype(U64)
+        return self.salted(last, salt)
+
+
+def preceding(hashes: np.ndarray, bounds: np.ndarray, depth: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """The symbols 1 to depth places before every symbol, and how many of them there are; the end before a text counts."""
+    position = np.arange(len(hashes)) - np.repeat(bounds[:-1], np.diff(bounds))
+    longer = np.concatenate([np.full(depth, END, U64), hashes])
+    return [longer[depth - d : len(longer) - d] for d in range(1, depth + 1)], np.minimum(position + 1, depth).astype(np.uint8)
+
+
+def text_keys(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """A hash of each text's symbols: texts of one key have one score, whatever order rows are read in."""
+    position = np.arange(len(hashes)) - np.repeat(bounds[:-1], np.diff(bounds))
+    return vec.mix(np.add.reduceat(vec.mix(hashes + vec.mix(position.astype(U64) + U64(1))), bounds[:-1])).view(np.int64)
+
 
+def branches(word: np.ndarray, before: list[np.ndarray], have: np.ndarray, weights: np.ndarray, root: np.ndarray, totals: np.ndarray, given: int, least: int, gain: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For every symbol, log10 of its probability over the root's; the part of it that counts only if another bucket retains its shortest context; and the words that this bucket retains.
 
-def scores(docs: DataFrame, text: str = "text", fold: int = 1, depth: int = 3, least_context: float = 5e-7, least_entry: float = 2e-7, gain: float = 1.0) -> DataFrame:
+    Symbols are codes, weights 1 in training and 0 else. root: log10 of each code's probability there. totals: counts of the codes with several
+    buckets, else -1; of these the last `given` symbols tell the counts of followers, as weights.
+    """
+    n, levels, last, entry_below = len(word), [], None, None
+    real = np.ones(n, bool)
+    real[n - given :] = False
+    spread = totals[before[0]] >= 0
+    for d, symbol in enumerate(before, 1):
+        at = np.arange(n) if last is None else np.flatnonzero((last >= 0) & (have >= d) & real)
+        weight = np.where(spread & real, 0, weights) if d == 1 else weights
+        key = symbol[at].astype(np.int64) if last is None else (last[at] << 32) | symbol[at]
+        keys, first, back = np.unique(key, return_index=True, return_inverse=True)
+        total = np.bincount(back, weight[at], len(keys))
+        if d == 1:
+            total = np.where(totals[keys] >= 0, totals[keys], total)
+        candidate = total >= least
+        number = np.where(candidate, np.cumsum(candidate) - 1, -1)
+        context = np.full(n, -1, np.int64)
+        context[at] = number[back]
+        total, rep = total[candidate], at[first[candidate]]
+        at = np.flatnonzero(context >= 0)
+        keys, first, back = np.unique((context[at] << 32) | word[at], return_index=True, return_inverse=True)
+        count = np.bincount(back, weight[at], len(keys))
+        named = count >= least
+        entry = np.full(n, -1, np.int64)
+        entry[at] = np.where(named, np.cumsum(named) - 1, -1)[back]
+        count, of, it, example = count[named], keys[named] >> 32, keys[named] & 0xFFFFFFFF, at[first[named]]
+        lower = 10 ** root[it] if d == 1 else levels[-1]["p"][entry_below[example]]
+        m = len(total)
+        left = np.maximum(1 - np.bincount(of, count - DISCOUNT, m) / total, 1e-9)
+        p = (count - DISCOUNT) / total[of] + left[of] * lower
+        other = np.maximum(1 - np.bincount(of, lower, m), 1e-12)
+        mass = np.maximum(1 - np.bincount(of, count, m) / total, 1e-12)
+        divergence = np.bincount(of, count * np.log(count / total[of] / lower), m) + total * mass * np.log(mass / other)
+        kept = divergence >= gain * np.bincount(of, minlength=m)
+        levels.append({"context": context, "entry": entry, "p": p, "ratio": np.log10(p) - root[it], "rest": np.log10(left), "kept": kept, "rep": rep})
+        last, entry_below = context, entry
+    for shorter, longer in zip(levels[-2::-1], levels[:0:-1], strict=True):
+        shorter["kept"][shorter["context"][longer["rep"][longer["kept"]]]] = True
+    out, waits, todo = np.zeros(n), np.zeros(n), real.copy()
+    for d in range(len(levels), 0, -1):
+        level = levels[d - 1]
+        at = np.flatnonzero(todo & (level["context"] >= 0))
+        context, entry = level["context"][at], level["entry"][at]
+        value = level["rest"][context] if len(at) else np.zeros(0)
+        value[entry >= 0] = level["ratio"][entry[entry >= 0]]
+        sure = level["kept"][context]
+        out[at[sure]] += value[sure]
+        if d == 1:
+            waits[at] = np.where(~sure & spread[at], value, 0.0)
+        todo[at[sure & (entry >= 0)]] = False
+    first = levels[0]
+    return out, waits, before[0][first["rep"][first["kept"]]]
+
+
+def packed(part: tuple[np.ndarray, ...]) -> tuple[bytes, int]:
+    raw = pickle.dumps(part, 5)
+    return pa.compress(raw, codec="zstd", asbytes=True), len(raw)
+
+
+def small(x: np.ndarray, n: int) -> np.ndarray:
+    return x.astype(np.uint16 if n <= 1 << 16 else np.uint32)
+
+
+def dealt(parts: list[tuple], deal: Deal, depth: int) -> Iterator[pa.RecordBatch]:
+    """A row for each bucket with symbols in `parts`: words, codes of every symbol and those before it, how many precede, text keys, whether in training, and each symbol's text."""
+    grams = [np.concatenate([p[0] for p in parts]), *(np.concatenate([p[1][d] for p in parts]) for d in range(depth))]
+    have = np.concatenate([p[2] for p in parts])
+    keys, train = np.concatenate([p[4] for p in parts]), np.concatenate([p[5] for p in parts])
+    text = np.repeat(np.arange(len(keys)), np.concatenate([np.diff(p[3]) for p in parts]))
+    bucket = deal.at(grams[0], grams[1], grams[min(2, depth)], have)
+    words, codes = np.unique(np.append(grams[0], END), return_inverse=True)
+    shifted = np.concatenate([np.full(depth, codes[-1]), codes[:-1]])
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.flatnonzero(np.append(True, np.diff(bucket[order]) != 0)) if len(order) else np.zeros(0, np.int64)
+    rows = []
+    for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(order)], strict=True):
+        at = order[a:b]
+        own, code = np.unique(np.concatenate([shifted[at + depth - d] for d in range(depth + 1)]), return_inverse=True)
+        texts, of = np.unique(text[at], return_inverse=True)
+        rows.append((int(bucket[at[0]]), *packed((words[own], small(code, len(own)), have[at], keys[texts], train[texts], small(of, len(texts))))))
+    b, blobs, sizes = zip(*rows, strict=True)
+    none = pa.nulls(len(rows), pa.int64())
+    yield pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array(blobs, pa.binary()), pa.array(sizes, pa.int64()), none, none, none, none], ["bucket", "blob", "size", "last", "word", "n", "c"])
+
+
+def scores(docs: DataFrame, text: str = "text", fold: int = 1, depth: int = 3, least: int = 2, gain: float = 1.0, share: int = 2_000_000) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row.
 
     Texts whose crc32(doc_id as text) mod 5 is `fold` are held out of all counts; a null doc_id counts as the empty text. Null and empty texts are the end alone.
-    Repeated rows count and are scored each. Without training texts both scores are 0. Words count as equal if their 64-bit hashes are.
+    Repeated rows count and are scored each. Without training texts both scores are 0. Words, and texts, count as equal if their 64-bit hashes are.
+    `share` is about the number of symbols in a bucket; scores do not depend on it.
     """
+    context = docs.sparkSession.sparkContext
     slim = only(docs, doc_id="doc_id", text=text).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    words = written(counted(slim, fold, None), "words")
+    words = written(counted(slim, fold), "words")
     size = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     tokens, distinct = size["n"], size["v"]
     below = float(np.log10(tokens + 0.5 * (distinct + 1)))
-    often = max(2.0, least_entry * tokens)
-    k, c = arrays(words.where(F.col("n") >= often))
-    order = np.argsort(k.view(U64))
-    k, c = k.view(U64)[order], c[order]
-    first, wide = np.full(len(k), -1, np.int64), max(2.0, least_context * tokens)
-    first[c >= wide] = np.arange(int((c >= wide).sum()))
-    tree = SuffixTree(k, c, first, np.log10(c + 0.5) - below)
-    for _ in range(depth):
-        totals = tree.totals()
-        if not len(totals):
-            break
-        tree.add(*arrays(counted(slim, fold, tree).where(F.col("n") >= often)), totals, wide)
-    tree.finish(gain)
-    shared = docs.sparkSession.sparkContext.broadcast(tree)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    often = max(2.0, CACHED * tokens)
+    got = words.where(F.col("n") >= often).toArrow()
+    k, c = got.column("key").to_numpy().view(U64), got.column("n").to_numpy()
+    order = np.argsort(k)
+    k, c = k[order], c[order]
+    many = c > share // 2
+    deal = Deal(k, c, below, max(1, math.ceil(1.25 * tokens / share)), k[many], -(-c[many] // max(1, share // 2)))
+    shared = context.broadcast(deal)
+
+    def by_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, row = shared.value, TaskContext.get().partitionId() << 36
+        root = np.log10(own.counts + 0.5) - own.below
+        names = ["doc_id", "row", "text_key", "held_out", "n_tokens", "often", "log", "rare", "at", "last", "word", "n"]
         for batch in batches:
-            held = [id_crc(x) % 5 == fold for x in batch.column(0).to_pylist()]
+            held = np.array([id_crc(x) % 5 == fold for x in batch.column(0).to_pylist()], bool)
             for i, j, hashes, bounds in symbols(batch.column(1)):
                 texts = j - i
                 owner = np.repeat(np.arange(texts), np.diff(bounds))
                 ids = find(own.words, hashes)
                 named = ids >= 0
-                log = np.bincount(owner[named], own.root[ids[named]], texts)
+                log = np.bincount(owner[named], root[ids[named]], texts)
+                before, have = preceding(hashes, bounds, depth)
                 rare = np.flatnonzero(~named)
-                lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(owner[rare], np.arange(texts + 1)).astype(np.int32)), pa.array(hashes[rare].view(np.int64)))
-                more = np.bincount(owner, own.log_ratios(hashes, bounds), texts)
-                columns = [row + np.arange(texts), held[i:j], np.diff(bounds), np.bincount(owner[named], minlength=texts), log, more]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, texts), *map(pa.array, columns), lists], ["doc_id", "row", "held_out", "n_tokens", "often", "log", "more", "rare"])
+                cuts = pa.array(np.searchsorted(owner[rare], np.arange(texts + 1)).astype(np.int32))
+                at = own.at(hashes[rare], before[0][rare], before[min(1, depth - 1)][rare], have[rare])
+                lists = [pa.ListArray.from_arrays(cuts, pa.array(x)) for x in (hashes[rare].view(np.int64), at)]
+                columns = [row + np.arange(texts), text_keys(hashes, bounds), held[i:j], np.diff(bounds), np.bincount(owner[named], minlength=texts), log]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, texts), *map(pa.array, columns), *lists, *[pa.nulls(texts, pa.int64())] * 3], names)
                 row += texts
-
-    scored = written(slim.mapInArrow(run, "doc_id bigint, row bigint, held_out boolean, n_tokens bigint, often bigint, log double, more double, rare array<bigint>"), "scored")
+                place = find(own.heavy, before[0])
+                use = np.flatnonzero((place >= 0) & ~held[i:j][owner])
+                if len(use):
+                    _, first, n = np.unique(vec.mix(hashes[use] + vec.mix(place[use].astype(U64) + U64(1))), return_index=True, return_counts=True)
+                    pairs = [before[0][use[first]].view(np.int64), hashes[use[first]].view(np.int64), n.astype(np.int64)]
+                    kinds = [pa.int64()] * 3 + [pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.int32())]
+                    yield pa.RecordBatch.from_arrays([*[pa.nulls(len(n), t) for t in kinds], *map(pa.array, pairs)], names)
+
+    def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, parts, n = shared.value, [], 0
+        for batch in batches:
+            held = np.array([id_crc(x) % 5 == fold for x in batch.column(0).to_pylist()], bool)
+            for i, j, hashes, bounds in symbols(batch.column(1)):
+                before, have = preceding(hashes, bounds, depth)
+                parts.append((hashes, before, have, bounds, text_keys(hashes, bounds), ~held[i:j]))
+                n += len(hashes)
+                if n > 2_000_000:
+                    yield from dealt(parts, own, depth)
+                    parts, n = [], 0
+        if parts:
+            yield from dealt(parts, own, depth)
+
+    def grown(blobs: list[tuple[bytes, int]], facts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        last, word, n, c = np.concatenate(facts, axis=1) if facts else np.zeros((4, 0), np.int64)
+        parts = [pickle.loads(pa.decompress(x, decompressed_size=size, codec="zstd")) for x, size in blobs]
+        if not parts:
+            return
+        given = np.flatnonzero(n > 0)
+        known, codes = np.unique(np.concatenate([*(p[0] for p in parts), last[given].view(U64), word.view(U64)]), return_inverse=True)
+        starts = np.cumsum([0, *(len(p[0]) for p in parts)])
+        grams = np.concatenate([codes[a + p[1].astype(np.int64)].reshape(depth + 1, -1) for a, p in zip(starts, parts, strict=False)], axis=1)
+        tail = codes[starts[-1] :]
+        more = np.zeros((depth + 1, len(given)), np.int64)
+        more[1], more[0] = tail[: len(given)], tail[len(given) :][given]
+        grams = np.concatenate([grams, more], axis=1)
+        have = np.concatenate([*(p[2] for p in parts), np.ones(len(given), np.uint8)])
+        keys, train = (np.concatenate([p[x] for p in parts]) for x in (3, 4))
+        firsts = np.cumsum([0, *(len(p[3]) for p in parts)])
+        of = np.concatenate([a + p[5].astype(np.int64) for a, p in zip(firsts, parts, strict=False)])
+        weights = np.concatenate([train[of].astype(np.int64), n[given]])
+        place = find(own.words, known)
+        count = np.where(place >= 0, own.counts[place] if len(own.counts) else 0, 0)
+        count[tail[len(given) :]] = c
+        spread = find(own.heavy, known) >= 0
+        out, waits, kept = branches(grams[0], list(grams[1:]), have, weights, np.log10(count + 0.5) - own.below, np.where(spread, count, -1), len(given), least, gain)
+        out, waits = out[: len(of)], waits[: len(of)]
+        texts, back = np.unique(keys, return_inverse=True)
+        of = back[of]
+        yield batch_of(texts, np.bincount(of, out, len(texts)), np.bincount(of, minlength=len(texts)), None)
+        late = np.flatnonzero(waits)
+        for code in np.unique(grams[1][late]):
+            at = late[grams[1][late] == code]
+            sums, there = np.bincount(of[at], waits[at], len(texts)), np.unique(of[at])
+            yield batch_of(texts[there], sums[there], np.zeros(len(there), np.int64), known[code])
+        for code in kept[spread[kept]]:
+            yield batch_of(None, np.zeros(1), np.zeros(1, np.int64), known[code])
+
+    def batch_of(keys: np.ndarray | None, values: np.ndarray, times: np.ndarray, waits: np.uint64 | None) -> pa.RecordBatch:
+        word = pa.nulls(len(values), pa.int64()) if waits is None else pa.array(np.full(len(values), waits, U64).view(np.int64))
+        return pa.RecordBatch.from_arrays([pa.nulls(len(values), pa.int64()) if keys is None else pa.array(keys), pa.array(values), pa.array(times), word], ["text_key", "value", "times", "waits"])
+
+    def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, blobs, facts = None, [], []
+        for batch in batches:
+            bucket = batch.column(0).to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(bucket)]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                if a == b:
+                    continue
+                if bucket[a] != now:
+                    yield from grown(blobs, facts)
+                    now, blobs, facts = bucket[a], [], []
+                part = batch.slice(a, b - a)
+                blobs += [(x.as_py(), y.as_py()) for x, y in zip(part.column(1), part.column(2), strict=True) if x.is_valid]
+                rows = part.filter(part.column(4).is_valid())
+                facts.append(np.array([rows.column(x).fill_null(0).to_numpy(zero_copy_only=False) for x in range(3, 7)], np.int64))
+        yield from grown(blobs, facts)
+
+    spark = docs.sparkSession
+    scored = written(slim.mapInArrow(by_text, "doc_id bigint, row bigint, text_key bigint, held_out boolean, n_tokens bigint, often bigint, log double, rare array<bigint>, at array<int>, last bigint, word bigint, n bigint"), "scored")
+    pairs, scored = scored.where("last is not null"), scored.where("last is null").drop("last", "word", "n")
+    places = [(int(h.view(np.int64)), int(b)) for h, m in zip(deal.heavy, deal.salts, strict=True) for b in np.unique(deal.salted(np.full(m, h, U64), np.arange(m)))]
+    homes = spark.createDataFrame(places, "last bigint, bucket int")
+    counts = words.select(F.col("key").alias("word"), F.col("n").alias("c"))
+    given = pairs.groupBy("last", "word").agg(F.sum("n").alias("n")).where(F.col("n") >= least).join(counts, "word").join(F.broadcast(homes), "last").select("bucket", "last", "word", "n", "c")
+    asked = scored.where("not held_out").select(F.explode(F.arrays_zip("rare", "at")).alias("x")).select(F.col("x.at").alias("bucket"), F.col("x.rare").alias("word")).distinct()
+    told = asked.join(counts.where((F.col("c") < often) & (F.col("c") >= least)), "word").select("bucket", F.lit(None).cast("long").alias("last"), "word", F.lit(0).cast("long").alias("n"), "c")
+    facts = given.unionByName(told).select("bucket", F.lit(None).cast("binary").alias("blob"), F.lit(None).cast("long").alias("size"), "last", "word", "n", "c")
+    sent = slim.mapInArrow(by_bucket, "bucket int, blob binary, size bigint, last bigint, word bigint, n bigint, c bigint").unionByName(facts)
+    parts = written(sent.repartition(deal.buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(grow, "text_key bigint, value double, times bigint, waits bigint"), "parts")
+    kept = parts.where("text_key is null").select("waits").distinct()
+    sure = parts.where("text_key is not null and waits is null")
+    late = parts.where("text_key is not null and waits is not null").join(kept, "waits", "left_semi").select(*parts.columns)
+    deeper = sure.unionByName(late).groupBy("text_key").agg((F.sum("value") / F.sum("times")).alias("mean"))
     met = scored.select("row", F.explode("rare").alias("key")).groupBy("row", "key").agg(F.count("*").alias("times"))
     known = F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)
     rest = met.join(words.where(F.col("n") < often), "key", "left").groupBy("row").agg(F.sum(known).alias("rare_known"), F.sum(F.col("times") * (F.log10(F.coalesce("n", F.lit(0)) + 0.5) - F.lit(below))).alias("rare_log"))
     base = F.col("log") + F.coalesce("rare_log", F.lit(0.0))
-    return scored.drop("rare").join(rest, "row", "left").select("doc_id", "held_out", "n_tokens", (F.col("often") + F.coalesce("rare_known", F.lit(0))).alias("n_known"), F.lit(int(tokens)).cast("long").alias("train_tokens"), base.alias("base_score"), (base + F.col("more")).alias("score"))
+    more = F.col("mean") * F.col("n_tokens")
+    return scored.drop("rare", "at").join(rest, "row", "left").join(deeper, "text_key", "left").select("doc_id", "held_out", "n_tokens", (F.col("often") + F.coalesce("rare_known", F.lit(0))).alias("n_known"), F.lit(int(tokens)).cast("long").alias("train_tokens"), base.alias("base_score"), (base + F.coalesce(more, F.lit(0.0))).alias("score"))

@@ -344,6 +344,44 @@ def test_lm_beats_its_base_on_held_out_texts(spark):
     assert got.s > 0.96 * got.b
 
 
+def test_lm_conditions_on_what_occurs_twice_in_a_large_corpus(spark):
+    """12 million symbols of training do not raise the least count."""
+    held, train = ([i for i in range(1000) if (zlib.crc32(str(i).encode()) % 5 == 1) == x] for x in (True, False))
+    filler = spark.createDataFrame([(i,) for i in train[:60]], "doc_id bigint").select("doc_id", F.expr("repeat('x y ', 100000)").alias("text"))
+    rows = [(train[60], "quince rhubarb sorrel"), (train[61], "quince rhubarb sorrel"), (held[0], "quince rhubarb sorrel"), (held[1], "sorrel quince tansy")]
+    df = filler.unionByName(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    got = {r.doc_id: r for r in lm_score.scores(df).where(f"doc_id in ({held[0]}, {held[1]})").collect()}
+    assert got[held[0]].train_tokens > 12_000_000
+    assert got[held[0]].score > got[held[0]].base_score + 10
+    assert got[held[1]].score < got[held[0]].score - 5
+
+
+@pytest.mark.parametrize("share", [400, 5000, 2_000_000])
+def test_lm_buckets_equal_the_tree_in_memory(spark, docs, odd, share):
+    for df in (docs, odd, docs.select("doc_id", F.expr("repeat(concat(substr(text, 1, 40), ' b a a '), 3)").alias("text"))):
+        rows = [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
+        train = np.array([zlib.crc32(b"" if i is None else str(i).encode()) % 5 != 1 for i, _ in rows])
+        parts = list(lm_score.symbols(pa.array([t for _, t in rows], pa.string())))
+        stream = np.concatenate([x[2] for x in parts])
+        bounds = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(x[3]) for x in parts]))])
+        use = np.repeat(train, np.diff(bounds))
+        k, c = np.unique(stream[use], return_counts=True)
+        below = math.log10(c.sum() + 0.5 * (len(k) + 1))
+        k, c = k[c >= 2], c[c >= 2]
+        tree = lm_score.SuffixTree(k, c, np.arange(len(k)), np.log10(c + 0.5) - below)
+        for _ in range(3):
+            ids, begins = tree.ids(stream, bounds)
+            *_, (context, _) = tree.walk(ids, begins)
+            keys, n = np.unique(((context << 32) | ids)[use & (context >= 0) & (ids >= 0)], return_counts=True)
+            tree.add(keys[n >= 2], n[n >= 2], tree.totals(), 2)
+        tree.finish(1.0)
+        more = np.add.reduceat(tree.log_ratios(stream, bounds), bounds[:-1])
+        order = lambda x: (x[0] is not None, x[0] or 0, round(x[1], 6))
+        got = [(r.doc_id, r.score - r.base_score) for r in lm_score.scores(df, share=share).collect()]
+        for g, w in zip(sorted(got, key=order), sorted(zip([i for i, _ in rows], more.tolist(), strict=True), key=order), strict=True):
+            assert g[0] == w[0] and g[1] == pytest.approx(w[1], abs=1e-6)
+
+
 def test_suffix_tree_is_a_distribution():
     """Over all known words and the unknown one, every context's probabilities sum to 1."""
     r = random.Random(5)
