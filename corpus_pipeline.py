@@ -18,17 +18,28 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each near-duplicate group: five words, a similarity of 0.8 or more.
+    """The document with the smallest doc_id of each near-duplicate group: five words, a similarity of 0.8 or more; null ids come last.
 
-    Rows with a null doc_id stay. Rows that share a doc_id are one document: its first text in byte order stays; only such rows are exchanged by doc_id.
+    Rows are judged by their texts, whatever their ids: those with a null or repeated doc_id are documents of their own, named by a hash of id and text, and
+    only they are exchanged whole. Of rows equal in id and text the least stays; rows with a null doc_id and no words all stay.
     """
-    groups = written(near_dedup.near_duplicates(docs, k=5, num=80, den=100, bands=25, rows=4), "groups")
-    known = groups.where("doc_id is not null").groupBy("doc_id").agg(F.min("kept").alias("kept"), F.count("*").alias("n"))
-    other = known.where("not kept or n > 1").select(F.col("doc_id").alias("other"), "kept")
-    single = docs.join(other, docs["doc_id"] == F.col("other"), "left_anti")
-    again = docs.join(other.where("kept"), docs["doc_id"] == F.col("other"), "left_semi")
-    least = again.groupBy(F.col("doc_id").alias("other")).agg(F.min_by(F.struct(*docs.columns), F.struct("text", *[c for c in docs.columns if c != "text"])).alias("r"))
-    return single.unionByName(least.select("r.*").select(*docs.columns))
+    twice = written(docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("other")), "repeated")
+    same = F.col("doc_id") == F.col("other")
+    plain = docs.where("doc_id is not null").join(twice, same, "left_anti")
+    odd = docs.where("doc_id is null").unionByName(docs.join(twice, same, "left_semi")).withColumn("other", F.xxhash64("doc_id", "text"))
+    keyed = plain.select("doc_id", "text").unionByName(odd.select(F.col("other").alias("doc_id"), "text"))
+    groups = written(near_dedup.near_duplicates(keyed, k=5, num=80, den=100, bands=25, rows=4), "groups")
+    names = odd.select("other", F.col("doc_id").alias("id"), F.lit(True).alias("odd")).distinct()
+    member = groups.where("n_shingles > 0").select(F.col("doc_id").alias("other"), "component_id").distinct().join(names, "other", "left")
+    member = member.withColumn("id", F.when(F.col("odd"), F.col("id")).otherwise(F.col("other")))
+    rank = F.struct(F.col("id").isNull(), "id", "other")
+    best = member.groupBy("component_id").agg(F.min_by("other", rank).alias("best"), F.count("*").alias("n")).where("n > 1").drop("n")
+    lost = written(member.join(best, "component_id").where("other <> best").select("other", F.coalesce("odd", F.lit(False)).alias("odd")), "lost")
+    single = plain.join(lost.where("not odd"), same, "left_anti")
+    rest = odd.join(lost.where("odd").select("other"), "other", "left_anti").select("other", *docs.columns)
+    blank = F.col("doc_id").isNull() & ~F.coalesce("text", F.lit("")).rlike("[^\\t-\\r ]")
+    least = rest.where(~blank).groupBy("other").agg(F.min(F.struct(*docs.columns)).alias("r"))
+    return single.unionByName(least.select("r.*").select(*docs.columns)).unionByName(rest.where(blank).select(*docs.columns))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

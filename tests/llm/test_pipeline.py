@@ -71,3 +71,14 @@ def test_stages_of_nulls(spark):
     assert docs.count() == 4 and C.STAGES[-1][1](spark, docs, SF).count() == 4
     assert C.one_of_each_group(spark, docs.limit(0), SF).count() == 0
     assert docs.where(F.col("doc_id").isNull()).count() == 2
+
+
+def test_rows_that_share_an_id_are_judged_by_their_texts(spark):
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    one, two, three = (" ".join(f"{w}{i}" for i in range(40)) for w in ("ash", "birch", "cedar"))
+    rows = [(3, one), (3, two), (3, two), (3, one + " more"), (5, two), (7, three), (8, three), (8, "elm oak"), (None, one), (None, "yew fir"), (None, "yew fir"), (9, ""), (9, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], schema)
+    got = [(r.doc_id, r.text) for r in C.one_of_each_group(spark, docs, SF).collect()]
+    short = sorted(((i, t) for i, t in got if t not in (one, one + " more")), key=str)
+    assert short == sorted([(3, two), (7, three), (8, "elm oak"), (None, "yew fir"), (9, "")], key=str)
+    assert [i for i, t in got if t in (one, one + " more")] == [3]
