@@ -26,8 +26,8 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     twice = written(docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("other")), "repeated")
     same = F.col("doc_id") == F.col("other")
     plain = docs.where("doc_id is not null").join(twice, same, "left_anti")
-    odd = docs.where("doc_id is null").unionByName(docs.join(twice, same, "left_semi")).withColumn("other", F.xxhash64("doc_id", "text"))
-    keyed = plain.select("doc_id", "text").unionByName(odd.select(F.col("other").alias("doc_id"), "text"))
+    odd = written(docs.where("doc_id is null").unionByName(docs.join(twice, same, "left_semi")).withColumn("other", F.xxhash64("doc_id", "text")), "odd")
+    keyed = docs if odd.isEmpty() else plain.select("doc_id", "text").unionByName(odd.select(F.col("other").alias("doc_id"), "text"))
     groups = written(near_dedup.near_duplicates(keyed, k=5, num=80, den=100, bands=25, rows=4), "groups")
     names = odd.select("other", F.col("doc_id").alias("id"), F.lit(True).alias("odd")).distinct()
     member = groups.where("n_shingles > 0").select(F.col("doc_id").alias("other"), "component_id").distinct().join(names, "other", "left")

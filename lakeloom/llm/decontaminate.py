@@ -195,6 +195,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", radius: int
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
-    """The documents without a leak; rows with a null doc_id stay, since no match can name them."""
-    hit = leaks(docs, benchmark, text, **options).select("doc_id").distinct().withColumnRenamed("doc_id", "leaked")
-    return docs.join(hit, docs["doc_id"] == F.col("leaked"), "left_anti")
+    """The rows whose text holds no leak, judged by text: ids, null or repeated, decide nothing. Texts count as equal if their 64-bit hashes are."""
+    key = F.xxhash64(F.col(f"`{text}`").cast("string"))
+    hit = leaks(docs.select(key.alias("doc_id"), F.col(f"`{text}`").alias("text")), benchmark, **options).select(F.col("doc_id").alias("leaked")).distinct()
+    return docs.join(hit, key == F.col("leaked"), "left_anti")

@@ -82,3 +82,12 @@ def test_rows_that_share_an_id_are_judged_by_their_texts(spark):
     short = sorted(((i, t) for i, t in got if t not in (one, one + " more")), key=str)
     assert short == sorted([(3, two), (7, three), (8, "elm oak"), (None, "yew fir"), (9, "")], key=str)
     assert [i for i, t in got if t in (one, one + " more")] == [3]
+
+
+def test_benchmark_passages_go_whatever_their_ids(spark):
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    passage = spark.read.parquet(f"{SF}/benchmark.parquet").where("length(text) > 100").orderBy("item_id").first().text
+    rows = [(None, f"before {passage} after"), (None, "clean words only in this row"), (4, passage), (4, "another clean text of that id"), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], schema)
+    got = {(r.doc_id, r.text) for r in C.without_benchmark(spark, docs, SF).collect()}
+    assert got == {rows[1], rows[3], rows[4]}
