@@ -9,12 +9,16 @@ from dataclasses import dataclass
 TOKEN = re.compile(r"""<!--(?:.*?-->|.*\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']+|"[^"]*"|'[^']*')*+)(?:>|[^>]*(?:>|\Z))|<[!?/][^>]*(?:>|\Z)""", re.S)
 ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop|aria-label|data-role|hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 PART = re.compile(r"[a-z]+|\d+")
+#: Drawings and formulas, which may stand within a line; their tags may close themselves.
+FOREIGN = frozenset("""canvas svg g defs desc path circle ellipse line polygon polyline rect use symbol image text tspan textpath clippath mask pattern marker filter stop lineargradient
+radialgradient foreignobject math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom msub msup msubsup munder mover munderover mmultiscripts menclose
+mtable mtr mlabeledtr mtd semantics annotation annotation-xml""".split())
 #: Tags that do not end a block.
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+INLINE = FOREIGN | frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 #: Tags without content.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Elements whose content is never text of the page; the first ones hold no tags.
-RAW = frozenset("script style noscript template textarea select svg iframe object canvas math".split())
+#: Elements that hold no tags and whose content is never text of the page. All others are read as blocks, for the labeller to judge.
+RAW = frozenset("script style textarea".split())
 #: An opening tag that ends an open element of these names before it.
 ENDS = {"p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"}, "option": {"option"}}
 #: Closing them all with an open paragraph: block-level tags.
@@ -88,8 +92,7 @@ def blocks(source: str) -> list[Block]:
             if not m[3].rstrip().endswith("/"):
                 end = re.compile(rf"</{name}\b[^>]*>?", re.I).search(source, at)
                 at = end.end() if end else n
-            if name not in ("svg", "math", "canvas"):
-                flush()
+            flush()
             continue
         if name in VOID:
             if name not in INLINE:
@@ -108,7 +111,7 @@ def blocks(source: str) -> list[Block]:
                         break
                 elif stack[k][0] not in INLINE and stack[k][0] not in ENDS:
                     break
-        if m[3].rstrip().endswith("/") and name not in INLINE:
+        if m[3].rstrip().endswith("/") and (name not in INLINE or name in FOREIGN):
             continue
         stack.append((name, path_words(name, m[3])))
         links += name == "a"

@@ -21,6 +21,16 @@ def model():
     return html_extract.train()
 
 
+def test_only_raw_elements_are_left_out():
+    texts = lambda page: [b.text for b in blocks(page)]
+    assert texts("<p>let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be <svg><path d='m'/></svg>so</p>") == ["let x=2 be so"]
+    for name in ("noscript", "template", "iframe", "object", "select", "canvas", "svg", "math"):
+        assert texts(f"<p>a</p><{name}><div>b</div></{name}><p>c</p>") == ["a", "b", "c"]
+        assert texts(f"<p>a</p><{name}><p>the article</p>") == ["a", "the article"]
+    for name in ("script", "style", "textarea"):
+        assert texts(f"<p>a</p><{name}><div>b</div></{name}><p>c</p>") == ["a", "c"]
+
+
 def test_blocks():
     got = [(b.text, b.path[-1] if b.path else "") for b in blocks("<p>a <b>b&amp;c</b>d<br>e<p>f</p>g<!-- x --><script>if (a<b) '</p>'</script>h<ul><li>i<li>j</ul>k < l<title>t<i>")]
     assert [t for t, _ in got] == ["a b&cd e", "f", "g", "h", "i", "j", "k < l", "t<i>"]
