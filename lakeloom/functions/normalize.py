@@ -6,9 +6,9 @@ the Unicode fold runs in Python (Spark has no NFKD); the rest stays in the JVM.
 
 from __future__ import annotations
 
-import unicodedata
-
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -36,9 +36,21 @@ _WORDS = "|".join(w for w in LEGAL_SUFFIXES if " " not in w)
 SUFFIX_RUN = f"(^| )({_WORDS})( ({_WORDS}))*$"
 
 
-@F.pandas_udf(StringType())
-def _fold(text: pd.Series) -> pd.Series:
-    return text.map(lambda x: "" if x is None else x.lower() if x.isascii() else unicodedata.normalize("NFKD", x.lower()).encode("ascii", "ignore").decode(), na_action=None)
+def fold_array(text: pa.Array) -> pa.Array:
+    """The fold of a whole Arrow array: bytes outside ASCII are dropped from the decomposed text in one step."""
+    out = pc.utf8_normalize(pc.utf8_lower(pc.fill_null(text, "")), "NFKD").cast(pa.large_string())
+    if not len(out):
+        return out.cast(pa.string())
+    offs = np.frombuffer(out.buffers()[1], np.int64, len(out) + 1, out.offset * 8)
+    data = np.frombuffer(out.buffers()[2], np.uint8)[offs[0] : offs[-1]] if offs[-1] > offs[0] else np.zeros(0, np.uint8)
+    plain = data < 128
+    at = np.concatenate([[0], np.cumsum(plain)])[offs - offs[0]].astype(np.int32)
+    return pa.StringArray.from_buffers(len(out), pa.py_buffer(at), pa.py_buffer(data[plain]))
+
+
+@F.arrow_udf(StringType())
+def _fold(text: pa.Array) -> pa.Array:
+    return fold_array(text)
 
 
 def _col(c: Column | str) -> Column:
@@ -46,8 +58,10 @@ def _col(c: Column | str) -> Column:
 
 
 def fold(text: Column | str) -> Column:
-    """Lower case, compatibility decomposition, ASCII only. Lowering comes first: decomposed capitals stay."""
-    return _fold(_col(text).cast("string"))
+    """Lower case, compatibility decomposition, ASCII only. Lowering comes first: decomposed capitals stay. Only texts with other characters go to Python."""
+    given = F.coalesce(_col(text).cast("string"), F.lit(""))
+    plain = F.octet_length(given) == F.length(given)
+    return F.when(plain, F.lower(given)).otherwise(_fold(F.when(~plain, given)))
 
 
 def clean_text(text: Column | str) -> Column:

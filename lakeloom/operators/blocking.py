@@ -29,19 +29,42 @@ def _keyed(df: DataFrame, keys: Column, side: str) -> DataFrame:
     return df.select(F.col("record_id").alias(side), F.explode(F.array_distinct(keys)).alias("key")).distinct()
 
 
-def exact_name(anchors: DataFrame, targets: DataFrame, column: str = "name") -> DataFrame:
-    """Anchors and targets of equal, non-blank, trimmed names; targets of the anchors' source are skipped. No cap on how frequent a name is: AQE splits hot ones."""
+def exact_name(anchors: DataFrame, targets: DataFrame, column: str = "name", max_name_freq: int | None = None) -> DataFrame:
+    """Anchors and targets of equal, non-blank, trimmed names; targets of the anchors' source are skipped.
+
+    All pairs come out, so the output grows with the square of a name's frequency. max_name_freq, if given, leaves out names of more targets;
+    exact_name_groups has the same links in a row for each record.
+    """
     left = anchors.select(F.col("record_id").alias("a"), F.trim(column).alias("key")).where("key <> ''")
     right = targets.where(~is_anchor()).select(F.col("record_id").alias("b"), F.trim(column).alias("key")).where("key <> ''")
+    if max_name_freq is not None:
+        right = right.join(right.distinct().groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") <= max_name_freq).select("key"), "key")
     return _pairs(left.join(right, "key"))
 
 
-def rare_token(anchors: DataFrame, targets: DataFrame, column: str = "name", max_token_freq: int = 100) -> DataFrame:
-    """Anchors and targets that share a token of over two characters which at most max_token_freq targets have."""
-    words = lambda df: F.filter(tokens(F.col(column)), lambda w: F.length(w) > 2)
-    postings = _keyed(targets.where(~is_anchor()), words(targets), "b")
+def exact_name_groups(anchors: DataFrame, targets: DataFrame, column: str = "name") -> DataFrame:
+    """record_id, anchor and group_id (the least record_id of the group) of every record whose non-blank, trimmed name an anchor and a target share: exact_name without the pairs."""
+    left = anchors.select("record_id", F.trim(column).alias("key"), F.lit(True).alias("anchor"))
+    both = left.unionAll(targets.where(~is_anchor()).select("record_id", F.trim(column).alias("key"), F.lit(False).alias("anchor"))).where("key <> ''").distinct()
+    groups = both.groupBy("key").agg(F.min("record_id").alias("group_id"), F.bool_or("anchor").alias("a"), F.bool_and("anchor").alias("all")).where("a and not all")
+    return both.join(groups, "key").select("record_id", "anchor", "group_id")
+
+
+def _words(column: str) -> Column:
+    return F.filter(tokens(F.col(column)), lambda w: F.length(w) > 2)
+
+
+def rare_postings(targets: DataFrame, column: str = "name", max_token_freq: int = 100) -> DataFrame:
+    """b and key: targets by each of their tokens of over two characters that at most max_token_freq targets have."""
+    postings = _keyed(targets.where(~is_anchor()), _words(column), "b")
     rare = postings.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") <= max_token_freq).select("key")
-    return _pairs(_keyed(anchors, words(anchors), "a").join(postings.join(rare, "key"), "key"))
+    return postings.join(rare, "key")
+
+
+def rare_token(anchors: DataFrame, targets: DataFrame, column: str = "name", max_token_freq: int = 100, postings: DataFrame | None = None) -> DataFrame:
+    """Anchors and targets that share a token of over two characters which at most max_token_freq targets have. `postings`, if given, are the targets' rare_postings."""
+    held = rare_postings(targets, column, max_token_freq) if postings is None else postings
+    return _pairs(_keyed(anchors, _words(column), "a").join(held, "key"))
 
 
 def ngram(anchors: DataFrame, targets: DataFrame, column: str = "name", n: int = 3, max_ngram_freq: int = 200, min_shared_ngrams: int = 2) -> DataFrame:
@@ -81,6 +104,6 @@ def layered(records: DataFrame, max_token_freq: int = 20) -> DataFrame:
     return combined([token(records, c, max_token_freq=max_token_freq) for c in ("name", "address")])
 
 
-def retrieve(anchors: DataFrame, targets: DataFrame, max_token_freq: int = 10) -> DataFrame:
-    """The pipeline's candidates: exact names, rare name tokens, rare address tokens."""
-    return combined([exact_name(anchors, targets), rare_token(anchors, targets, "name", max_token_freq), rare_token(anchors, targets, "address", max_token_freq)])
+def retrieve(anchors: DataFrame, targets: DataFrame, max_token_freq: int = 10, postings: dict[str, DataFrame] | None = None) -> DataFrame:
+    """The pipeline's candidates: exact names, rare name tokens, rare address tokens. `postings`: rare_postings of the targets by column, where they are at hand."""
+    return combined([exact_name(anchors, targets), *(rare_token(anchors, targets, c, max_token_freq, (postings or {}).get(c)) for c in ("name", "address"))])

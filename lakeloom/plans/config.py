@@ -32,6 +32,26 @@ def read_settings(path: str) -> dict:
     return yaml.safe_load(text) or {}
 
 
+def resolved(root: str, path: str) -> str:
+    """A path of a settings file: relative ones are below root; absolute ones and those with a scheme stay."""
+    return path if "://" in path or Path(path).is_absolute() else str(Path(root).resolve() / path)
+
+
+class Manager:
+    """The settings files of a folder: `default` at the top, each other one that exists under its own name."""
+
+    def __init__(self, folder: str, parts: tuple[str, ...] = ("blocking", "features", "model")):
+        self.values: dict = {}
+        for name in ("default", *parts):
+            found = [p for p in (Path(folder) / f"{name}{end}" for end in (".yaml", ".json")) if p.exists()]
+            if found:
+                read = read_settings(str(found[0]))
+                self.values |= read if name == "default" else {name: read}
+
+    def get(self, key: str, default: object = None) -> object:
+        return self.values.get(key, default)
+
+
 def load(*paths: str) -> Settings:
     """Defaults, then each file's values over those before; unknown keys are left alone."""
     known, values = {f.name for f in fields(Settings)}, {}

@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from lakeloom.operators import blocking, decision, evaluate, features, model, validate
 from lakeloom.plans.config import Settings, load
-from lakeloom.plans.package import build_zip
+from lakeloom.plans.package import DOCUMENTS, build_zip
 from lakeloom.sources import records as R
 from lakeloom.sources import tsv
+from lakeloom.sources.stage import written
 
 
 def session(name: str = "lakeloom") -> SparkSession:
@@ -31,22 +32,21 @@ def train(spark: SparkSession, s: Settings) -> float | None:
     if records is None:
         return None
     truth = tsv.read_ground_truth(spark, f"{s.dataset_dir}/train/train_ground_truth.tsv")  # before any work: a missing file is an error
-    records = R.unique_ids(records.persist())
+    records = R.unique_ids(written(records, "records"))
     anchors, targets = sides(records)
     chosen = evaluate.capped_anchors(anchors, truth.where(F.col("matches").isNotNull()), s.anchor_cap, s.random_seed)
     pairs = blocking.retrieve(chosen, targets, s.max_token_freq)
-    rows = evaluate.label_pairs(features.build_features(records, pairs), evaluate.explode_matches(truth)).persist()
+    rows = evaluate.label_pairs(features.build_features(records, pairs), evaluate.explode_matches(truth))
+    rows = written(rows, "features")
     if rows.isEmpty():
         raise ValueError("blocking found no candidate pairs")
-    split = evaluate.holdout(rows, s.test_size, s.random_seed).persist()
+    split = written(evaluate.holdout(rows, s.test_size, s.random_seed), "split")
     params = {"seed": s.random_seed}
     tuned = model.PairModel(params).fit(split.where(~F.col("held_out")).drop("held_out"))
     threshold, f = decision.best_threshold(tuned.predict(split.where("held_out")), s.beta)
     final = model.PairModel(params).fit(rows)
     final.save(spark, s.model_dir)
     model.save_threshold(spark, s.model_dir, threshold, f)
-    for df in (split, rows, records):
-        df.unpersist()
     return threshold
 
 
@@ -56,19 +56,23 @@ def score(records: DataFrame, pairs: DataFrame, fitted: model.PairModel | None)
     return fitted.predict(rows) if fitted else features.baseline_score(rows)
 
 
-def infer(spark: SparkSession, s: Settings) -> bool:
-    """Writes candidate and matching lists, one row for each anchor; False without data."""
+def infer(spark: SparkSession, s: Settings, resume: bool = False) -> bool:
+    """Writes candidate and matching lists, one row for each anchor; False without data. Records and candidates are written tables, which survive lost executors.
+
+    With `resume`, anchors that the matching lists hold already are left as they are and the others are added.
+    """
     records = R.ingest(spark, s.dataset_dir, "test")
     if records is None:
         return False
-    records = records.persist()
+    records = R.unique_ids(written(records, "records"))
     anchors, targets = sides(records)
-    pairs = blocking.retrieve(anchors, targets, s.max_token_freq).persist()
+    results, mode = f"{s.output_dir}/matching_results.tsv", "overwrite"
+    if resume and R.exists(spark, results):
+        anchors, mode = written(decision.remaining(anchors, tsv.read_source(spark, results)), "remaining"), "append"
+    pairs = written(blocking.retrieve(anchors, targets, s.max_token_freq), "candidates")
     scored = score(records, pairs, model.PairModel.load(spark, s.model_dir))
-    tsv.write_tsv(decision.candidate_lists(pairs, anchors), f"{s.output_dir}/candidate_pairs.tsv")
-    tsv.write_tsv(decision.assemble_matches(scored, model.load_threshold(spark, s.model_dir), anchors), f"{s.output_dir}/matching_results.tsv")
-    pairs.unpersist()
-    records.unpersist()
+    tsv.write_tsv(decision.candidate_lists(pairs, anchors), f"{s.output_dir}/candidate_pairs.tsv", mode=mode)
+    tsv.write_tsv(decision.assemble_matches(scored, model.load_threshold(spark, s.model_dir), anchors), results, mode=mode)
     return True
 
 
@@ -83,7 +87,7 @@ def main(args: list[str]) -> int:
     command, settings = args[0] if args else "", load(*args[1:])
     if command == "package":
         names = ("matching_results.tsv", "candidate_pairs.tsv")
-        if lost := build_zip(".", "submission.zip", {f"output/{n}": f"{settings.output_dir}/{n}" for n in names}):
+        if lost := build_zip(".", "submission.zip", {f"output/{n}": f"{settings.output_dir}/{n}" for n in names}, documents=DOCUMENTS):
             print(f"warning: no {lost}", file=sys.stderr)
         return 0
     spark = session()

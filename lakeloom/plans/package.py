@@ -6,11 +6,12 @@ import zipfile
 from pathlib import Path
 
 # fixed values
+DOCUMENTS = ["docs/Documentation_template.md"]
 LEFT_OUT = ["dataset", "logs", ".venv", ".git", "__pycache__", ".pytest_cache"]
 
 
-def build_zip(root: str, target: str, results: dict[str, str], prefix: str = "code", left_out: list[str] = LEFT_OUT) -> list[str]:
-    """Files under root below `prefix`, and each result (name in the ZIP to path) that exists; returns the names of missing results."""
+def build_zip(root: str, target: str, results: dict[str, str], prefix: str = "code", left_out: list[str] = LEFT_OUT, documents: list[str] | None = None) -> list[str]:
+    """Files under root below `prefix`, each result (name in the ZIP to path) that exists, and each document (a path under root) at the top; returns the names of missing results and documents."""
     base, out = Path(root).resolve(), Path(target).resolve()
     missing = []
     with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
@@ -27,4 +28,9 @@ def build_zip(root: str, target: str, results: dict[str, str], prefix: str = "co
                 z.write(found, name)
             else:
                 missing.append(name)
+        for name in documents or []:
+            if (base / name).is_file():
+                z.write(base / name, Path(name).name)
+            else:
+                missing.append(Path(name).name)
     return missing

@@ -7,6 +7,7 @@ between an anchor and a target. Counts are BIGINT, ratios rounded to 6 places.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,11 +22,14 @@ from lakeloom.operators import model as M
 from lakeloom.operators import validate as V
 from lakeloom.plans.linkage import sides
 from lakeloom.sources import records as R
+from lakeloom.sources import tsv
+from lakeloom.sources.stage import new_path, written
 
 FLAGSHIP = "assemble_matches"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 THRESHOLD = 0.5
+STOP_WORDS = ["que", "die", "und", "for", "this", "with", "are", "pour", "nicht", "los"]
 
 # pieces of SQL -------------------------------------------------------------------
 
@@ -121,12 +125,19 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.from_documents(spark, sf_dir)
+    """The stand-in records as a written table: blockers, attributes and truth all read them, and texts are normalized once."""
+    return written(R.from_documents(spark, sf_dir), "records")
 
 
 def _truth(records: DataFrame) -> DataFrame:
-    a, t = sides(records.select("record_id", "text"))
-    return a.select(F.col("record_id").alias("id_1"), "text").join(t.select(F.col("record_id").alias("id_2"), "text"), "text").select("id_1", "id_2").distinct()
+    a, t = sides(records.select("record_id", "text_id"))
+    return a.select(F.col("record_id").alias("id_1"), "text_id").join(t.select(F.col("record_id").alias("id_2"), "text_id"), "text_id").select("id_1", "id_2").distinct()
+
+
+def _address_truth(records: DataFrame) -> DataFrame:
+    """Another truth: equal, non-blank addresses. Many such pairs have names that differ."""
+    a, t = sides(records.select("record_id", "address").where("address <> ''"))
+    return a.select(F.col("record_id").alias("id_1"), "address").join(t.select(F.col("record_id").alias("id_2"), "address"), "address").select("id_1", "id_2").distinct()
 
 
 def _candidates(records: DataFrame) -> DataFrame:
@@ -190,7 +201,7 @@ def union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"with {RECORDS} select record_id, name, address, country, starts_with(record_id, 'S1-') as is_anchor from records")
 def anchors_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _records(spark, sf_dir).select("record_id", "name", "address", "country", R.is_anchor().alias("is_anchor"))
+    return R.from_documents(spark, sf_dir).select("record_id", "name", "address", "country", R.is_anchor().alias("is_anchor"))
 
 
 @query(f"with {RECORDS} select record_id, record_id in (select id_1 from truth) as has_truth from anchors")
@@ -223,6 +234,18 @@ def block_exact_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.exact_name(*sides(_records(spark, sf_dir)))
 
 
+@query(f"with {RECORDS}, g as (select trim(name) as key, min(record_id) as group_id from records where trim(name) <> '' group by all having bool_or(starts_with(record_id, 'S1-')) and not bool_and(starts_with(record_id, 'S1-'))) select record_id, starts_with(record_id, 'S1-') as anchor, group_id from records join g on trim(name) = key")
+def block_exact_name_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The links of equal names in a row for each record: what grows with the input where pairs grow with its square."""
+    return B.exact_name_groups(*sides(_records(spark, sf_dir)))
+
+
+@query(f"with {RECORDS}, {EXACT}, few as (select trim(name) as key from targets group by key having count(*) <= 3) select id_1, id_2 from exact_name join targets on record_id = id_2 where trim(name) in (select key from few)")
+def block_exact_name_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Equal names that at most three targets have: the opt-in frequency limit."""
+    return B.exact_name(*sides(_records(spark, sf_dir)), max_name_freq=3)
+
+
 @query(f"with {RECORDS}, {_rare('rare_name', 'name', 10)} select * from rare_name")
 def block_rare_token_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.rare_token(*sides(_records(spark, sf_dir)), "name", 10)
@@ -258,6 +281,11 @@ def block_token(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.token(_records(spark, sf_dir), "name", max_token_freq=20)
 
 
+@query(f"with {RECORDS}, {_token_with('name', 20)} {_token_sql('name', 20)} and key not in ({', '.join(map(repr, STOP_WORDS))})")
+def block_token_stop_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return B.token(_records(spark, sf_dir), "name", STOP_WORDS, 20)
+
+
 @query(f"with {RECORDS}, {_token_with('name', 20)}, {_token_with('address', 20)} {_token_sql('name', 20)} union {_token_sql('address', 20)}")
 def block_layered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.layered(_records(spark, sf_dir))
@@ -269,6 +297,13 @@ def block_exact_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.exact_key(part, ["p_brand", "p_type", "p_size"])
 
 
+@query("with r as (select 'S3-' || p_partkey as record_id, case when p_partkey % 5 = 0 then null when p_partkey % 7 = 0 then '' else p_brand end as k, p_type, p_size from part) select a.record_id as id_1, b.record_id as id_2 from r a join r b using (k, p_type, p_size) where a.record_id < b.record_id")
+def block_exact_key_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null keys pair with nothing, blank ones with one another."""
+    part = _table(spark, sf_dir, "part").withColumn("record_id", F.concat(F.lit("S3-"), F.col("p_partkey").cast("string")))
+    return B.exact_key(part.withColumn("k", F.when(F.col("p_partkey") % 5 == 0, None).when(F.col("p_partkey") % 7 == 0, "").otherwise(F.col("p_brand"))), ["k", "p_type", "p_size"])
+
+
 @query(f"with {PARTIES}, {_rare('rare_name', 'name', 100)} select * from rare_name")
 def block_rare_token_parties(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.rare_token(*sides(R.from_parties(spark, sf_dir)), "name", 100)
@@ -306,6 +341,46 @@ def features_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return X.attributes(_candidates(records), records, list(X.AGREEMENTS.values())).select("id_1", "id_2", *X.agreement_features())
 
 
+_PLACES = """
+places as materialized (
+    select 'S1-' || c_custkey as record_id, c_custkey % 100 as k, case when c_custkey % 7 = 0 then '' else n_name end as city, r_name as state, (c_custkey % 3)::varchar as zip_code from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey
+    union all select 'S2-' || s_suppkey, s_suppkey % 100, n_name, case when s_suppkey % 5 = 0 then '' else r_name end, (s_suppkey % 3)::varchar from supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey
+)"""
+
+
+def _agree(c: str) -> str:
+    return f"case when a.{c} = '' or b.{c} = '' then -1.0 else (a.{c} = b.{c})::int::double end"
+
+
+@query(f"with {_PLACES} select a.record_id as id_1, b.record_id as id_2, {_agree('city')} as city_match, {_agree('state')} as state_match, -1.0::double as country_match, {_agree('zip_code')} as zip_match from places a join places b using (k) where starts_with(a.record_id, 'S1-') and starts_with(b.record_id, 'S2-')")
+def agreement_of_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """City, state and zip agreement of customers and suppliers of one last two digits, some of them blank."""
+    nation = _table(spark, sf_dir, "nation").join(_table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+
+    def side(table: str, source: str, key: str, home: str, blank: int, column: str) -> DataFrame:
+        place = _table(spark, sf_dir, table).join(F.broadcast(nation), F.col(home) == F.col("n_nationkey"))
+        value = lambda c: F.when((F.col(key) % blank == 0) & F.lit(c == column), "").otherwise(F.col(c))
+        return place.select(F.concat(F.lit(source), F.col(key).cast("string")).alias("record_id"), (F.col(key) % 100).alias("k"), value("n_name").alias("city"), value("r_name").alias("state"), (F.col(key) % 3).cast("string").alias("zip_code"))
+
+    a, b = side("customer", "S1-", "c_custkey", "c_nationkey", 7, "n_name"), side("supplier", "S2-", "s_suppkey", "s_nationkey", 5, "r_name")
+    pairs = a.select(F.col("record_id").alias("id_1"), "k").join(b.select(F.col("record_id").alias("id_2"), "k"), "k").drop("k")
+    return X.attributes(pairs, a.unionByName(b).drop("k"), list(X.AGREEMENTS.values())).select("id_1", "id_2", *X.agreement_features())
+
+
+@query(f"with {RECORDS}, {CANDIDATES}, wide as (select c.*, a.name as n1, b.name as n2, a.address as a1, b.address as a2, a.country as c1, b.country as c2 from candidates c join records a on a.record_id = c.id_1 join records b on b.record_id = c.id_2) select id_1, id_2, {_exact('n1', 'n2')} as name_exact_match, round({_jaccard('n1', 'n2')}, 6) as name_jaccard, {_exact('a1', 'a2')} as addr_exact_match, round({_jaccard('a1', 'a2')}, 6) as addr_jaccard, -1.0::double as city_match, -1.0::double as state_match, case when c1 = '' or c2 = '' then -1.0 else (c1 = c2)::int::double end as country_match, -1.0::double as zip_match from wide")
+def features_but_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What features_all gives, without the two sequence ratios, which SQL cannot say."""
+    records = _records(spark, sf_dir)
+    out = X.build_features(records, _candidates(records)).drop("name_seq_matcher", "addr_seq_matcher")
+    return out.withColumns({c: F.round(c, 6) for c in ("name_jaccard", "addr_jaccard")})
+
+
+@query(f"{ALL} select id_1, id_2, round(score, 6) as score from scored")
+def baseline_score_of_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The unsupervised score of the two set similarities: the mean of those present."""
+    return _scored(_records(spark, sf_dir)).select("id_1", "id_2", _r6("score"))
+
+
 @query()
 def features_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ten features; the sequence ratio has no SQL (tests compare it with difflib)."""
@@ -336,7 +411,7 @@ def explode_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 def train_gbt_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trees fitted on every labelled candidate, and their scores of the same."""
     records = _records(spark, sf_dir)
-    rows = E.label_pairs(X.build_features(records, _candidates(records)), _truth(records)).persist()
+    rows = written(E.label_pairs(X.build_features(records, _candidates(records)), _truth(records)), "features")
     return M.PairModel({"maxIter": 20}).fit(rows).predict(rows).select("id_1", "id_2", "label", "score")
 
 
@@ -402,12 +477,74 @@ def false_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.false_merges(_scored(records).where(F.col("score") >= THRESHOLD), _truth(records), records)
 
 
-@query(_errors_sql("truth", "pred"))
+@query(_errors_sql("(select distinct a.record_id as id_1, b.record_id as id_2 from anchors a join targets b on a.address = b.address where a.address <> '')", "pred"))
 def missed_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of one address, as the truth here, that the score of names and addresses does not accept."""
     records = _records(spark, sf_dir)
-    return E.missed_matches(_scored(records).where(F.col("score") >= THRESHOLD), _truth(records), records)
+    return E.missed_matches(_scored(records).where(F.col("score") >= THRESHOLD), _address_truth(records), records)
 
 
-@query(f"with {RECORDS} select (select count(*) from anchors) as rows, true as columns_ok, 0::bigint as nulls, true as valid")
+@query(
+    f"""{ALL}, single as (select count(*) as n from anchors where record_id not in (select id_1 from scored where score >= 0.5)), a as (select count(*) as n from anchors)
+    select 'blank lists allowed' as checked, a.n as rows, true as columns_ok, 0::bigint as nulls, true as valid from a
+    union all select 'no blank lists', a.n, true, single.n::bigint, single.n = 0 from a, single
+    union all select 'other columns', count(*), false, 0::bigint, false from scored
+    union all select 'no rows', 0, true, 0::bigint, true"""
+)
 def validate_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return V.findings(assemble_matches(spark, sf_dir), V.RESULT, ["matched_entity_ids"])
+    """The checks of results of one row for each anchor: with blank lists allowed and not, with other columns, and empty."""
+    records = _records(spark, sf_dir)
+    scored = written(_scored(records), "scored")
+    lists = D.assemble_matches(scored, THRESHOLD, sides(records)[0])
+    blank = lists.withColumn("matched_entity_ids", F.when(F.col("matched_entity_ids") != "", F.col("matched_entity_ids")))
+    cases = [("blank lists allowed", V.findings(blank, V.RESULT, ["matched_entity_ids"])), ("no blank lists", V.findings(blank, V.RESULT)), ("other columns", V.findings(scored, V.SCORED)), ("no rows", V.findings(lists.limit(0), V.RESULT))]
+    return reduce(DataFrame.unionAll, [df.select(F.lit(name).alias("checked"), "*") for name, df in cases])
+
+
+# files ---------------------------------------------------------------------------
+
+
+@query("select 'S' || (doc_id % 3 + 1) || '-' || doc_id as record_id, text as name, source as address, case when doc_id % 4 = 0 then '' else lang end as country from documents")
+def tsv_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three source files of whole texts, line breaks and quotes included, written, read back under internal names and united."""
+    docs = _table(spark, sf_dir, "documents").withColumn("k", F.col("doc_id") % 3 + 1)
+    raw = docs.select("k", F.concat(F.lit("S"), F.col("k").cast("string"), F.lit("-"), F.col("doc_id").cast("string")).alias("entity_id"), F.col("text").alias("business_name"), F.col("source").alias("business_address"), F.when(F.col("doc_id") % 4 == 0, "").otherwise(F.col("lang")).alias("country"))
+    folder, frames = new_path(spark, "sources"), []
+    for k in (1, 2, 3):
+        tsv.write_tsv(raw.where(F.col("k") == k).drop("k"), f"{folder}/{k}.tsv")
+        frames.append(tsv.require_columns(tsv.read_source(spark, f"{folder}/{k}.tsv"), f"source {k}", ["record_id", "name", "address", "country"]))
+    return R.union_all(frames)
+
+
+@query(f"with {RECORDS} select least(id_1, id_2) as id_1, greatest(id_1, id_2) as id_2 from truth")
+def tsv_ground_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The truth as a file of lists, blank ones included, written, read by position and exploded."""
+    records = _records(spark, sf_dir)
+    path = new_path(spark, "truth")
+    tsv.write_tsv(D.lists(_truth(records), sides(records)[0], "matches"), path)
+    return E.explode_matches(tsv.read_ground_truth(spark, path))
+
+
+@query(f"{ALL} select record_id as source1_entity_id, coalesce(string_agg(id_2, ',' order by id_2), '') as matched_entity_ids from anchors left join (select * from scored where score >= 0.5) on id_1 = record_id group by record_id")
+def resumed_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results of a run that stopped after some anchors, and of one that went on with the others."""
+    records = _records(spark, sf_dir)
+    anchors, path = sides(records)[0], new_path(spark, "results")
+    scored = written(_scored(records), "scored")
+    tsv.write_tsv(D.assemble_matches(scored, THRESHOLD, anchors.where(F.crc32("record_id") % 2 == 0)), path)
+    rest = written(D.remaining(anchors, tsv.read_source(spark, path)), "remaining")
+    tsv.write_tsv(D.assemble_matches(scored.join(rest.select(F.col("record_id").alias("id_1")), "id_1", "left_semi"), THRESHOLD, rest), path, mode="append")
+    return tsv.read_source(spark, path)
+
+
+@query(
+    f"""{ALL}, g as (select 0.01::double + i * (0.98::double / 99) as threshold from range(100) t(i)),
+    c as (select threshold, count(*) filter (label = 1 and score >= threshold) as tp, count(*) filter (label = 0 and score >= threshold) as fp, count(*) filter (label = 1 and score < threshold) as fn from g, scored group by threshold),
+    m as (select *, {_PR} from c), f as (select threshold, {_F} as f from m)
+    select round(threshold, 6) as threshold from f order by round(f, 9) desc, threshold limit 1"""
+)
+def tuned_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best threshold, saved with a model and loaded again."""
+    folder = new_path(spark, "model")
+    M.save_threshold(spark, folder, *D.best_threshold(_scored(_records(spark, sf_dir))))
+    return spark.createDataFrame([(M.load_threshold(spark, folder),)], "threshold double").select(_r6("threshold"))
