@@ -1,50 +1,69 @@
-"""What the operators share: reading tables, schemas and written tables that cut lineage."""
+"""What the operators share: reading tables, tasks over Arrow batches and the memory they hold, and written tables."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+import contextlib
+import ctypes
 import zlib
 from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.types import StructType
+
+from lakeloom.sources.stage import new_path, shared_dir, written  # noqa: F401
+
+T = TypeVar("T")
+#: Rows of a batch. Texts are long and a batch is held several times on its way, so map_arrow sets fewer than Spark does, unless the session names a number.
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir as the cluster names it; a local one only where it is unset, as in tests."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return (named or f"file://{tempfile.gettempdir()}/checkpoints").rstrip("/")
+def only(df: DataFrame, **columns: str) -> DataFrame:
+    """Just the named columns, as new names; extra columns, whatever their names, never meet the operator's own."""
+    return df.select(*[F.col(f"`{old}`").alias(new) for new, old in columns.items()])
 
 
-def written(df: DataFrame, name: str, partition_by: str | None = None, **options: str) -> DataFrame:
-    """`df`, written as Parquet in the shared folder and read again: cuts lineage, survives lost executors and is computed once."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/lakeloom/{name}-{uuid.uuid4().hex}"
-    writer = df.write.options(**options)
-    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+_HELD: dict[object, object] = {}
 
 
-def only(df: DataFrame, **columns: str) -> DataFrame:
-    """Just the named columns, as new names; extra columns, whatever their names, never meet the operator's own."""
-    return df.select(*[F.col(f"`{old}`").alias(new) for new, old in columns.items()])
+def held(key: object, build: Callable[[], T]) -> T:
+    """What a worker built for the tasks it runs now. It holds one such thing at most; whatever else it held goes first."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = build()
+    return _HELD[key]
+
+
+def drop_held() -> None:
+    _HELD.clear()
+
 
+def release() -> None:
+    """Gives unused memory back to the machine: workers outlive their tasks, and an executor's memory is that of all its workers."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only in glibc
+        ctypes.CDLL(None).malloc_trim(0)
 
-def arrow_schema(schema: T.StructType) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
 
-    return to_arrow_schema(schema)
+def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType, holds: bool = False) -> DataFrame:
+    """mapInArrow, after which a worker gives its memory back. Only functions that use held() `hold` what they built from task to task."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not holds:
+            drop_held()
+        yield from fn(batches)
+        release()
 
-def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    return df.mapInArrow(fn, schema)
+    conf = df.sparkSession.conf
+    if conf.get(BATCH, None) is None:
+        conf.set(BATCH, "2000")
+    return df.mapInArrow(run, schema)
 
 
 def id_crc(doc_id: int | None) -> int:

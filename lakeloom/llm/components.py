@@ -14,7 +14,7 @@ def components(links: DataFrame) -> DataFrame:
     labels = written(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("label")), "labels")
     while True:
         near = edges.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        low = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("mid"))
+        low = written(labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("mid")), "low")  # so that a label of many nodes can be split among tasks
         jump = labels.select(F.col("node").alias("mid"), F.col("label").alias("jump"))
         after = written(low.join(jump, "mid").select("node", "old", F.least("mid", "jump").alias("label")), "labels")
         if after.where("old <> label").isEmpty():

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import only, texts, written
+from lakeloom.llm.common import map_arrow, only, texts, written
 
 Key = tuple[int, int]  # hash, doc_id; a boundary is the least key at or above it
 LOW, HIGH = -(2**63), 2**63 - 1
@@ -34,7 +34,7 @@ def keys(docs: DataFrame, text: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pc.fill_null(batch.column(1), LOW), pa.array([len(x) + 1 for x in raw], pa.int64()), batch.column(1), pa.array([zlib.crc32(x) for x in raw], pa.int64())], ["h", "d", "size", "doc_id", "text_crc32"])
 
     slim = only(docs, doc_id="doc_id", text=text).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return slim.select(F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), "doc_id", "text").mapInArrow(run, "h bigint, d bigint, size bigint, doc_id bigint, text_crc32 bigint")
+    return map_arrow(slim.select(F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), "doc_id", "text"), run, "h bigint, d bigint, size bigint, doc_id bigint, text_crc32 bigint")
 
 
 def bucket_of(h: np.ndarray, d: np.ndarray, probes: list[Key]) -> np.ndarray:
@@ -63,7 +63,7 @@ def counted(slim: DataFrame, probes: list[Key]) -> list[tuple[int, int]]:
         full = np.flatnonzero(rows)
         yield pa.RecordBatch.from_arrays([pa.array(full), pa.array(size[full]), pa.array(rows[full])], ["b", "bytes", "rows"])
 
-    got = slim.select("h", "d", "size").mapInArrow(run, "b bigint, bytes bigint, rows bigint").groupBy("b").agg(F.sum("bytes").alias("bytes"), F.sum("rows").alias("rows")).collect()
+    got = map_arrow(slim.select("h", "d", "size"), run, "b bigint, bytes bigint, rows bigint").groupBy("b").agg(F.sum("bytes").alias("bytes"), F.sum("rows").alias("rows")).collect()
     size, rows = np.zeros(len(probes) + 1, np.int64), np.zeros(len(probes) + 1, np.int64)
     for r in got:
         size[r["b"]], rows[r["b"]] = r["bytes"], r["rows"]
@@ -135,6 +135,6 @@ def shards(docs: DataFrame, n: int = 16, text: str = "text", tolerance: float =
             b = bucket_of(batch.column(0).to_numpy(), batch.column(1).to_numpy(), probes)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(b.astype(np.int32)), pa.array(own[b]), pa.array(offset[b])], [*batch.schema.names, "range", "shard", "offset"])
 
-    dealt = slim.mapInArrow(assign, "h bigint, d bigint, size bigint, doc_id bigint, text_crc32 bigint, range int, shard int, offset bigint")
+    dealt = map_arrow(slim, assign, "h bigint, d bigint, size bigint, doc_id bigint, text_crc32 bigint, range int, shard int, offset bigint")
     slot = F.col("offset") + F.row_number().over(Window.partitionBy("range").orderBy("h", "d")) - 1
     return dealt.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", slot.alias("slot"), F.lit(None).cast("int").alias("grown_shard"))

@@ -21,6 +21,7 @@ LOWER[65:91] += 32
 _SPLIT, _BASE = U64(0xBF58476D1CE4E5B9), 0x9E3779B97F4A7C15
 _VAL = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=U64) * U64(2) + U64(1)
 _POW = _INV = np.ones(1, U64)
+GROUP = 1 << 18
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -31,15 +32,15 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the odd base and of its inverse; grown to the longest slab seen."""
+    """Powers of the odd base and of its inverse; grown to the longest span seen."""
     global _POW, _INV
     if len(_POW) < n:
-        n = max(n, 1 << 20)
+        n = max(n, GROUP + 1)
         _POW, _INV = (np.concatenate([np.ones(1, U64), np.cumprod(np.full(n - 1, b, U64), dtype=U64)]) for b in (_BASE, pow(_BASE, -1, 1 << 64)))
     return _POW[:n], _INV[:n]
 
 
-def slabs(column: pa.Array | pa.ChunkedArray, limit: int = 1 << 21) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def slabs(column: pa.Array | pa.ChunkedArray, limit: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Runs of whole texts of about `limit` bytes: first row, end row, bytes, offsets. Null texts are empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -77,11 +78,20 @@ def word_spans(data: np.ndarray, offs: np.ndarray, sep: np.ndarray = SPACE) -> t
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes that depend on a span's bytes only."""
-    power, inverse = _powers(len(data) + 1)
-    total = np.zeros(len(data) + 1, U64)
-    np.cumsum(_VAL[data] * power[: len(data)], out=total[1:])
-    return mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(U64))
+    """64-bit hashes of ordered spans that depend on a span's bytes only. Spans are taken together as far as they lie within GROUP bytes, so that no table is as long as a long text."""
+    out = np.empty(len(starts), U64)
+    i = 0
+    while i < len(starts):
+        lo = int(starts[i])
+        j = max(i + 1, int(np.searchsorted(ends, lo + GROUP, "right")))
+        a, b = starts[i:j] - lo, ends[i:j] - lo
+        n = int(b[-1])
+        power, inverse = _powers(n + 1)
+        total = np.zeros(n + 1, U64)
+        np.cumsum(_VAL[data[lo : lo + n]] * power[:n], out=total[1:])
+        out[i:j] = mix((total[b] - total[a]) * inverse[a] + (b - a).astype(U64))
+        i = j
+    return out
 
 
 def shingle_hashes(words: np.ndarray, bounds: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -109,42 +119,6 @@ def shingle_hashes(words: np.ndarray, bounds: np.ndarray, k: int) -> tuple[np.nd
     return h, text[at] if len(at) else np.zeros(0, np.int64), at
 
 
-class Memo:
-    """A bounded table from span hash to a run of integers, looked up for whole arrays. When full it starts anew, so that its size never follows the input."""
-
-    def __init__(self, limit: int = 1_500_000, dtype=np.uint32):
-        self.limit, self.dtype = limit, dtype
-        self.clear()
-
-    def clear(self) -> None:
-        self.keys, self.start, self.size = np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.int32)
-        self.pool = np.zeros(1 << 16, self.dtype)
-        self.used = 0
-
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """Places of sorted distinct keys; -1 for those that are missing."""
-        if not len(self.keys):
-            return np.full(len(keys), -1, np.int64)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, at, -1)
-
-    def add(self, keys: np.ndarray, values: np.ndarray, sizes: np.ndarray) -> None:
-        """Adds missing keys with their concatenated values."""
-        need = self.used + len(values)
-        if need > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.zeros(max(need, len(self.pool)), self.dtype)])
-        self.pool[self.used : need] = values
-        starts = self.used + np.cumsum(sizes) - sizes
-        self.used = need
-        keys = np.concatenate([self.keys, keys])
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.start, self.size = keys[order], np.concatenate([self.start, starts])[order], np.concatenate([self.size, sizes.astype(np.int32)])[order]
-
-    def make_room(self, n: int) -> None:
-        if len(self.keys) + n > self.limit:
-            self.clear()
-
-
 def gather(pool: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The runs pool[start:start+size], concatenated."""
     ends = np.cumsum(size)
