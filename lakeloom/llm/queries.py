@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeloom.llm import bpe, decontaminate, html_extract, lm_score, near_dedup, shards, telephony, token_counts, token_store, toxicity
-from lakeloom.llm.common import table
+from lakeloom.llm.common import new_path, table, written
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -20,7 +20,7 @@ def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return telephony.analysed(telephony.store(table(spark, sf_dir, "documents")))
+    return telephony.analysed(written(telephony.store(table(spark, sf_dir, "documents")), "media", compression="zstd"))
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,7 +28,7 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = token_store.new_path(spark)
+    path = new_path(spark, "tokens")
     token_store.write(table(spark, sf_dir, "documents"), path, TOKENIZER)
     return token_store.digests(spark, path)
 

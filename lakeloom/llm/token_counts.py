@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.llm.chunks import ChunkEncoder
-from lakeloom.llm.common import only
+from lakeloom.llm.common import held, map_arrow, only
 
 SPACE, UNKNOWN_PENALTY, NEVER = "▁", 10.0, -1e8
 
@@ -67,9 +67,10 @@ class UnigramCounter:
             unknown(done)
         return score[-1], count[-1]
 
-    def counts(self, stretches: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def counts(self, runs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
         """One number for each stretch."""
-        return np.array([self.best(s.decode().replace(" ", SPACE))[1] for s in stretches], np.uint32), np.ones(len(stretches), np.int64)
+        out = np.array([self.best(s.decode().replace(" ", SPACE))[1] for r in runs for s in r], np.uint32)
+        return out, np.ones(len(out), np.int64)
 
 
 def word_cuts(data: np.ndarray) -> np.ndarray:
@@ -77,9 +78,6 @@ def word_cuts(data: np.ndarray) -> np.ndarray:
     return np.flatnonzero((data[1:] == 32) & (data[:-1] != 32)) + 1
 
 
-_COUNTERS: dict[str, ChunkEncoder] = {}
-
-
 def vocabulary(model_file: str) -> tuple[list[tuple[str, float]], bool]:
     """Normal pieces and scores of a model file, and whether it has byte pieces. Scores that only mark a piece as never to be made (NEVER and less) become one less than the least other."""
     import sentencepiece
@@ -92,9 +90,7 @@ def vocabulary(model_file: str) -> tuple[list[tuple[str, float]], bool]:
 
 def counter(model_file: str) -> ChunkEncoder:
     """One for each worker."""
-    if model_file not in _COUNTERS:
-        _COUNTERS[model_file] = ChunkEncoder(UnigramCounter(*vocabulary(model_file)).counts, word_cuts)
-    return _COUNTERS[model_file]
+    return held(("unigram", model_file), lambda: ChunkEncoder(UnigramCounter(*vocabulary(model_file)).counts, word_cuts))
 
 
 def token_counts(docs: DataFrame, model_file: str, text: str = "text") -> DataFrame:
@@ -108,4 +104,4 @@ def token_counts(docs: DataFrame, model_file: str, text: str = "text") -> DataFr
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(np.diff(total))], ["doc_id", "n_tokens"])
 
     spaced = F.when(F.length("text") > 0, F.concat(F.lit(" "), F.col("text"))).otherwise("")
-    return only(docs, doc_id="doc_id", text=text).select(F.col("doc_id").cast("long"), spaced.cast("string").alias("text")).mapInArrow(run, "doc_id bigint, n_tokens bigint")
+    return map_arrow(only(docs, doc_id="doc_id", text=text).select(F.col("doc_id").cast("long"), spaced.cast("string").alias("text")), run, "doc_id bigint, n_tokens bigint", holds=True)

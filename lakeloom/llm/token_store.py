@@ -9,8 +9,8 @@ a whole; Spark's committer makes lost tasks harmless.
 
 from __future__ import annotations
 
+import os
 import re
-import uuid
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -21,8 +21,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakeloom.llm.chunks import ChunkEncoder
-from lakeloom.llm.common import only, shared_dir, written
+from lakeloom.llm.chunks import ChunkEncoder, sizes_of
+from lakeloom.llm.common import held, map_arrow, only, written
 
 WRITER = {
     "parquet.writer.version": "v2",
@@ -62,40 +62,31 @@ class Encoder:
             yield i, j, ids, bounds
 
 
-_ENCODERS: dict[str, Encoder] = {}
+def build_encoder(path: str) -> Encoder:
+    """The library encodes runs of distinct stretches of text, and whole texts where added tokens occur."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks have one core
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    vocabulary = tokenizer.get_vocab()
+    length = np.zeros(max(vocabulary.values()) + 1, np.int64)  # bytes of each token, a character of the vocabulary being a byte
+    length[list(vocabulary.values())] = list(map(len, vocabulary))
+
+    def encode(runs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+        got = [np.array(x.ids, np.uint32) for x in tokenizer.encode_batch_fast([b"".join(r).decode() for r in runs], add_special_tokens=False)]
+        return np.concatenate(got), np.concatenate([sizes_of(r, length[x]) for r, x in zip(runs, got, strict=True)])
+
+    added = [re.escape(t.content) for t in tokenizer.get_added_tokens_decoder().values()]
+    return Encoder(ChunkEncoder(encode), "|".join(added), lambda text: tokenizer.encode(text, add_special_tokens=False).ids)
 
 
 def encoder(path: str) -> Encoder:
-    """One for each worker: the library's own pre-tokenizer and model, on distinct stretches of text; the library itself where added tokens occur."""
-    if path not in _ENCODERS:
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(path)
-        model, split, words = tokenizer.model, tokenizer.pre_tokenizer.pre_tokenize_str, {}
-
-        def encode(chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-            flat: list[int] = []
-            sizes = []
-            for c in chunks:
-                before = len(flat)
-                for w, _ in split(c.decode()):
-                    got = words.get(w)
-                    if got is None:
-                        got = [t.id for t in model.tokenize(w)]
-                        if len(words) > 200_000:
-                            words.clear()
-                        words[w] = got
-                    flat += got
-                sizes.append(len(flat) - before)
-            return np.array(flat, np.uint32), np.array(sizes, np.int64)
-
-        added = [re.escape(t.content) for t in tokenizer.get_added_tokens_decoder().values()]
-        _ENCODERS[path] = Encoder(ChunkEncoder(encode), "|".join(added), lambda text: tokenizer.encode(text, add_special_tokens=False).ids)
-    return _ENCODERS[path]
+    """One for each worker."""
+    return held(("tokenizer", path), lambda: build_encoder(path))
 
 
 def token_ids(docs: DataFrame, tokenizer: str, text: str = "text", end: int | None = 0) -> DataFrame:
-    """doc_id, n_tokens and tokens of every whole text as the library encodes it, added tokens' strings being those tokens, with the id `end` after each (unless None). Null and empty texts have the end id alone."""
+    """doc_id, n_tokens and tokens of every whole text as the library encodes it, added tokens' strings being those tokens, with the id `end` after each (unless None). Null and empty texts have the end id alone; repeated rows stay, an empty table gives no rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(tokenizer)
@@ -107,11 +98,11 @@ def token_ids(docs: DataFrame, tokenizer: str, text: str = "text", end: int | No
                 lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.view(np.int32)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(np.diff(bounds).astype(np.int32)), lists], ["doc_id", "n_tokens", "tokens"])
 
-    return only(docs, doc_id="doc_id", text=text).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id bigint, n_tokens int, tokens array<int>")
+    return map_arrow(only(docs, doc_id="doc_id", text=text).select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, "doc_id bigint, n_tokens int, tokens array<int>", holds=True)
 
 
 def write(docs: DataFrame, path: str, tokenizer: str, text: str = "text", end: int | None = 0) -> None:
-    """Encodes every text and writes doc_id, n_tokens, tokens in ascending doc_id order; null ids come first. Texts are exchanged by range once, and encoded in the order they are written."""
+    """Encodes every text and writes doc_id, n_tokens, tokens in ascending doc_id order; null ids come first, repeated rows stay, an empty table gives a store without rows. Texts are exchanged by range once, and encoded in the order they are written."""
     slim = only(docs, doc_id="doc_id", text=text).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     token_ids(slim.repartitionByRange("doc_id").sortWithinPartitions("doc_id"), tokenizer, end=end).write.options(**WRITER).parquet(path)
 
@@ -149,12 +140,8 @@ def digests(spark: SparkSession, path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes), batch.column(3), pa.array(local, pa.int64()), pa.array(crc, pa.int64())], ["doc_id", "n_tokens", "at", "local", "ids_crc32"])
 
     rows = read(spark, path).select("doc_id", "n_tokens", "tokens", place.alias("at"))
-    hashed = written(rows.mapInArrow(run, "doc_id bigint, n_tokens bigint, at struct<file:string,block:bigint>, local bigint, ids_crc32 bigint"), "digests")
+    hashed = written(map_arrow(rows, run, "doc_id bigint, n_tokens bigint, at struct<file:string,block:bigint>, local bigint, ids_crc32 bigint"), "digests")
     totals = hashed.groupBy("at").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.sum("n_tokens").alias("n"))
     order = Window.orderBy(F.col("high").asc_nulls_first(), F.col("low").asc_nulls_first(), "at").rowsBetween(Window.unboundedPreceding, -1)
     before = totals.select("at", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("before"))
     return hashed.join(before, "at").select("doc_id", (F.col("before") + F.col("local")).alias("start"), "n_tokens", "ids_crc32")
-
-
-def new_path(spark: SparkSession) -> str:
-    return f"{shared_dir(spark)}/lakeloom/tokens-{uuid.uuid4().hex}"
