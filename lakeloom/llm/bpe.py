@@ -1,13 +1,14 @@
 """Byte-level BPE in DuckDB: encoding by recursive queries, decoding by ordered aggregation.
 
 A text is cut by the tokenizer's pattern. Each task keeps a bounded memo from
-stretch of text to ids; what is not in it goes to an in-process DuckDB as one
-row for each word and byte. The recursive query joins neighbouring rows with the
-merge table, contracts every word's leftmost pair of least rank and goes on with
-the words that had one, until none has. The ids are those of the tiktoken
-library with the same ranks and pattern. Words over LONG bytes, for which one
-contraction a round would be quadratic, are contracted by the same rule over a
-heap of pairs.
+stretch of text to ids, compared by bytes; what is not in it goes to an
+in-process DuckDB as one row for each word and byte. The recursive query joins
+neighbouring rows with the merge table, contracts every word's leftmost pair of
+least rank and goes on with the words that had one, until none has. The ids are
+those of the tiktoken library with the same ranks and pattern. For words over
+LONG bytes a round contracts all pairs of the word's least rank, from the left,
+where no pair that this makes can rank lower. Words over HUGE bytes, whose rounds
+would be too many, are contracted by the same rule over a heap of pairs.
 """
 
 from __future__ import annotations
@@ -15,7 +16,6 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,11 +24,11 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm import vec
-from lakeloom.llm.chunks import ChunkEncoder
-from lakeloom.llm.common import only
+from lakeloom.llm.chunks import ChunkEncoder, sizes_of
+from lakeloom.llm.common import held, map_arrow, only
 
-LONG = 1024
+LONG, HUGE = 1024, 4096
+AT_ONCE = 150_000  # ids that one query decodes
 #: state: the tokens of the words that still change, in the order of their places, with the least (rank, place) of any pair of each word; words whose best is null are done.
 ENCODE = """
 with recursive state(place, word, tok, best) as (
@@ -56,6 +56,40 @@ with recursive state(place, word, tok, best) as (
 )
 select word, tok from state where best is null order by place
 """
+#: As ENCODE, but a round contracts every second row of each run of rows that begin a pair of the word's least rank; of ranks that are not `sure`, the leftmost alone.
+ENCODE_LONG = """
+with recursive state(place, word, tok, id, best) as (
+    select place, word, tok, id, min(id) over (partition by word)
+    from (
+        select s.place, s.word, s.tok, m.id
+        from (select place, word, tok, case when lead(word) over w = word then lead(tok) over w end as follower from start window w as (order by place)) s
+        left join merges m on m.a = s.tok and m.b = s.follower
+    )
+    union all
+    select place, word, tok, id, min(id) over (partition by word)
+    from (
+        select s.place, s.word, s.tok, m.id
+        from (
+            select place, word, tok, case when lead(word) over w = word then lead(tok) over w end as follower
+            from (
+                select place, word, if(starts, best, tok)::integer as tok, lag(starts) over (order by place) as gone
+                from (
+                    select s.place, s.word, s.tok, s.best, coalesce(s.id = s.best and (s.row - s.apart) % 2 = 1 and (u.id is not null or s.place = s.leftmost), false) as starts
+                    from (
+                        select *, coalesce(max(if(id = best, null, row)) over (partition by word order by place), 0) as apart, min(if(id = best, place, null)) over (partition by word) as leftmost
+                        from (select *, row_number() over (partition by word order by place) as row from state where best is not null)
+                    ) s
+                    left join sure u on u.id = s.best
+                )
+            )
+            where not coalesce(gone, false)
+            window w as (order by place)
+        ) s
+        left join merges m on m.a = s.tok and m.b = s.follower
+    )
+)
+select word, tok from state where best is null order by place
+"""
 #: Decoding: the bytes of each text's tokens in the order of their places, every byte as the character of that number.
 DECODE = """
 select t.text, string_agg(v.bytes, '' order by t.place) as bytes
@@ -108,12 +142,12 @@ class Contractor:
         import duckdb
 
         self.ranks = ranks
-        self.folder = tempfile.TemporaryDirectory()
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "150MB", "temp_directory": self.folder.name})
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "128MB", "temp_directory": ""})
         a, b, n = merge_rows(ranks)
         merges = pa.table({"a": pa.array(a, pa.int32()), "b": pa.array(b, pa.int32()), "id": pa.array(n, pa.int32())})
         self.con.register("given", merges)
         self.con.execute("create table merges as select * from given")
+        self.con.execute("create table sure as select distinct id from given where id not in (select a from given where a >= id union select b from given where b >= id)")
         self.con.unregister("given")
         vocabulary = pa.table({"id": pa.array(ranks.values(), pa.int32()), "bytes": [t.decode("latin-1") for t in ranks]})
         self.con.register("given", vocabulary)
@@ -122,46 +156,47 @@ class Contractor:
         self.of_byte = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
 
     def decode(self, ids: np.ndarray, bounds: np.ndarray) -> list[bytes]:
-        """The bytes of each run ids[bounds[i]:bounds[i+1]]."""
-        texts = np.repeat(np.arange(len(bounds) - 1, dtype=np.int32), np.diff(bounds))
-        out = [b""] * (len(bounds) - 1)
-        if not len(ids):
-            return out
-        self.con.register("ids", pa.table({"text": texts, "place": np.arange(len(ids), dtype=np.int64), "id": ids.astype(np.int32)}))
-        for text, data in self.con.sql(DECODE).fetchall():
-            out[text] = data.encode("latin-1")
-        self.con.unregister("ids")
-        return out
+        """The bytes of each run ids[bounds[i]:bounds[i+1]], AT_ONCE ids at a time."""
+        out = [[] for _ in bounds[1:]]
+        for lo in range(0, len(ids), AT_ONCE):
+            part = ids[lo : lo + AT_ONCE]
+            place = np.arange(lo, lo + len(part))
+            self.con.register("ids", pa.table({"text": (np.searchsorted(bounds, place, "right") - 1).astype(np.int32), "place": place, "id": part.astype(np.int32)}))
+            for text, data in self.con.sql(DECODE).fetchall():
+                out[text].append(data.encode("latin-1"))
+            self.con.unregister("ids")
+        return [b"".join(x) for x in out]
 
     def encode(self, words: list[bytes]) -> list[np.ndarray]:
         """The ids of each word; a word that is a token itself has that id alone."""
         out: list = [None] * len(words)
-        rest = []
+        short, long = [], []
         for i, w in enumerate(words):
             if (r := self.ranks.get(w)) is not None:
                 out[i] = [r]
-            elif len(w) > LONG:
+            elif len(w) > HUGE:
                 out[i] = by_heap(w, self.ranks)
             else:
-                rest.append(i)
-        lo = 0
-        while lo < len(rest):
-            hi, size = lo, 0
-            while hi < len(rest) and (size < 200_000 or hi == lo):
-                size += len(words[rest[hi]])
-                hi += 1
-            part = rest[lo:hi]
-            for i, ids in zip(part, self.contract([words[i] for i in part]), strict=True):
-                out[i] = ids
-            lo = hi
+                (long if len(w) > LONG else short).append(i)
+        for rest, query in ((short, ENCODE), (long, ENCODE_LONG)):
+            lo = 0
+            while lo < len(rest):
+                hi, size = lo, 0
+                while hi < len(rest) and (size < 100_000 or hi == lo):
+                    size += len(words[rest[hi]])
+                    hi += 1
+                part = rest[lo:hi]
+                for i, ids in zip(part, self.contract([words[i] for i in part], query), strict=True):
+                    out[i] = ids
+                lo = hi
         return out
 
-    def contract(self, words: list[bytes]) -> list[np.ndarray]:
+    def contract(self, words: list[bytes], query: str = ENCODE) -> list[np.ndarray]:
         size = np.array([len(w) for w in words])
         ends = np.cumsum(size)
         flat = np.frombuffer(b"".join(words), np.uint8)
         self.con.register("start", pa.table({"place": np.arange(ends[-1]), "word": np.repeat(np.arange(len(words), dtype=np.int32), size), "tok": self.of_byte[flat]}))
-        got = self.con.sql(ENCODE).to_arrow_table()
+        got = self.con.sql(query).to_arrow_table()
         self.con.unregister("start")
         word, tok = got.column("word").to_numpy(), got.column("tok").to_numpy()
         cuts = np.searchsorted(word, np.arange(len(words) + 1))
@@ -171,46 +206,38 @@ class Contractor:
 class BpeCodec:
     """Encodes columns of texts through a memo and DuckDB, and decodes ids."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, stretches: int = 1_000_000, words: int = 2_000_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, stretches: int = 32 << 20, words: int = 80 << 20):
         import regex
 
-        self.split, self.words = regex.compile(pattern).findall, vec.Memo(words)
+        self.split = regex.compile(pattern).findall
         self.contractor = Contractor(ranks)
+        self.words = ChunkEncoder(self.contracted, limit=words)
         self.chunks = ChunkEncoder(self.encode_chunks, limit=stretches)
 
-    def encode_chunks(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def contracted(self, runs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+        got = self.contractor.encode([w for r in runs for w in r])
+        return np.concatenate([np.asarray(x, np.uint32) for x in got]), np.fromiter(map(len, got), np.int64, len(got))
+
+    def encode_chunks(self, runs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of stretches of text, one after another, and how many each has: split by the pattern, unknown words contracted together."""
-        split = [self.split(c.decode()) for c in chunks]
-        words = [w.encode() for ws in split for w in ws]
+        words, counts = [], []
+        for r in runs:
+            own = [w.encode() for w in self.split(b"".join(r).decode())]
+            counts.append(sizes_of(r, np.fromiter(map(len, own), np.int64, len(own))))
+            words += own
         ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
-        starts = np.concatenate([[0], ends[:-1]])
-        keys, first, back = np.unique(vec.span_hashes(np.frombuffer(b"".join(words), np.uint8), starts, ends), return_index=True, return_inverse=True)
-        lost = np.flatnonzero(self.words.find(keys) < 0)
-        if len(self.words.keys) + len(lost) > self.words.limit:
-            self.words.clear()
-            lost = np.arange(len(keys))
-        if len(lost):
-            got = self.contractor.encode([words[i] for i in first[lost].tolist()])
-            self.words.add(keys[lost], np.concatenate([np.asarray(x, np.uint32) for x in got]), np.fromiter(map(len, got), np.int64, len(got)))
-        at = self.words.find(keys)[back]
-        size = self.words.size[at].astype(np.int64)
-        of_chunk = np.cumsum(np.fromiter(map(len, split), np.int64, len(split)))
-        total = np.concatenate([[0], np.cumsum(size)])[of_chunk]
-        return vec.gather(self.words.pool, self.words.start[at], size), np.diff(total, prepend=0)
+        ids, size = self.words.memo.values(self.words.places(np.frombuffer(b"".join(words), np.uint8), np.concatenate([[0], ends])))
+        total = np.concatenate([[0], np.cumsum(size)])[np.cumsum(np.concatenate(counts))]
+        return ids, np.diff(total, prepend=0)
 
     def decode(self, ids: np.ndarray, bounds: np.ndarray) -> list[bytes]:
         """The bytes of each run ids[bounds[i]:bounds[i+1]]."""
         return self.contractor.decode(ids, bounds)
 
 
-_CODECS: dict[tuple[str, str], BpeCodec] = {}  # one for each worker process
-
-
 def codec(ranks_path: str, pattern: str) -> BpeCodec:
-    key = (ranks_path, pattern)
-    if key not in _CODECS:
-        _CODECS[key] = BpeCodec(load_ranks(ranks_path), pattern)
-    return _CODECS[key]
+    """One for each worker."""
+    return held((ranks_path, pattern), lambda: BpeCodec(load_ranks(ranks_path), pattern))
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text") -> DataFrame:
@@ -222,7 +249,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text") -
             for i, j, ids, bounds in own.chunks.column(batch.column(1)):
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.view(np.int32)))], ["doc_id", "ids"])
 
-    return only(docs, doc_id="doc_id", text=text).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id bigint, ids array<int>")
+    return map_arrow(only(docs, doc_id="doc_id", text=text).select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, "doc_id bigint, ids array<int>", holds=True)
 
 
 def decode(tokens: DataFrame, ranks_path: str, pattern: str, ids: str = "ids") -> DataFrame:
@@ -240,11 +267,11 @@ def decode(tokens: DataFrame, ranks_path: str, pattern: str, ids: str = "ids") -
                 out = own.decode(flat, np.concatenate([[0], np.cumsum(sizes)]))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, step), part, pa.array(out, pa.binary())], ["doc_id", "ids", "bytes"])
 
-    return only(tokens, doc_id="doc_id", ids=ids).mapInArrow(run, "doc_id bigint, ids array<int>, bytes binary")
+    return map_arrow(only(tokens, doc_id="doc_id", ids=ids), run, "doc_id bigint, ids array<int>, bytes binary", holds=True)
 
 
 def round_trip_digests(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text") -> DataFrame:
-    """Encodes, decodes the ids, and returns doc_id, n_tokens, ids_sha256 (of little-endian 32-bit ids) and decoded_sha256; in one Python worker for each task. Null and empty texts have no ids and empty decoded bytes."""
+    """Encodes, decodes the ids, and returns doc_id, n_tokens, ids_sha256 (of little-endian 32-bit ids) and decoded_sha256; in one Python worker for each task. Null and empty texts have no ids and empty decoded bytes; repeated rows stay, an empty table gives no rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(ranks_path, pattern)
@@ -256,4 +283,4 @@ def round_trip_digests(docs: DataFrame, ranks_path: str, pattern: str, text: str
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(np.diff(bounds)), pa.array(digests), pa.array(decoded)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     slim = only(docs, doc_id="doc_id", text=text).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return slim.mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return map_arrow(slim, run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string", holds=True)
