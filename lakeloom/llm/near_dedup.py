@@ -26,12 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.llm import vec
-from lakeloom.llm.common import only, written
+from lakeloom.llm.common import map_arrow, only, written
 from lakeloom.llm.components import components
 
 U32 = np.uint32
 BLOCK, FEW = 512, 24
-FILTER_BITS, PROBES = 1 << 26, 3
+FILTER_BITS, PROBES = 1 << 28, 3
 
 
 def scatter(x: np.ndarray) -> np.ndarray:
@@ -52,6 +52,16 @@ def text_sets(column: pa.Array, k: int) -> Iterator[tuple[int, int, np.ndarray,
         yield i, j, np.concatenate(sets) if sets else h[:0], np.concatenate([[0], np.cumsum([len(s) for s in sets])])
 
 
+def set_hashes(shingles: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of each set of shingles; 0 for an empty one."""
+    full = np.flatnonzero(np.diff(bounds))
+    s1, s2 = np.zeros(len(bounds) - 1, np.uint64), np.zeros(len(bounds) - 1, np.uint64)
+    if len(full):
+        s1[full] = np.add.reduceat(vec.mix(shingles), bounds[full])
+        s2[full] = np.add.reduceat(vec.mix(shingles ^ np.uint64(0xD6E8FEB86659FD93)), bounds[full])
+    return s1.view(np.int64), s2.view(np.int64)
+
+
 def band_hashes(shingles: np.ndarray, bounds: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """Bucket hashes, one row for each text with shingles."""
     full = np.flatnonzero(np.diff(bounds))
@@ -74,17 +84,12 @@ def signatures(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, shingles, bounds in text_sets(batch.column(1), k):
-                n = np.diff(bounds)
-                full = np.flatnonzero(n)
-                s1, s2 = np.zeros(j - i, np.uint64), np.zeros(j - i, np.uint64)
-                if len(full):
-                    s1[full] = np.add.reduceat(vec.mix(shingles), bounds[full])
-                    s2[full] = np.add.reduceat(vec.mix(shingles ^ np.uint64(0xD6E8FEB86659FD93)), bounds[full])
+                n, (s1, s2) = np.diff(bounds), set_hashes(shingles, bounds)
                 flat = band_hashes(shingles, bounds, bands, rows).reshape(-1)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.where(n > 0, bands, 0))]).astype(np.int32)), pa.array(flat))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(n.astype(np.int64)), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)), lists], ["doc_id", "n_shingles", "s1", "s2", "buckets"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(n.astype(np.int64)), pa.array(s1), pa.array(s2), lists], ["doc_id", "n_shingles", "s1", "s2", "buckets"])
 
-    return docs.mapInArrow(run, "doc_id bigint, n_shingles bigint, s1 bigint, s2 bigint, buckets array<bigint>")
+    return map_arrow(docs, run, "doc_id bigint, n_shingles bigint, s1 bigint, s2 bigint, buckets array<bigint>")
 
 
 def filter_places(ids: np.ndarray, size: int) -> np.ndarray:
@@ -95,7 +100,7 @@ def filter_places(ids: np.ndarray, size: int) -> np.ndarray:
 
 
 def id_filter(ids: DataFrame, count: int) -> np.ndarray:
-    """A Bloom filter of the ids, 12 bits each: 64-bit words, at most FILTER_BITS in all."""
+    """A Bloom filter of the ids, 12 bits each: 64-bit words, at most FILTER_BITS in all. Beyond that more ids that were not asked for pass it, to be dropped by the join after it."""
     size = -(-min(max(64, 12 * count), FILTER_BITS) // 64) * 64
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,39 +112,42 @@ def id_filter(ids: DataFrame, count: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(full), pa.array(words[full].view(np.int64))], ["at", "word"])
 
     out = np.zeros(size // 64, np.uint64)
-    got = ids.mapInArrow(run, "at bigint, word bigint").groupBy("at").agg(F.bit_or("word").alias("word")).toArrow()
+    got = map_arrow(ids, run, "at bigint, word bigint").groupBy("at").agg(F.bit_or("word").alias("word")).toArrow()
     out[got.column("at").to_numpy()] = got.column("word").to_numpy().view(np.uint64)
     return out
 
 
-def shingle_sets(docs: DataFrame, k: int, words: np.ndarray | None = None) -> DataFrame:
-    """node (doc_id) and its sorted distinct shingle hashes; with a filter, only of ids that may be in it. Null ids have none."""
-    shared = docs.sparkSession.sparkContext.broadcast(words)
+def sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+    """node and shingles (the sorted distinct shingle hashes) of wanted nodes, each given with the doc_id and the set hashes of one of its texts.
+
+    Tasks leave texts where they are; only the sets of doc_ids that pass a bounded filter move.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(id_filter(wanted.select("doc"), wanted.count()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in batches:
             batch = batch.filter(batch.column(0).is_valid())
-            if own is not None and batch.num_rows:
+            if batch.num_rows:
                 at = filter_places(batch.column(0).to_numpy(), 64 * len(own))
                 batch = batch.filter(pa.array(((own[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)).all(axis=1)))
             for i, j, shingles, bounds in text_sets(batch.column(1), k):
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(shingles.view(np.int64)))], ["node", "shingles"])
-
-    return docs.mapInArrow(run, "node bigint, shingles array<bigint>")
+                columns = [pa.array(x) for x in (np.diff(bounds), *set_hashes(shingles, bounds))]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), *columns, pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(shingles.view(np.int64)))], ["doc", "n_shingles", "s1", "s2", "shingles"])
 
+    key = ["doc", "s1", "s2", "n_shingles"]
+    found = map_arrow(docs, run, "doc bigint, n_shingles bigint, s1 bigint, s2 bigint, shingles array<bigint>")
+    return found.join(wanted, key).dropDuplicates(key).select("node", "shingles")
 
-def sets_of(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
-    """Shingle sets of the documents with these ids, once for each id.
 
-    As long as a bounded Bloom filter can tell the ids, tasks leave other texts where they are and only sets move; beyond that the texts are joined by id.
-    """
-    count = ids.count()
-    if 12 * count <= FILTER_BITS:
-        found = shingle_sets(docs, k, id_filter(ids, count)).join(ids, "node", "left_semi")
-    else:
-        found = shingle_sets(docs.join(ids, docs["doc_id"] == ids["node"], "left_semi"), k)
-    return found.dropDuplicates(["node"])
+def links_by_id(base: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Links (a, b) between the shingle sets of texts that share a doc_id."""
+    key = ["s1", "s2", "n_shingles"]
+    some = base.where("n_shingles > 0 and doc_id is not null").select("doc_id", *key)
+    one = F.struct(*key)
+    repeated = some.groupBy("doc_id").agg(F.min(one).alias("lo"), F.max(one).alias("hi")).where("lo <> hi").select("doc_id")
+    held = written(some.join(repeated, "doc_id").distinct().join(nodes.select("node", *key), key).select("doc_id", "node"), "held")
+    return held.join(held.groupBy("doc_id").agg(F.min("node").alias("a")), "doc_id").where("a < node").select("a", F.col("node").alias("b")).distinct()
 
 
 def similar(sets: DataFrame, pairs: DataFrame, a: str, b: str) -> DataFrame:
@@ -208,7 +216,7 @@ def links_within(cells: DataFrame, num: int, den: int) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in found], pa.int64()) for c in (0, 1)], ["a", "b"])
 
     dealt = cells.repartition("hub", "p", "q").sortWithinPartitions("hub", "p", "q")
-    return dealt.select("hub", "p", "q", "part", "node", "label", "size", "own").mapInArrow(run, "a bigint, b bigint").distinct()
+    return map_arrow(dealt.select("hub", "p", "q", "part", "node", "label", "size", "own"), run, "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", k: int = 3, num: int = 85, den: int = 100, bands: int = 20, rows: int = 4) -> DataFrame:
@@ -216,22 +224,25 @@ def near_duplicates(docs: DataFrame, text: str = "text", k: int = 3, num: int =
 
     Words are runs of bytes outside ASCII white space after A-Z are lower-cased; a text with fewer than k words has them all as one shingle.
     Texts that are null, empty or without words have no shingles and no links. A row with a null doc_id links with nothing: component_id is null, kept true.
-    Rows that share a doc_id are one document if their texts are equal and else link through that id. Shingles count as equal if their 64-bit hashes are.
+    Rows that share a doc_id are one document: whatever links with one of its texts links with all of them but those without shingles. n_shingles is each row's own.
+    An empty table gives no rows. Shingles count as equal if their 64-bit hashes are.
     """
     slim = only(docs, doc_id="doc_id", text=text).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    key = ["s1", "s2", "n_shingles"]
     base = written(signatures(slim, k, bands, rows), "signatures")
-    alike = base.where("n_shingles > 0 and doc_id is not null").groupBy("s1", "s2", "n_shingles")
-    nodes = written(alike.agg(F.min("doc_id").alias("node"), F.first("buckets").alias("buckets")), "nodes")
+    alike = base.where("n_shingles > 0 and doc_id is not null").groupBy(*key)
+    nodes = written(alike.agg(F.min("doc_id").alias("doc"), F.first("buckets").alias("buckets")).withColumn("node", F.monotonically_increasing_id()), "nodes")
+    # joins on a bucket are between written tables, so that a bucket of many members can be split among tasks
     member = written(nodes.select("node", F.explode("buckets").alias("bucket")), "members")
-    sizes = member.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    sizes = written(member.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
     shared = written(member.join(sizes, "bucket"), "shared")
     weight = shared.groupBy("node").agg(F.sum(F.log2("n")).alias("weight"))
-    best = shared.join(weight, "node").groupBy("bucket").agg(F.max(F.struct("weight", "node")).alias("m")).select("bucket", F.col("m.node").alias("hub"))
+    best = written(shared.join(weight, "node").groupBy("bucket").agg(F.max(F.struct("weight", "node")).alias("m")).select("bucket", F.col("m.node").alias("hub")), "best")
     around = written(shared.join(best, "bucket").where("node <> hub").select("node", "hub").distinct(), "hubs")
     involved = around.select("node").unionAll(around.select("hub")).distinct()
-    sets = written(sets_of(slim, written(involved, "involved"), k), "sets")
+    sets = written(sets_of(slim, written(involved.join(nodes.select("node", "doc", *key), "node"), "involved"), k), "sets")
     pairs = around.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-    links = written(verified(pairs, sets, num, den), "links")
+    links = written(verified(pairs, sets, num, den).unionAll(links_by_id(base, nodes)), "links")
     labels = components(links)
     # members of one hub in different components
     placed = around.join(labels, "node", "left").select("node", "hub", F.coalesce("label", "node").alias("label"))
@@ -247,7 +258,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", k: int = 3, num: int =
     extra = written(verified(near, sets, num, den).unionAll(links_within(cells, num, den)), "links")
     if not extra.isEmpty():
         labels = components(links.unionAll(extra))
-    roots = nodes.select("s1", "s2", "n_shingles", "node").join(labels, "node", "left").select("s1", "s2", "n_shingles", F.coalesce("label", "node").alias("root"))
-    found = base.drop("buckets").join(roots, ["s1", "s2", "n_shingles"], "left")
+    least = written(labels.join(nodes.select("node", "doc"), "node").groupBy("label").agg(F.min("doc").alias("least")), "least")
+    roots = written(nodes.select(*key, "node", "doc").join(labels.join(least, "label"), "node", "left").select(*key, F.coalesce("least", "doc").alias("root")), "roots")
+    found = base.drop("buckets").join(roots, key, "left")
     component = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("root", "doc_id"))
     return found.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
