@@ -19,7 +19,7 @@ before it; a bucket's task grows its branches, scores its symbols and drops both
 A word that precedes too many symbols has several buckets, dealt by the word
 before it; counts of its followers come summed, and symbols that depend on
 another bucket's retaining it wait for that. Counts of frequent words are
-broadcast (at most 1 / CACHED), those of all others are joined.
+broadcast (at most FREQUENT), those of all others are joined.
 """
 
 from __future__ import annotations
@@ -28,19 +28,21 @@ import math
 import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.llm import vec
-from lakeloom.llm.common import id_crc, only, written
+from lakeloom.llm.common import id_crc, map_arrow, only, written
 
 DISCOUNT = 0.75
-#: Words of at least this share of the training symbols are frequent: where their counts are kept changes no score.
-CACHED = 2e-7
+#: At most so many of the most frequent words are broadcast: where a word's count is kept changes no score.
+FREQUENT, TALLIED = 1_000_000, 10_000
 U64 = np.uint64
 END = vec.mix(np.array([10], U64))[0]
 
@@ -181,6 +183,16 @@ def symbols(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray
         yield i, j, np.insert(vec.span_hashes(data, starts, ends), bounds[1:], END), bounds + np.arange(j - i + 1)
 
 
+def frequent_from(tally: dict[int, int], distinct: int, tokens: int) -> int:
+    """The least count, 2 at least, that at most FREQUENT words reach. tally: how many words have each count below TALLIED."""
+    left = distinct
+    for n in range(1, TALLIED + 1):
+        if n >= 2 and left <= FREQUENT:
+            return n
+        left -= tally.get(n, 0)
+    return max(2, -(-tokens // FREQUENT))  # no more words than that can occur so often
+
+
 def counted(docs: DataFrame, fold: int) -> DataFrame:
     """key and n of the words of the training texts. Summed in each task before the exchange."""
 
@@ -206,7 +218,7 @@ def counted(docs: DataFrame, fold: int) -> DataFrame:
             for a in range(0, len(k), 100_000):
                 yield pa.RecordBatch.from_arrays([pa.array(k[a : a + 100_000]), pa.array(c[a : a + 100_000].astype(np.int64))], ["key", "n"])
 
-    return docs.mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+    return map_arrow(docs, run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
 
 
 @dataclass
@@ -219,6 +231,25 @@ class Deal:
     buckets: int
     heavy: np.ndarray  # sorted hashes of the words with several buckets
     salts: np.ndarray  # how many each has
+    rank: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint32))  # of each frequent word, the place by falling counts
+
+    def __post_init__(self) -> None:
+        order = np.argsort(-self.counts, kind="stable")
+        self.rank = np.empty(len(order), np.uint32)
+        self.rank[order] = np.arange(len(order), dtype=np.uint32)
+
+    @cached_property
+    def by_rank(self) -> np.ndarray:
+        return self.words[np.argsort(self.rank)]
+
+    @cached_property
+    def rank_counts(self) -> np.ndarray:
+        return self.counts[np.argsort(self.rank)]
+
+    def ids(self, hashes: np.ndarray) -> np.ndarray:
+        """Places among the frequent words; -1 for others."""
+        own, words = pd.factorize(hashes)
+        return find(self.words, words)[own]
 
     def salted(self, last: np.ndarray, salt: np.ndarray) -> np.ndarray:
         return (vec.mix(last + salt.astype(U64) * U64(0x9E3779B97F4A7C15)) % U64(self.buckets)).astype(np.int32)
@@ -257,22 +288,25 @@ def branches(word: np.ndarray, before: list[np.ndarray], have: np.ndarray, weigh
     for d, symbol in enumerate(before, 1):
         at = np.arange(n) if last is None else np.flatnonzero((last >= 0) & (have >= d) & real)
         weight = np.where(spread & real, 0, weights) if d == 1 else weights
-        key = symbol[at].astype(np.int64) if last is None else (last[at] << 32) | symbol[at]
+        key = symbol[at].astype(np.int64) if last is None else (last[at].astype(np.int64) << 32) | symbol[at]
         keys, first, back = np.unique(key, return_index=True, return_inverse=True)
+        del key
         total = np.bincount(back, weight[at], len(keys))
         if d == 1:
             total = np.where(totals[keys] >= 0, totals[keys], total)
         candidate = total >= least
-        number = np.where(candidate, np.cumsum(candidate) - 1, -1)
-        context = np.full(n, -1, np.int64)
+        number = np.where(candidate, np.cumsum(candidate) - 1, -1).astype(np.int32)
+        context = np.full(n, -1, np.int32)
         context[at] = number[back]
         total, rep = total[candidate], at[first[candidate]]
+        del back
         at = np.flatnonzero(context >= 0)
-        keys, first, back = np.unique((context[at] << 32) | word[at], return_index=True, return_inverse=True)
+        keys, first, back = np.unique((context[at].astype(np.int64) << 32) | word[at], return_index=True, return_inverse=True)
         count = np.bincount(back, weight[at], len(keys))
         named = count >= least
-        entry = np.full(n, -1, np.int64)
-        entry[at] = np.where(named, np.cumsum(named) - 1, -1)[back]
+        entry = np.full(n, -1, np.int32)
+        entry[at] = np.where(named, np.cumsum(named) - 1, -1).astype(np.int32)[back]
+        del back
         count, of, it, example = count[named], keys[named] >> 32, keys[named] & 0xFFFFFFFF, at[first[named]]
         lower = 10 ** root[it] if d == 1 else levels[-1]["p"][entry_below[example]]
         m = len(total)
@@ -302,7 +336,7 @@ def branches(word: np.ndarray, before: list[np.ndarray], have: np.ndarray, weigh
     return out, waits, before[0][first["rep"][first["kept"]]]
 
 
-def packed(part: tuple[np.ndarray, ...]) -> tuple[bytes, int]:
+def packed(part: tuple) -> tuple[bytes, int]:
     raw = pickle.dumps(part, 5)
     return pa.compress(raw, codec="zstd", asbytes=True), len(raw)
 
@@ -311,23 +345,43 @@ def small(x: np.ndarray, n: int) -> np.ndarray:
     return x.astype(np.uint16 if n <= 1 << 16 else np.uint32)
 
 
+def planes(codes: np.ndarray) -> bytes:
+    """The lowest bytes of all codes, then the next, up to the highest: frequent words have small codes, so that all but the first compress well."""
+    return codes.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def from_planes(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").reshape(-1)
+
+
 def dealt(parts: list[tuple], deal: Deal, depth: int) -> Iterator[pa.RecordBatch]:
-    """A row for each bucket with symbols in `parts`: words, codes of every symbol and those before it, how many precede, text keys, whether in training, and each symbol's text."""
-    grams = [np.concatenate([p[0] for p in parts]), *(np.concatenate([p[1][d] for p in parts]) for d in range(depth))]
-    have = np.concatenate([p[2] for p in parts])
-    keys, train = np.concatenate([p[4] for p in parts]), np.concatenate([p[5] for p in parts])
-    text = np.repeat(np.arange(len(keys)), np.concatenate([np.diff(p[3]) for p in parts]))
-    bucket = deal.at(grams[0], grams[1], grams[min(2, depth)], have)
-    words, codes = np.unique(np.append(grams[0], END), return_inverse=True)
-    shifted = np.concatenate([np.full(depth, codes[-1]), codes[:-1]])
-    order = np.argsort(bucket, kind="stable")
+    """A row for each bucket with symbols in `parts`: codes of every symbol and those before it, hashes of the rare words, how many precede, text keys, whether in training, and each symbol's text.
+
+    A frequent word's code is its rank; all rare words have the next code, and their hashes are listed apart.
+    """
+    hashes = np.concatenate([p[0] for p in parts])
+    have = np.concatenate([p[1] for p in parts])
+    keys, train = np.concatenate([p[3] for p in parts]), np.concatenate([p[4] for p in parts])
+    text = np.repeat(np.arange(len(keys), dtype=np.int32), np.concatenate([np.diff(p[2]) for p in parts]))
+    own, words = pd.factorize(hashes)
+    at_end = np.flatnonzero(words == END)  # every text has one
+    own = np.concatenate([np.full(depth, at_end[0], own.dtype), own])
+    n = len(hashes)
+    last, second = own[depth - 1 : depth - 1 + n], own[max(0, depth - 2) : max(0, depth - 2) + n]
+    bucket = deal.at(hashes, words[last], words[second], have)
+    place = find(deal.words, words)
+    frequent = len(deal.words)
+    codes = np.where(place >= 0, deal.rank[place] if frequent else 0, frequent).astype(np.uint32)[own]
+    order = np.argsort(small(bucket, deal.buckets), kind="stable")
     cuts = np.flatnonzero(np.append(True, np.diff(bucket[order]) != 0)) if len(order) else np.zeros(0, np.int64)
     rows = []
     for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(order)], strict=True):
         at = order[a:b]
-        own, code = np.unique(np.concatenate([shifted[at + depth - d] for d in range(depth + 1)]), return_inverse=True)
+        grams = np.concatenate([at + depth - d for d in range(depth + 1)])
+        code = codes[grams]
+        rare, which = np.unique(own[grams[code == frequent]], return_inverse=True)
         texts, of = np.unique(text[at], return_inverse=True)
-        rows.append((int(bucket[at[0]]), *packed((words[own], small(code, len(own)), have[at], keys[texts], train[texts], small(of, len(texts))))))
+        rows.append((int(bucket[at[0]]), *packed((planes(code), words[rare], small(which, len(rare)), have[at], keys[texts], train[texts], small(of, len(texts))))))
     b, blobs, sizes = zip(*rows, strict=True)
     none = pa.nulls(len(rows), pa.int64())
     yield pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array(blobs, pa.binary()), pa.array(sizes, pa.int64()), none, none, none, none], ["bucket", "blob", "size", "last", "word", "n", "c"])
@@ -346,7 +400,8 @@ def scores(docs: DataFrame, text: str = "text", fold: int = 1, depth: int = 3, l
     size = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     tokens, distinct = size["n"], size["v"]
     below = float(np.log10(tokens + 0.5 * (distinct + 1)))
-    often = max(2.0, CACHED * tokens)
+    tally = dict(words.where(f"n < {TALLIED}").groupBy("n").count().collect())
+    often = frequent_from(tally, distinct, tokens)
     got = words.where(F.col("n") >= often).toArrow()
     k, c = got.column("key").to_numpy().view(U64), got.column("n").to_numpy()
     order = np.argsort(k)
@@ -364,7 +419,7 @@ def scores(docs: DataFrame, text: str = "text", fold: int = 1, depth: int = 3, l
             for i, j, hashes, bounds in symbols(batch.column(1)):
                 texts = j - i
                 owner = np.repeat(np.arange(texts), np.diff(bounds))
-                ids = find(own.words, hashes)
+                ids = own.ids(hashes)
                 named = ids >= 0
                 log = np.bincount(owner[named], root[ids[named]], texts)
                 before, have = preceding(hashes, bounds, depth)
@@ -388,8 +443,8 @@ def scores(docs: DataFrame, text: str = "text", fold: int = 1, depth: int = 3, l
         for batch in batches:
             held = np.array([id_crc(x) % 5 == fold for x in batch.column(0).to_pylist()], bool)
             for i, j, hashes, bounds in symbols(batch.column(1)):
-                before, have = preceding(hashes, bounds, depth)
-                parts.append((hashes, before, have, bounds, text_keys(hashes, bounds), ~held[i:j]))
+                position = np.arange(len(hashes)) - np.repeat(bounds[:-1], np.diff(bounds))
+                parts.append((hashes, np.minimum(position + 1, depth).astype(np.uint8), bounds, text_keys(hashes, bounds), ~held[i:j]))
                 n += len(hashes)
                 if n > 2_000_000:
                     yield from dealt(parts, own, depth)
@@ -404,23 +459,40 @@ def scores(docs: DataFrame, text: str = "text", fold: int = 1, depth: int = 3, l
         if not parts:
             return
         given = np.flatnonzero(n > 0)
-        known, codes = np.unique(np.concatenate([*(p[0] for p in parts), last[given].view(U64), word.view(U64)]), return_inverse=True)
-        starts = np.cumsum([0, *(len(p[0]) for p in parts)])
-        grams = np.concatenate([codes[a + p[1].astype(np.int64)].reshape(depth + 1, -1) for a, p in zip(starts, parts, strict=False)], axis=1)
-        tail = codes[starts[-1] :]
-        more = np.zeros((depth + 1, len(given)), np.int64)
+        told = np.concatenate([last[given], word]).view(U64)
+        frequent = len(own.words)
+        place = find(own.words, told)
+        rare, back = np.unique(np.concatenate([*(p[1] for p in parts), told[place < 0]]), return_inverse=True)
+        grams, at = [], 0  # all codes are below 2**31
+        for p in parts:
+            code = from_planes(p[0]).astype(np.int32)
+            code[code == frequent] = frequent + back[at : at + len(p[1])][p[2]]
+            at += len(p[1])
+            grams.append(code.reshape(depth + 1, -1))
+        tail = np.where(place >= 0, own.rank[place] if frequent else 0, 0).astype(np.int32)
+        tail[place < 0] = frequent + back[at:]
+        more = np.zeros((depth + 1, len(given)), np.int32)
         more[1], more[0] = tail[: len(given)], tail[len(given) :][given]
-        grams = np.concatenate([grams, more], axis=1)
-        have = np.concatenate([*(p[2] for p in parts), np.ones(len(given), np.uint8)])
-        keys, train = (np.concatenate([p[x] for p in parts]) for x in (3, 4))
-        firsts = np.cumsum([0, *(len(p[3]) for p in parts)])
-        of = np.concatenate([a + p[5].astype(np.int64) for a, p in zip(firsts, parts, strict=False)])
+        grams = [np.concatenate([*(g[d] for g in grams), more[d]]) for d in range(depth + 1)]
+        used = np.zeros(frequent + len(rare), bool)
+        for own_codes in (*grams, tail):
+            used[own_codes] = True
+        codes = np.flatnonzero(used)
+        dense = (np.cumsum(used) - 1).astype(np.int32)
+        grams, tail = [dense[g] for g in grams], dense[tail]
+        known = np.concatenate([own.by_rank, rare])[codes]
+        have = np.concatenate([*(p[3] for p in parts), np.ones(len(given), np.uint8)])
+        keys, train = (np.concatenate([p[x] for p in parts]) for x in (4, 5))
+        firsts = np.cumsum([0, *(len(p[4]) for p in parts)])
+        of = np.concatenate([a + p[6].astype(np.int64) for a, p in zip(firsts, parts, strict=False)])
+        del parts
         weights = np.concatenate([train[of].astype(np.int64), n[given]])
-        place = find(own.words, known)
-        count = np.where(place >= 0, own.counts[place] if len(own.counts) else 0, 0)
+        count = np.zeros(len(codes), np.int64)
+        often = codes < frequent
+        count[often] = own.rank_counts[codes[often]]
         count[tail[len(given) :]] = c
         spread = find(own.heavy, known) >= 0
-        out, waits, kept = branches(grams[0], list(grams[1:]), have, weights, np.log10(count + 0.5) - own.below, np.where(spread, count, -1), len(given), least, gain)
+        out, waits, kept = branches(grams[0], grams[1:], have, weights, np.log10(count + 0.5) - own.below, np.where(spread, count, -1), len(given), least, gain)
         out, waits = out[: len(of)], waits[: len(of)]
         texts, back = np.unique(keys, return_inverse=True)
         of = back[of]
@@ -455,7 +527,7 @@ def scores(docs: DataFrame, text: str = "text", fold: int = 1, depth: int = 3, l
         yield from grown(blobs, facts)
 
     spark = docs.sparkSession
-    scored = written(slim.mapInArrow(by_text, "doc_id bigint, row bigint, text_key bigint, held_out boolean, n_tokens bigint, often bigint, log double, rare array<bigint>, at array<int>, last bigint, word bigint, n bigint"), "scored")
+    scored = written(map_arrow(slim, by_text, "doc_id bigint, row bigint, text_key bigint, held_out boolean, n_tokens bigint, often bigint, log double, rare array<bigint>, at array<int>, last bigint, word bigint, n bigint"), "scored")
     pairs, scored = scored.where("last is not null"), scored.where("last is null").drop("last", "word", "n")
     places = [(int(h.view(np.int64)), int(b)) for h, m in zip(deal.heavy, deal.salts, strict=True) for b in np.unique(deal.salted(np.full(m, h, U64), np.arange(m)))]
     homes = spark.createDataFrame(places, "last bigint, bucket int")
@@ -464,8 +536,8 @@ def scores(docs: DataFrame, text: str = "text", fold: int = 1, depth: int = 3, l
     asked = scored.where("not held_out").select(F.explode(F.arrays_zip("rare", "at")).alias("x")).select(F.col("x.at").alias("bucket"), F.col("x.rare").alias("word")).distinct()
     told = asked.join(counts.where((F.col("c") < often) & (F.col("c") >= least)), "word").select("bucket", F.lit(None).cast("long").alias("last"), "word", F.lit(0).cast("long").alias("n"), "c")
     facts = given.unionByName(told).select("bucket", F.lit(None).cast("binary").alias("blob"), F.lit(None).cast("long").alias("size"), "last", "word", "n", "c")
-    sent = slim.mapInArrow(by_bucket, "bucket int, blob binary, size bigint, last bigint, word bigint, n bigint, c bigint").unionByName(facts)
-    parts = written(sent.repartition(deal.buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(grow, "text_key bigint, value double, times bigint, waits bigint"), "parts")
+    sent = map_arrow(slim, by_bucket, "bucket int, blob binary, size bigint, last bigint, word bigint, n bigint, c bigint").unionByName(facts)
+    parts = written(map_arrow(sent.repartition(deal.buckets, "bucket").sortWithinPartitions("bucket"), grow, "text_key bigint, value double, times bigint, waits bigint"), "parts")
     kept = parts.where("text_key is null").select("waits").distinct()
     sure = parts.where("text_key is not null and waits is null")
     late = parts.where("text_key is not null and waits is not null").join(kept, "waits", "left_semi").select(*parts.columns)
