@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cache, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,11 +19,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.llm import vec
-from lakeloom.llm.common import only
+from lakeloom.llm.common import map_arrow, only
 from lakeloom.llm.html_blocks import Block, blocks
 from lakeloom.llm.training_pages import Grammar
 
-PATHS, WORDS, RATIOS = 1024, 512, 6
+PATHS, WORDS, RATIOS = 8192, 512, 6
 HIDDEN, EMBED_PATH, EMBED_WORD = 20, 16, 8
 
 
@@ -66,9 +66,10 @@ class Labeller:
 
     def __init__(self, seed: int = 0):
         r = np.random.default_rng(seed)
+        # names that training never met say next to nothing
         wide = EMBED_PATH + EMBED_WORD + RATIOS
         normal = lambda *shape, by=0.3: (r.standard_normal(shape) * by).astype(np.float32)
-        self.p = {"paths": normal(PATHS, EMBED_PATH), "words": normal(WORDS, EMBED_WORD)}
+        self.p = {"paths": normal(PATHS, EMBED_PATH, by=0.01), "words": normal(WORDS, EMBED_WORD)}
         for d in "fb":
             self.p |= {f"x{d}": normal(wide, 4 * HIDDEN, by=wide**-0.5), f"h{d}": normal(HIDDEN, 4 * HIDDEN, by=HIDDEN**-0.5), f"c{d}": np.zeros(4 * HIDDEN, np.float32)}
             self.p[f"c{d}"][HIDDEN : 2 * HIDDEN] = 1
@@ -144,8 +145,9 @@ def padded(lengths: list[int]) -> tuple[np.ndarray, np.ndarray]:
     return mask, np.argwhere(mask)
 
 
-def train(pages: int = 500, rounds: int = 6, seed: int = 11) -> Labeller:
-    """Trains on generated pages; the same seed gives the same labeller."""
+@cache
+def train(pages: int = 4000, rounds: int = 8, seed: int = 11, together: int = 24) -> Labeller:
+    """Trains on generated pages, once a process; the same seed gives the same labeller."""
     grammar, data = Grammar(seed), []
     for _ in range(pages):
         pieces = grammar.page()
@@ -156,7 +158,7 @@ def train(pages: int = 500, rounds: int = 6, seed: int = 11) -> Labeller:
     model, r = Labeller(seed), np.random.default_rng(seed)
     m, v, step = {k: 0.0 for k in model.p}, {k: 0.0 for k in model.p}, 0
     data.sort(key=lambda x: len(x[0]))
-    groups = [data[i : i + 24] for i in range(0, len(data), 24)]
+    groups = [data[i : i + together] for i in range(0, len(data), together)]
     ready = []
     for g in groups:
         mask, place = padded([len(b) for b, _ in g])
@@ -199,7 +201,7 @@ def extract(sources: list[str | None], model: Labeller) -> list[str]:
 
 
 def main_text(pages: DataFrame, html: str = "html", model: Labeller | None = None) -> DataFrame:
-    """page_id, url, text and n_chars (code points) of every row. Null and empty pages, and pages without main text, have an empty text; null ids and urls stay null; repeated rows stay."""
+    """page_id, url, text and n_chars (code points) of every row. Null and empty pages, and pages without main text, have an empty text; null ids and urls stay null; repeated rows stay; an empty table gives no rows."""
     shared = pages.sparkSession.sparkContext.broadcast(model or train())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,4 +213,4 @@ def main_text(pages: DataFrame, html: str = "html", model: Labeller | None = Non
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(text, pa.string()), pa.array([len(t) for t in text], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
     slim = only(pages, page_id="page_id", url="url", html=html)
-    return slim.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")).mapInArrow(run, "page_id bigint, url string, text string, n_chars bigint")
+    return map_arrow(slim.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")), run, "page_id bigint, url string, text string, n_chars bigint")
