@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import only
+from lakeloom.llm.common import map_arrow, only
 
 PCM, A_LAW, MU_LAW, IMA = 1, 6, 7, 17
 UNIT, RATE = 192, 8000
@@ -146,7 +146,7 @@ def decoded(files: list[bytes | None]) -> list[tuple[int, np.ndarray] | None]:
 
 
 def to_pcm(media: DataFrame, column: str = "media", key: str = "doc_id") -> DataFrame:
-    """key and pcm: the file in `column`, expanded and resampled to twice its rate, as a 16-bit WAVE file. Null where the column is null or no readable file."""
+    """key and pcm: the file in `column`, expanded and resampled to twice its rate, as a 16-bit WAVE file. Null where the column is null or no readable file; repeated rows stay, an empty table gives no rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -155,7 +155,12 @@ def to_pcm(media: DataFrame, column: str = "media", key: str = "doc_id") -> Data
                 pcm = [None if x is None else wave(doubled(x[1]).tobytes(), PCM, 2 * x[0]) for x in decoded(part.column(1).to_pylist())]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(pcm, pa.binary())], [key, "pcm"])
 
-    return only(media, **{key: key, "media": column}).select(F.col(key).cast("long"), F.col("media").cast("binary")).mapInArrow(run, f"{key} bigint, pcm binary")
+    return map_arrow(only(media, **{key: key, "media": column}).select(F.col(key).cast("long"), F.col("media").cast("binary")), run, f"{key} bigint, pcm binary")
+
+
+def store_pcm(media: DataFrame, path: str, column: str = "media", key: str = "doc_id") -> None:
+    """Writes to_pcm() of every row as Parquet."""
+    to_pcm(media, column, key).write.option("compression", "zstd").parquet(path)
 
 
 def payload(text: bytes) -> bytes:
@@ -164,7 +169,7 @@ def payload(text: bytes) -> bytes:
 
 
 def store(docs: DataFrame, text: str = "text") -> DataFrame:
-    """doc_id, n_bytes and media: every whole text (null: empty) as the stored bytes of a mu-law file at 8 kHz."""
+    """doc_id, n_bytes and media: every whole text (null: empty) as the stored bytes of a mu-law file at 8 kHz. Repeated rows stay, an empty table gives no rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -173,7 +178,7 @@ def store(docs: DataFrame, text: str = "text") -> DataFrame:
                 raw = [x or b"" for x in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(x) for x in raw], pa.int64()), pa.array([wave(payload(x), MU_LAW) for x in raw], pa.binary())], ["doc_id", "n_bytes", "media"])
 
-    return only(docs, doc_id="doc_id", text=text).select(F.col("doc_id").cast("long"), F.col("text").cast("string").cast("binary").alias("text")).mapInArrow(run, "doc_id bigint, n_bytes bigint, media binary")
+    return map_arrow(only(docs, doc_id="doc_id", text=text).select(F.col("doc_id").cast("long"), F.col("text").cast("string").cast("binary").alias("text")), run, "doc_id bigint, n_bytes bigint, media binary")
 
 
 def summary(samples: np.ndarray) -> str:
@@ -185,19 +190,19 @@ def summary(samples: np.ndarray) -> str:
 
 
 def analysed(stored: DataFrame) -> DataFrame:
-    """Digests of stored files: the payload read back, and as `feature` summaries of the resampled samples by mu-law (as stored), and of the same bytes read as A-law and as ADPCM blocks."""
+    """Digests of stored files: the payload read back, and as `feature` summaries of the PCM, resampled to twice the rate, of the file by mu-law (as stored), and of the same bytes as an A-law and as an ADPCM file. Repeated rows stay, an empty table gives no rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
         for batch in batches:
-            for i in range(0, batch.num_rows, 512):
-                part = batch.slice(i, 512)
+            for i in range(0, batch.num_rows, 256):
+                part = batch.slice(i, 256)
                 media = part.column(2).to_pylist()
                 data = [read_wave(m)[3] for m in media]
                 by = [decoded(media), decoded([wave(d, A_LAW) for d in data]), decoded([wave(d, IMA) for d in data])]
-                feature = [f"mu {summary(doubled(m[1]))} a {summary(a[1])} ima {summary(x[1])}" for m, a, x in zip(*by, strict=True)]
+                feature = [f"mu {summary(doubled(m[1]))} a {summary(doubled(a[1]))} ima {summary(doubled(x[1]))}" for m, a, x in zip(*by, strict=True)]
                 sha = lambda xs: pa.array([hashlib.sha256(x).hexdigest() for x in xs])
                 size = lambda xs: pa.array([len(x) for x in xs], pa.int64())
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), size(data), sha(data), pa.array([zlib.crc32(d[-16:]) for d in data], pa.int64()), size(media), sha(media), pa.array(feature)], names)
 
-    return stored.mapInArrow(run, "doc_id bigint, n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string")
+    return map_arrow(stored, run, "doc_id bigint, n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string")
