@@ -16,6 +16,8 @@ of the item's size around the match.
 
 from __future__ import annotations
 
+import math
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from itertools import combinations
@@ -27,7 +29,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from lakeloom.llm import vec
-from lakeloom.llm.common import only
+from lakeloom.llm.common import held, map_arrow, only
 
 WORDS = 5
 RUN = 12288
@@ -97,12 +99,12 @@ class HammingIndex:
 
 
 class BenchmarkIndex:
-    """Fingerprints of a block of benchmark items, by window size."""
+    """Fingerprints of a block of benchmark items, by window size. An item is given with its id, its text and which of how many equal parts of its windows are indexed here."""
 
-    def __init__(self, items: list[tuple[int, str | None]], radius: int):
-        self.ids = [i for i, _ in items]
+    def __init__(self, items: list[tuple[int, str | None, int, int]], radius: int):
+        self.ids = [i for i, *_ in items]
         self.sets: list[np.ndarray] = []
-        for _, _, h, _, _, bounds in text_shingles(pa.array([t for _, t in items], pa.string())):
+        for _, _, h, _, _, bounds in text_shingles(pa.array([x[1] for x in items], pa.string())):
             self.sets += [h[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
         self.sizes = {}
         by_size: dict[int, list[int]] = {}
@@ -110,9 +112,12 @@ class BenchmarkIndex:
             if len(h):
                 by_size.setdefault(max(x for x in _LADDER if x <= max(1, 0.8 * len(h))), []).append(k)
         for s, members in by_size.items():
-            prints = [WindowSums(self.sets[k], s).fingerprints(np.arange(len(self.sets[k]) - s + 1), s) for k in members]
+            offsets = [np.array_split(np.arange(len(self.sets[k]) - s + 1), items[k][3])[items[k][2]] for k in members]
+            prints = [WindowSums(self.sets[k], s).fingerprints(at, s) for k, at in zip(members, offsets, strict=True)]
             item = np.repeat(members, [len(p) for p in prints])
-            offset = np.concatenate([np.arange(len(p)) for p in prints])
+            offset = np.concatenate(offsets)
+            if not len(item):
+                continue
             self.sizes[s] = (min(len(self.sets[k]) for k in members) - s + 1, item, offset, HammingIndex(np.concatenate(prints), radius))
         self.counts = [Counter(h.tolist()) for h in self.sets]
         self.ordered = [np.unique(h) for h in self.sets]
@@ -154,18 +159,11 @@ class BenchmarkIndex:
         return best
 
 
-_BUILT: dict[int, tuple[object, BenchmarkIndex]] = {}
-
-
-def block_matches(docs: DataFrame, items: list[tuple[int, str | None]], radius: int, least: float) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(items)
+def block_matches(docs: DataFrame, items: list[tuple[int, str | None, int, int]], radius: int, least: float) -> DataFrame:
+    shared, key = docs.sparkSession.sparkContext.broadcast(items), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        given = shared.value
-        if id(given) not in _BUILT:  # once for each worker
-            _BUILT.clear()
-            _BUILT[id(given)] = (given, BenchmarkIndex(given, radius))
-        index = _BUILT[id(given)][1]
+        index = held(key, lambda: BenchmarkIndex(shared.value, radius))
         for batch in batches:
             ids, out = batch.column(0).to_pylist(), []
             for i, _, h, text, at, bounds in text_shingles(batch.column(1)):
@@ -173,23 +171,29 @@ def block_matches(docs: DataFrame, items: list[tuple[int, str | None]], radius:
                     out.append((ids[i + d], index.ids[k], sim, int(at[x]), int(at[y - 1]) + WORDS))
             yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], kind) for c, kind in enumerate((pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32()))], ["doc_id", "item_id", "similarity", "first_word", "end_word"])
 
-    return docs.mapInArrow(run, "doc_id bigint, item_id bigint, similarity double, first_word int, end_word int")
+    return map_arrow(docs, run, "doc_id bigint, item_id bigint, similarity double, first_word int, end_word int", holds=True)
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", radius: int = 15, least: float = 0.8, block_items: int = 2000) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", radius: int = 15, least: float = 0.8, block_windows: int = 12_000) -> DataFrame:
     """One row for each document and benchmark item with a window of similarity of at least `least`: doc_id, item_id, similarity (of the best window), first_word and end_word (its words).
 
-    The benchmark is searched in blocks of about `block_items` items, all blocks against all documents, so that no task or broadcast grows with it.
-    Null and empty texts match nothing. A text or item of fewer than five words has them all as its one shingle. Rows with equal ids count as one.
+    The benchmark is searched in blocks of about `block_windows` windows (11 kB of index each), all blocks against all documents, so that no task or broadcast
+    grows with it; an item of very many windows is in several blocks. Null and empty texts match nothing, and an empty table of either kind gives no rows.
+    A text or item of fewer than five words has them all as its one shingle. Rows with equal ids count as one; items of equal ids and texts are one.
     """
     slim = only(docs, doc_id="doc_id", text=text).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     items = only(benchmark, item_id="item_id", text="text").select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("text is not null").distinct()
-    blocks = max(1, -(-items.count() // block_items))
+    words = F.size(F.split("text", r"[^\p{L}\p{N}_]+"))
+    share = F.greatest(F.lit(1), F.ceil(words * 0.36 / (block_windows / 4))).cast("int")  # a fifth to a third of an item's words begin a window
+    parts = items.withColumn("parts", share).withColumn("part", F.explode(F.expr("sequence(0, parts - 1)")))
+    total = items.agg(F.sum(words * 0.36 + 1).alias("n")).first()["n"] or 0
+    blocks = max(1, math.ceil(total / block_windows))
     out = None
     for b in range(blocks):
-        block: list[Row] = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).orderBy("item_id", "text").collect()
-        part = block_matches(slim, [tuple(r) for r in block], radius, least)
-        out = part if out is None else out.unionAll(part)
+        mine = parts.where(F.pmod(F.xxhash64("item_id", "text", "part"), F.lit(blocks)) == b)
+        block: list[Row] = mine.orderBy("item_id", "text", "part").select("item_id", "text", "part", "parts").collect()
+        found = block_matches(slim, [tuple(r) for r in block], radius, least)
+        out = found if out is None else out.unionAll(found)
     best = F.max_by(F.struct("similarity", "first_word", "end_word"), F.struct("similarity", -F.col("first_word"))).alias("best")
     return out.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*")
 
