@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from lakeloom.llm import html_extract, telephony
 from lakeloom.llm.html_blocks import blocks
 from lakeloom.llm.training_pages import Grammar
+from pages_without_telling_names import PAGES
 
 SF = "/root/testdata/sf0.001"
 
@@ -75,6 +76,14 @@ def test_other_sites(model):
     assert html_extract.extract([page], model) == ["Title here The first paragraph of the article. Second one & last."]
 
 
+def test_names_that_tell_nothing(model):
+    """Of hand-written pages without telling names at least three in four come out exactly, and no furniture with any of the others."""
+    got = html_extract.extract([f"<!DOCTYPE html><html><head><title>The Valley Paper</title></head><body>{p}</body></html>" for p, _ in PAGES], model)
+    exact = [g == want for g, (_, want) in zip(got, PAGES, strict=True)]
+    assert len(PAGES) >= 20 and sum(exact) >= 0.75 * len(PAGES), [(g[:90], w[:90]) for g, (_, w) in zip(got, PAGES, strict=True) if g != w]
+    assert all(set(g.split()) <= set(want.split()) for g, (_, want) in zip(got, PAGES, strict=True))
+
+
 def test_gradients():
     """Backward pass against finite differences."""
     m = html_extract.Labeller(3)
@@ -168,6 +177,45 @@ def test_resampling():
     assert len(telephony.doubled(tone[:0])) == 0
 
 
+def plain_feature(text):
+    """One sample at a time, from the formulas."""
+    p = text.ljust(max(192, -(-len(text) // 192) * 192), b" ")
+
+    def mu(b):
+        u = ~b & 0xFF
+        size = ((((u & 15) * 2 + 33) << (u >> 4 & 7)) - 33) * 4
+        return -size if u & 128 else size
+
+    def a(b):
+        x = b ^ 0x55
+        size = ((x & 15) * 2 + 1 if not x >> 4 & 7 else ((x & 15) * 2 + 33) << ((x >> 4 & 7) - 1)) * 8
+        return size if x & 128 else -size
+
+    out = []
+    for name, x in (("mu", [mu(b) for b in p]), ("a", [a(b) for b in p]), ("ima", [s for k in range(0, len(p), 192) for s in plain_ima(p[k : k + 192])])):
+        at = lambda i: x[i] if 0 <= i < len(x) else 0  # noqa: B023, E731
+        y = []
+        for i in range(len(x)):
+            between = (1 << 14) + sum(t * (at(i - k) + at(i + 1 + k)) for k, t in enumerate((20475, -5615, 2019, -495)))
+            y += [x[i], max(-32768, min(32767, between >> 15))]
+        level = int((sum(s * s for s in y) / len(y)) ** 0.5)
+        turns = sum((s >= 0) != (t >= 0) for s, t in zip(y, y[1:], strict=False))
+        out.append(f"{name} {len(y)}:{level}:{max(map(abs, y))}:{turns}:{zlib.crc32(np.array(y, '<i2').tobytes())}")
+    return " ".join(out)
+
+
+def test_stored_pcm(spark, tmp_path):
+    """PCM files of all three codecs, written and read back."""
+    data = bytes(np.random.default_rng(2).integers(0, 256, 384, np.uint8))
+    kinds = [telephony.MU_LAW, telephony.A_LAW, telephony.IMA]
+    df = spark.createDataFrame([(k, bytearray(telephony.wave(data, k))) for k in kinds], "doc_id bigint, media binary")
+    telephony.store_pcm(df, f"file://{tmp_path}/pcm")
+    got = {r.doc_id: telephony.read_wave(bytes(r.pcm)) for r in spark.read.parquet(f"file://{tmp_path}/pcm").collect()}
+    for k in kinds:
+        rate, samples = telephony.decoded([telephony.wave(data, k)])[0]
+        assert got[k][:2] == (telephony.PCM, 2 * rate) and got[k][3] == telephony.doubled(samples).tobytes()
+
+
 def test_media_columns(spark):
     rows = [(1, "some text"), (2, None), (3, ""), (3, ""), (None, "é" * 5000), (5, "x" * 192), (6, "x" * 193)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("media", F.lit(1)).withColumn("n_bytes", F.lit(1))
@@ -181,6 +229,8 @@ def test_media_columns(spark):
     for r in got:
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == want[r.doc_id]
     assert len({r.feature for r in got if r.doc_id in (2, 3)}) == 1
+    for r in got:
+        assert r.feature == plain_feature((dict(rows)[r.doc_id] or "").encode())
     assert telephony.store(df.limit(0)).count() == 0
     pcm = telephony.to_pcm(telephony.store(df)).collect()
     for r in pcm:

@@ -14,7 +14,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from lakeloom.llm import bpe, decontaminate, lm_score, near_dedup, shards, token_counts, token_store, toxicity, vec
+from lakeloom.llm import bpe, chunks, decontaminate, lm_score, near_dedup, shards, token_counts, token_store, toxicity, vec
 from lakeloom.llm.components import components
 from tests_llm_helpers import brute_components, brute_leaks, words
 
@@ -97,6 +97,24 @@ def test_near_duplicates_of_odd_rows(odd, none):
     assert near_dedup.near_duplicates(none).count() == 0
 
 
+def test_near_duplicates_through_repeated_ids(spark):
+    """Texts that share a doc_id link whatever is like any of them."""
+    a, b, c = (" ".join(f"{w}{i}" for i in range(60)) for w in ("ash", "birch", "cedar"))
+    for rows in ([(5, a), (5, b), (3, a + " more"), (4, b + " more")], [(5, a), (5, b), (3, a), (4, b + " more")], [(9, a), (9, b), (9, c), (8, c), (7, a + " more"), (6, "oak"), (6, ""), (6, None), (5, "oak")]):
+        want = brute_components(rows)
+        got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+        assert len(got) == len(rows) and {(r.doc_id, r.component_id) for r in got if r.n_shingles} == {(i, c) for i, (_, c) in want.items()}
+        assert all(r.component_id == r.doc_id for r in got if not r.n_shingles)
+
+
+def test_a_full_filter_loses_nothing(spark, monkeypatch):
+    """Where the filter is too small for the ids, more sets move, and the result is the same."""
+    monkeypatch.setattr(near_dedup, "FILTER_BITS", 64)
+    rows = list(enumerate(near_group(60, 5)))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == brute_components(rows)
+
+
 def test_signature_estimates_similarity():
     r = np.random.default_rng(1)
     a, b = r.integers(0, 2**63, 900, np.uint64), r.integers(0, 2**63, 100, np.uint64)
@@ -134,10 +152,43 @@ def test_leaks_are_brute_force(spark, docs):
     assert len(want) > 20 and got <= want and len(got) >= 0.97 * len(want)
     exact = {(d, i) for d, t in rows for i, u in items if u.lower() in t.lower()}
     assert exact <= got
-    blocks = {(x.doc_id, x.item_id) for x in decontaminate.leaks(spark.createDataFrame(rows, "doc_id bigint, text string"), bench, block_items=7).collect()}
+    blocks = {(x.doc_id, x.item_id) for x in decontaminate.leaks(spark.createDataFrame(rows, "doc_id bigint, text string"), bench, block_windows=200).collect()}
     assert blocks == got
 
 
+def test_long_items_in_parts(spark):
+    """Items of 600 to 3000 words, whose windows are dealt to several blocks, are found as in one; copies with edits too."""
+    r = random.Random(9)
+    item = lambda n: [f"w{r.randrange(3000)}" for _ in range(n)]
+    items = [(k, " ".join(item(n))) for k, n in enumerate((600, 900, 3000, 30))]
+    rows = []
+    for k, t in items:
+        w = t.split()
+        for e in (0, 3):
+            c = list(w)
+            for _ in range(e if len(w) > 100 else 0):
+                c[r.randrange(len(c))] = "other"
+            rows.append((10 * k + e, " ".join([*item(20), *c, *item(20)])))
+    rows += [(100 + k, " ".join(item(800))) for k in range(3)]
+    docs, bench = spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    want = {(d, d // 10) for d, _ in rows if d < 100}
+    for size in (12_000, 300):
+        assert {(x.doc_id, x.item_id) for x in decontaminate.leaks(docs, bench, block_windows=size).collect()} == want
+
+
+def test_index_of_ten_thousand_items():
+    """A block's index is bounded by its windows, and finds each item."""
+    r = random.Random(10)
+    items = [(k, " ".join(f"w{r.randrange(50_000)}" for _ in range(10)), 0, 1) for k in range(10_000)]
+    index = decontaminate.BenchmarkIndex(items, 15)
+    windows = sum(len(x[3].prints) for x in index.sizes.values())
+    size = sum(a.nbytes for x in index.sizes.values() for pair in x[3].blocks for a in pair)
+    assert windows <= 30_000 and size <= 12_000 * windows + 3_000_000 * len(index.sizes)
+    asked = [items[k][1] for k in range(0, 10_000, 997)]
+    for _, _, h, text, _, bounds in decontaminate.text_shingles(pa.array(asked)):
+        assert {(d, index.ids[k]) for d, k in index.matches(h, text, bounds, 0.8)} == {(d, k) for d, k in enumerate(range(0, 10_000, 997))}
+
+
 def test_leaks_of_odd_rows(spark, odd, none):
     items = spark.createDataFrame([(1, "a b c d"), (2, None), (3, ""), (4, "the cat sat the cat sat the cat")], "item_id bigint, text string")
     got = {(r.doc_id, r.item_id) for r in decontaminate.leaks(odd, items).collect()}
@@ -185,9 +236,58 @@ def test_bpe_columns(library, odd):
     assert Counter((r.doc_id, tuple(r.ids)) for r in got) == Counter((i, tuple(library.encode_ordinary(t or ""))) for i, t in ODD)
 
 
+def thue_morse(n):
+    """Two strings that every polynomial hash modulo a power of two takes for one."""
+    s = "a"
+    while len(s) < n:
+        s += s.translate(str.maketrans("ab", "ba"))
+    return [s, s.translate(str.maketrans("ab", "ba"))]
+
+
+def test_strings_of_equal_hashes_are_told_apart(spark, library):
+    from tokenizers import Tokenizer
+
+    texts = [p + t for n in (1024, 2048, 4096) for p in ("", "x ") for t in thue_morse(n)]
+    data = np.frombuffer("".join(thue_morse(2048)).encode(), np.uint8)
+    assert len(set(vec.span_hashes(data, np.array([0, 2048]), np.array([2048, 4096])).tolist())) == 1
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    assert {tuple(r) for r in bpe.round_trip_digests(df, RANKS, P.PATTERN).collect()} == {(k, *digests(library, t)) for k, t in enumerate(texts)}
+    path = P.path("byte_bpe_50k.json")
+    other = Tokenizer.from_file(path)
+    assert {r.doc_id: r.tokens for r in token_store.token_ids(df, path).collect()} == {k: other.encode(t, add_special_tokens=False).ids + [0] for k, t in enumerate(texts)}
+    counter = token_counts.UnigramCounter(*token_counts.vocabulary(P.path("piece_bpe_32k.model")))
+    want = {k: sum(counter.best("▁" + w)[1] for w in t.split(" ")) for k, t in enumerate(texts)}
+    assert {r.doc_id: r.n_tokens for r in token_counts.token_counts(df, P.path("piece_bpe_32k.model")).collect()} == want
+
+
+def test_memo_is_a_dictionary():
+    """Against a dict, with hashes that collide, growth, and starting anew."""
+    r = random.Random(1)
+    pool = [("k%d" % r.randrange(4000)).encode() for _ in range(6000)] + [t.encode() for t in thue_morse(1024)] * 2 + [b"", b"k"]
+    seen = []
+
+    def encode(runs):
+        keys = [k for run in runs for k in run]
+        seen.extend(keys)
+        return np.array([x for k in keys for x in (len(k), sum(k))], np.uint32), np.full(len(keys), 2)
+
+    for limit in (1 << 20, 40_000):
+        own = chunks.ChunkEncoder(encode, limit=limit)
+        for _ in range(30):
+            keys = [r.choice(pool) for _ in range(300)]
+            ends = np.concatenate([[0], np.cumsum([len(k) for k in keys])])
+            got, size = own.memo.values(own.places(np.frombuffer(b"".join(keys), np.uint8), ends))
+            assert (size == 2).all() and got.tolist() == [x for k in keys for x in (len(k), sum(k))]
+        assert limit < 1 << 20 or len(seen) == len(set(seen))
+        seen.clear()
+
+
 def test_contraction_ways_agree():
     ranks = bpe.load_ranks(RANKS)
     c = bpe.Contractor(ranks)
+    r0 = random.Random(7)
+    for w in [b"a" * 1500, ("ab" * 700 + "aba" * 90).encode(), *("".join(r0.choice("etaoin") for _ in range(n)).encode() for n in (3, 1100)), b"\xff\xfe\x00" * 9]:
+        assert c.contract([w, b"xyz", w], bpe.ENCODE_LONG)[2].tolist() == bpe.by_heap(w, ranks)
     r = random.Random(6)
     items = ["".join(r.choice("abcdefthion é") for _ in range(r.randint(2, 40))).encode() for _ in range(300)] + [b"a" * 500, b"\xff\xfe\x00"]
     assert [x.tolist() for x in c.contract(items)] == [bpe.by_heap(w, ranks) for w in items]
@@ -198,7 +298,6 @@ def test_token_store(spark, docs, odd, none, tmp_path):
 
     path = P.path("byte_bpe_50k.json")
     library = Tokenizer.from_file(path)
-    library.encode_special_tokens = True
     for k, df in enumerate((docs, odd, none)):
         where = f"file://{tmp_path}/t{k}"
         token_store.write(df, where, path)
@@ -251,21 +350,45 @@ def unigram_model(path):
     return sentencepiece.SentencePieceProcessor(model_proto=m.SerializeToString())
 
 
-def test_token_counts_equal_the_library(spark, docs, odd, none):
+def whole_viterbi(text, pieces, least):
+    """Pieces of the best segmentation of a whole text, without stretches or an automaton: earliest start first, a later one must be better."""
+    text = "▁" + text.replace(" ", "▁")
+    best, count = [0.0] + [None] * len(text), [0] * (len(text) + 1)
+    longest = max(map(len, pieces))
+    for end in range(1, len(text) + 1):
+        for start in range(max(0, end - longest), end):
+            s = pieces.get(text[start:end])
+            if s is not None and (best[end] is None or best[start] + s > best[end]):
+                best[end], count[end] = best[start] + s, count[start] + 1
+        if text[end - 1] not in pieces and (best[end] is None or best[end - 1] + least > best[end]):
+            best[end], count[end] = best[end - 1] + least, count[end - 1] + len(text[end - 1].encode())
+    return count[-1]
+
+
+def test_token_counts_are_brute_force(docs, odd, none):
+    """Every document of the smallest table, whole; sums over stretches differ from those over a whole text only where scores tie to the last bits."""
     path = P.path("piece_bpe_32k.model")
-    library = unigram_model(path)
-    # stretch by stretch, since over long texts the library's 32-bit scores round; texts without line breaks, which have no piece
-    plain = docs.where("not contains(text, '\n')")
-    got = {r.doc_id: r.n_tokens for r in token_counts.token_counts(plain, path).collect()}
-    rows = plain.select("doc_id", "text").collect()
-    assert rows
-    for r in rows:
-        assert got[r.doc_id] == sum(len(library.encode(w)) for w in r.text.split(" ")) or "  " in r.text or r.text.endswith(" ")
+    pieces, byte_pieces = token_counts.vocabulary(path)
+    table, least = dict(pieces), min(s for _, s in pieces) - token_counts.UNKNOWN_PENALTY
+    assert byte_pieces
+    rows = docs.where("length(text) < 6000").select("doc_id", "text").collect()
+    assert len(rows) > 0.9 * docs.count()
+    got = {r.doc_id: r.n_tokens for r in token_counts.token_counts(docs, path).collect()}
+    assert {r.doc_id: got[r.doc_id] for r in rows} == {r.doc_id: whole_viterbi(r.text, table, least) for r in rows}
     odd_counts = Counter((r.doc_id, r.n_tokens > 0) for r in token_counts.token_counts(odd, path).collect())
     assert odd_counts == Counter((i, bool(t)) for i, t in ODD)
     assert token_counts.token_counts(none, path).count() == 0
 
 
+def test_token_counts_equal_the_library(docs):
+    """Word by word, since the library rounds the scores of long texts to 32 bits."""
+    path = P.path("piece_bpe_32k.model")
+    library, counter = unigram_model(path), token_counts.UnigramCounter(*token_counts.vocabulary(path))
+    words_ = sorted({w for r in docs.select("text").collect() for w in re.split(r"[ \n\t]+", r.text or "") if w})
+    assert len(words_) > 5000
+    assert [counter.best("▁" + w)[1] for w in words_] == [len(library.encode(w)) for w in words_]
+
+
 def test_counter_ties_and_unknowns():
     path = P.path("piece_bpe_32k.model")
     library, own = unigram_model(path), token_counts.UnigramCounter(*token_counts.vocabulary(path))
@@ -418,7 +541,63 @@ def test_toxicity_on_held_out_rows(spark):
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
     got = toxicity.toxicity(docs, labels).join(labels, "doc_id").where("held_out").select("toxic", "predicted", "score").collect()
     assert all(0 <= r.score <= 1 for r in got)
-    assert np.mean([r.toxic == r.predicted for r in got]) > 0.95
+    found = [r.predicted for r in got if r.toxic]
+    assert sum(found) >= 0.8 * len(found) and np.mean([r.predicted for r in got if not r.toxic]) <= 0.02
+
+
+def test_toxicity_recall_by_cross_validation():
+    """Of the labelled rows outside the held-out fold of sf0.1, each judged by a model that has not seen it, at least 0.9 of the toxic ones are found and at most 1 % of the others."""
+    import pyarrow.parquet as pq
+
+    sf = "/root/testdata/sf0.1"
+    rows = pq.read_table(f"{sf}/documents.parquet", columns=["doc_id", "text"]).join(pq.read_table(f"{sf}/labels.parquet"), "doc_id", join_type="inner").sort_by("doc_id").to_pylist()
+    rows = [r for r in rows if zlib.crc32(str(r["doc_id"]).encode()) % 5 != 0]
+    hits, said = [], []
+    for fold in range(3):
+        part = [zlib.crc32(b"fold" + str(r["doc_id"]).encode()) % 3 == fold for r in rows]
+        model = toxicity.fit([r["text"] for r, p in zip(rows, part, strict=True) if not p], [r["toxic"] for r, p in zip(rows, part, strict=True) if not p])
+        asked = [r for r, p in zip(rows, part, strict=True) if p]
+        hits += (toxicity.margins(pa.array([r["text"] for r in asked]), model) >= 0).tolist()
+        said += [r["toxic"] for r in asked]
+    hits, said = np.array(hits), np.array(said) == 1
+    assert hits[said].mean() >= 0.9 and hits[~said].mean() <= 0.01
+
+
+def test_toxicity_ratios_and_margins_are_brute_force():
+    """Against features counted one by one."""
+    texts, labels = ["you Idiot  moron", "fine day", "moron you moron", "good day you", None, "idiot day"], [1, 0, 1, 0, 0, 1]
+    model = toxicity.fit(texts, labels, bits=20, seen_in=1, least_ratio=0.1)
+
+    def counts(t):
+        raw = b" " + " ".join((t or "").lower().split(" ")).encode() + b" "
+        return Counter(raw[i : i + n] for n in toxicity.ORDERS for i in range(len(raw) - n + 1)) if t else Counter()
+
+    seen = [counts(t) for t in texts]
+    bad, rest = (Counter(g for c, y in zip(seen, labels, strict=True) if y == k for g in c) for k in (1, 0))
+    ratio = {g: math.log((bad[g] + 1) / (3 + 1)) - math.log((rest[g] + 1) / (3 + 1)) for g in bad | rest}
+    ratio = {g: r for g, r in ratio.items() if abs(r) > 0.1}
+    for (own, value), c in zip(toxicity.features(pa.array(texts), model), seen, strict=True):
+        want = {g: n * ratio[g] for g, n in c.items() if g in ratio}
+        norm = math.sqrt(sum(x * x for x in want.values()))
+        assert sorted(value.tolist()) == pytest.approx(sorted(x * toxicity.LENGTH / norm for x in want.values()))
+        assert sorted(model.ratio[own].tolist()) == pytest.approx(sorted(ratio[g] for g in want))
+    assert (toxicity.margins(pa.array(texts), model) > 0).astype(int).tolist() == labels
+
+
+def test_toxicity_of_repeated_labels_and_ties(spark):
+    """Of several labels of an id any toxic one counts, of several texts the least; ties in the hash order are broken by id."""
+    docs = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c"), (3, "d"), (3, "d")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, 0), (1, 1), (2, 0), (2, 0), (3, 1), (9, 1)], "doc_id bigint, toxic int")
+    assert toxicity.labelled_sample(docs, labels, "text", "toxic", None, 10) == (["a", "c", "d"], [1, 0, 1])
+    assert len(toxicity.labelled_sample(docs, labels, "text", "toxic", None, 1)[0]) <= 2
+
+
+def test_long_texts_have_the_features_of_their_pieces(monkeypatch):
+    text = "".join(random.Random(3).choice("abcdef ") for _ in range(5000))
+    model = toxicity.fit([text, "fed cab", "abc"], [1, 0, 0], bits=14, seen_in=1, least_ratio=0.0)
+    want = toxicity.margins(pa.array([text]), model)
+    monkeypatch.setattr(toxicity, "PIECE", 512)
+    assert toxicity.margins(pa.array([text]), model) == pytest.approx(want)
 
 
 def test_toxicity_edges(spark, odd, none):
