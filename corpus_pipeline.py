@@ -7,13 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.llm import bpe, decontaminate, near_dedup, toxicity
-from lakeloom.llm.common import table, written
+from lakeloom.llm.common import release, table, written
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, trained on the labelled rows outside the held-out fold, does not call toxic. Rows with a null doc_id are scored like others."""
     labels = table(spark, sf_dir, "labels")
     model = toxicity.fit(*toxicity.labelled_sample(table(spark, sf_dir, "documents"), labels, "text", "toxic", 0, 1500))
+    release()
     return toxicity.kept(docs, model)
 
 
@@ -33,7 +34,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     member = groups.where("n_shingles > 0").select(F.col("doc_id").alias("other"), "component_id").distinct().join(names, "other", "left")
     member = member.withColumn("id", F.when(F.col("odd"), F.col("id")).otherwise(F.col("other")))
     rank = F.struct(F.col("id").isNull(), "id", "other")
-    best = member.groupBy("component_id").agg(F.min_by("other", rank).alias("best"), F.count("*").alias("n")).where("n > 1").drop("n")
+    best = written(member.groupBy("component_id").agg(F.min_by("other", rank).alias("best"), F.count("*").alias("n")).where("n > 1").drop("n"), "best")  # so that a large group can be split among tasks
     lost = written(member.join(best, "component_id").where("other <> best").select("other", F.coalesce("odd", F.lit(False)).alias("odd")), "lost")
     single = plain.join(lost.where("not odd"), same, "left_anti")
     rest = odd.join(lost.where("odd").select("other"), "other", "left_anti").select("other", *docs.columns)
