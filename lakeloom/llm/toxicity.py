@@ -124,7 +124,7 @@ def fit(texts: list[str | None], labels: list[int], bits: int = 21, l2: float =
         return total[ends[1:]] - total[ends[:-1]]
 
     def backward(g: np.ndarray) -> np.ndarray:
-        return np.bincount(cols, g[of_row] * vals, len(keep))
+        return np.bincount(cols, g[of_row] * vals, len(keep)).astype(np.float64)
 
     v, largest = np.ones(len(keep)), 0.0
     for _ in range(8):  # the largest curvature, by power iteration
