@@ -11,8 +11,8 @@ from lakeloom.operators import evaluate as E
 from lakeloom.operators import features as X
 from lakeloom.operators import validate as V
 from lakeloom.plans import linkage
-from lakeloom.plans.config import Settings, load
-from lakeloom.plans.package import build_zip
+from lakeloom.plans.config import Manager, Settings, load, resolved
+from lakeloom.plans.package import DOCUMENTS, build_zip
 from lakeloom.sources import records as R
 from lakeloom.sources import tsv
 
@@ -205,3 +205,57 @@ def test_settings_and_zip(tmp_path):
     (tmp_path / "logs" / "x").write_text("x")
     assert build_zip(str(tmp_path), str(tmp_path / "z.zip"), {"output/a": str(a), "output/c": "none"}) == ["output/c"]
     assert sorted(zipfile.ZipFile(tmp_path / "z.zip").namelist()) == ["code/a.json", "code/b.yaml", "output/a"]
+
+
+def test_settings_folder(tmp_path):
+    (tmp_path / "default.yaml").write_text("random_seed: 5\n")
+    (tmp_path / "model.json").write_text('{"maxIter": 9}')
+    m = Manager(str(tmp_path))
+    assert m.get("random_seed") == 5 and m.get("model") == {"maxIter": 9} and m.get("blocking") is None and m.get("x", 1) == 1
+    assert Manager(str(tmp_path / "none")).values == {}
+    assert resolved(str(tmp_path), "a/b") == str(tmp_path / "a" / "b") and resolved("x", "/a") == "/a" and resolved("x", "s3://a/b") == "s3://a/b"
+
+
+def test_documents_in_the_zip(tmp_path):
+    (tmp_path / "docs").mkdir()
+    (tmp_path / "docs" / "Documentation_template.md").write_text("how")
+    assert build_zip(str(tmp_path), str(tmp_path / "z.zip"), {}, documents=[*DOCUMENTS, "docs/none.md"]) == ["none.md"]
+    assert "Documentation_template.md" in zipfile.ZipFile(tmp_path / "z.zip").namelist()
+
+
+def test_line_breaks_decide_how_a_file_is_split(spark, tmp_path):
+    plain, broken = tmp_path / "a.tsv", tmp_path / "b.tsv"
+    plain.write_text('entity_id\tbusiness_name\nS1-1\t"Quoted ""X"""\nS1-2\ty\n')
+    broken.write_text('entity_id\tbusiness_name\nS1-1\t"two\nlines"\nS1-2\ty\n')
+    assert not tsv.holds_breaks(spark, str(plain)) and tsv.holds_breaks(spark, str(broken))
+    assert rows(tsv.read_source(spark, str(plain))) == {("S1-1", 'Quoted "X"'), ("S1-2", "y")}
+    assert rows(tsv.read_source(spark, str(broken))) == {("S1-1", "two\nlines"), ("S1-2", "y")}
+
+
+def test_name_groups_and_limits(spark):
+    df = spark.createDataFrame([("S1-1", "a"), ("S1-2", "a "), ("S2-1", "a"), ("S3-1", "a"), ("S1-3", "b"), ("S2-2", "c"), ("S1-4", ""), ("S2-3", "")], "record_id string, name string")
+    a, t = linkage.sides(df)
+    assert rows(B.exact_name_groups(a, t)) == {("S1-1", True, "S1-1"), ("S1-2", True, "S1-1"), ("S2-1", False, "S1-1"), ("S3-1", False, "S1-1")}
+    assert len(rows(B.exact_name(a, t))) == len(rows(B.exact_name(a, t, max_name_freq=2))) == 4 and rows(B.exact_name(a, t, max_name_freq=1)) == set()
+
+
+def test_resume(spark, tmp_path):
+    """A run that goes on gives what a whole run gives; repeated ids are an error."""
+    s = Settings(str(tmp_path / "data"), str(tmp_path / "out"), str(tmp_path / "model"))
+    make_split(tmp_path / "data", "train", 20)
+    make_split(tmp_path / "data", "test", 12)
+    linkage.model.DEFAULTS["maxIter"], had = 2, linkage.model.DEFAULTS["maxIter"]
+    try:
+        linkage.train(spark, s)
+    finally:
+        linkage.model.DEFAULTS["maxIter"] = had
+    linkage.infer(spark, s)
+    path = f"{s.output_dir}/matching_results.tsv"
+    whole = rows(tsv.read_source(spark, path))
+    tsv.write_tsv(spark.createDataFrame(sorted(whole)[:5], "source1_entity_id string, matched_entity_ids string"), path)
+    linkage.infer(spark, s, resume=True)
+    assert rows(tsv.read_source(spark, path)) == whole and tsv.read_source(spark, path).count() == 12
+    with open(tmp_path / "data" / "test" / "test_source3.tsv", "a") as f:
+        f.write("S3-1\tagain\tx\tFrance\n")
+    with pytest.raises(ValueError, match="repeat"):
+        linkage.infer(spark, s)
