@@ -43,6 +43,8 @@ from lakeloom.llm.common import id_crc, map_arrow, only, written
 DISCOUNT = 0.75
 #: At most so many of the most frequent words are broadcast: where a word's count is kept changes no score.
 FREQUENT, TALLIED = 1_000_000, 10_000
+#: About so many symbols of a bucket are in one step of growing it.
+GROUP = 500_000
 U64 = np.uint64
 END = vec.mix(np.array([10], U64))[0]
 
@@ -492,8 +494,16 @@ def scores(docs: DataFrame, text: str = "text", fold: int = 1, depth: int = 3, l
         count[often] = own.rank_counts[codes[often]]
         count[tail[len(given) :]] = c
         spread = find(own.heavy, known) >= 0
-        out, waits, kept = branches(grams[0], grams[1:], have, weights, np.log10(count + 0.5) - own.below, np.where(spread, count, -1), len(given), least, gain)
-        out, waits = out[: len(of)], waits[: len(of)]
+        root, totals = np.log10(count + 0.5) - own.below, np.where(spread, count, -1)
+        out, waits, kept = np.zeros(len(of)), np.zeros(len(of)), []
+        groups = -(-len(have) // GROUP)
+        for g in range(groups):  # branches of different words know nothing of one another
+            at = np.flatnonzero(grams[1] % groups == g)
+            real = int(np.searchsorted(at, len(of)))
+            value, wait, some = branches(grams[0][at], [x[at] for x in grams[1:]], have[at], weights[at], root, totals, len(at) - real, least, gain)
+            out[at[:real]], waits[at[:real]] = value[:real], wait[:real]
+            kept.append(some)
+        kept = np.concatenate(kept)
         texts, back = np.unique(keys, return_inverse=True)
         of = back[of]
         yield batch_of(texts, np.bincount(of, out, len(texts)), np.bincount(of, minlength=len(texts)), None)

@@ -479,8 +479,9 @@ def test_lm_conditions_on_what_occurs_twice_in_a_large_corpus(spark):
     assert got[held[1]].score < got[held[0]].score - 5
 
 
-@pytest.mark.parametrize("share", [400, 5000, 2_000_000])
-def test_lm_buckets_equal_the_tree_in_memory(spark, docs, odd, share):
+@pytest.mark.parametrize("share, group", [(400, 500_000), (5000, 700), (2_000_000, 500_000)])
+def test_lm_buckets_equal_the_tree_in_memory(spark, docs, odd, share, group, monkeypatch):
+    monkeypatch.setattr(lm_score, "GROUP", group)
     for df in (docs, odd, docs.select("doc_id", F.expr("repeat(concat(substr(text, 1, 40), ' b a a '), 3)").alias("text"))):
         rows = [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
         train = np.array([zlib.crc32(b"" if i is None else str(i).encode()) % 5 != 1 for i, _ in rows])
