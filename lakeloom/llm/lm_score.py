@@ -457,43 +457,57 @@ def scores(docs: DataFrame, text: str = "text", fold: int = 1, depth: int = 3, l
     def grown(blobs: list[tuple[bytes, int]], facts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         last, word, n, c = np.concatenate(facts, axis=1) if facts else np.zeros((4, 0), np.int64)
-        parts = [pickle.loads(pa.decompress(x, decompressed_size=size, codec="zstd")) for x, size in blobs]
-        if not parts:
+        if not blobs:
             return
         given = np.flatnonzero(n > 0)
         told = np.concatenate([last[given], word]).view(U64)
         frequent = len(own.words)
         place = find(own.words, told)
-        rare, back = np.unique(np.concatenate([*(p[1] for p in parts), told[place < 0]]), return_inverse=True)
-        grams, at = [], 0  # all codes are below 2**31
-        for p in parts:
-            code = from_planes(p[0]).astype(np.int32)
-            code[code == frequent] = frequent + back[at : at + len(p[1])][p[2]]
-            at += len(p[1])
-            grams.append(code.reshape(depth + 1, -1))
+        columns, listed, have, keys, train, of = [[] for _ in range(depth + 1)], [], [], [], [], []
+        words_before = texts_before = 0
+        while blobs:  # one after another, so that what is compressed and what is not are never held together
+            x, size = blobs.pop()
+            code, rare, which, *rest = pickle.loads(pa.decompress(x, decompressed_size=size, codec="zstd"))
+            code = from_planes(code).view(np.int32)  # all codes are below 2**31
+            code[code == frequent] = frequent + words_before + which.astype(np.int32)
+            for column, part in zip(columns, code.reshape(depth + 1, -1), strict=True):
+                column.append(part)
+            listed.append(rare)
+            have.append(rest[0])
+            keys.append(rest[1])
+            train.append(rest[2])
+            of.append(rest[3].astype(np.int32) + np.int32(texts_before))
+            words_before += len(rare)
+            texts_before += len(rest[1])
+        rare, back = np.unique(np.concatenate([*listed, told[place < 0]]), return_inverse=True)
         tail = np.where(place >= 0, own.rank[place] if frequent else 0, 0).astype(np.int32)
-        tail[place < 0] = frequent + back[at:]
-        more = np.zeros((depth + 1, len(given)), np.int32)
-        more[1], more[0] = tail[: len(given)], tail[len(given) :][given]
-        grams = [np.concatenate([*(g[d] for g in grams), more[d]]) for d in range(depth + 1)]
+        tail[place < 0] = frequent + back[words_before:]
+        code_of = np.concatenate([np.arange(frequent), frequent + back[:words_before]]).astype(np.int32)
+        grams = [np.concatenate(x) for x in columns]
+        del columns, code, part, column
+        met = np.zeros(len(code_of), bool)
+        for g in grams:
+            met[g] = True
         used = np.zeros(frequent + len(rare), bool)
-        for own_codes in (*grams, tail):
-            used[own_codes] = True
+        used[code_of[met]] = True
+        used[tail] = True
         codes = np.flatnonzero(used)
         dense = (np.cumsum(used) - 1).astype(np.int32)
-        grams, tail = [dense[g] for g in grams], dense[tail]
+        tail, to = dense[tail], dense[code_of]
+        more = np.zeros((depth + 1, len(given)), np.int32)
+        more[1], more[0] = tail[: len(given)], tail[len(given) :][given]
+        for d in range(depth + 1):
+            grams[d] = np.concatenate([to[grams[d]], more[d]])
         known = np.concatenate([own.by_rank, rare])[codes]
-        have = np.concatenate([*(p[3] for p in parts), np.ones(len(given), np.uint8)])
-        keys, train = (np.concatenate([p[x] for p in parts]) for x in (4, 5))
-        firsts = np.cumsum([0, *(len(p[4]) for p in parts)])
-        of = np.concatenate([a + p[6].astype(np.int64) for a, p in zip(firsts, parts, strict=False)])
-        del parts
+        have = np.concatenate([*have, np.ones(len(given), np.uint8)])
+        keys, train, of = np.concatenate(keys), np.concatenate(train), np.concatenate(of)
         weights = np.concatenate([train[of].astype(np.int64), n[given]])
         count = np.zeros(len(codes), np.int64)
         often = codes < frequent
         count[often] = own.rank_counts[codes[often]]
         count[tail[len(given) :]] = c
         spread = find(own.heavy, known) >= 0
+        del code_of, met, used, dense, to, back
         root, totals = np.log10(count + 0.5) - own.below, np.where(spread, count, -1)
         out, waits, kept = np.zeros(len(of)), np.zeros(len(of)), []
         groups = -(-len(have) // GROUP)
@@ -505,11 +519,13 @@ def scores(docs: DataFrame, text: str = "text", fold: int = 1, depth: int = 3, l
             kept.append(some)
         kept = np.concatenate(kept)
         texts, back = np.unique(keys, return_inverse=True)
-        of = back[of]
-        yield batch_of(texts, np.bincount(of, out, len(texts)), np.bincount(of, minlength=len(texts)), None)
+        of = back.astype(np.int32)[of]
         late = np.flatnonzero(waits)
-        for code in np.unique(grams[1][late]):
-            at = late[grams[1][late] == code]
+        before = grams[1][late]
+        del grams, have, weights
+        yield batch_of(texts, np.bincount(of, out, len(texts)), np.bincount(of, minlength=len(texts)), None)
+        for code in np.unique(before):
+            at = late[before == code]
             sums, there = np.bincount(of[at], waits[at], len(texts)), np.unique(of[at])
             yield batch_of(texts[there], sums[there], np.zeros(len(there), np.int64), known[code])
         for code in kept[spread[kept]]:
