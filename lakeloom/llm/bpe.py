@@ -241,7 +241,7 @@ def codec(ranks_path: str, pattern: str) -> BpeCodec:
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text") -> DataFrame:
-    """doc_id and ids (array<int>) of every whole text; null and empty texts have no ids. Rows stay as they are, repeated ones included."""
+    """doc_id and ids (array<int>) of every whole text; null and empty texts have no ids. Rows stay as they are, repeated ones included; an empty table gives no rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(ranks_path, pattern)
@@ -253,7 +253,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text") -
 
 
 def decode(tokens: DataFrame, ranks_path: str, pattern: str, ids: str = "ids") -> DataFrame:
-    """doc_id, ids and bytes: the decoded binary; null and empty lists decode to empty bytes."""
+    """doc_id, ids and bytes: the decoded binary; null and empty lists decode to empty bytes; repeated rows stay, an empty table gives no rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(ranks_path, pattern)

@@ -393,7 +393,7 @@ def scores(docs: DataFrame, text: str = "text", fold: int = 1, depth: int = 3, l
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row.
 
     Texts whose crc32(doc_id as text) mod 5 is `fold` are held out of all counts; a null doc_id counts as the empty text. Null and empty texts are the end alone.
-    Repeated rows count and are scored each. Without training texts both scores are 0. Words, and texts, count as equal if their 64-bit hashes are.
+    Repeated rows count and are scored each; an empty table gives no rows. Without training texts both scores are 0. Words, and texts, count as equal if their 64-bit hashes are.
     `share` is about the number of symbols in a bucket; scores do not depend on it.
     """
     context = docs.sparkSession.sparkContext

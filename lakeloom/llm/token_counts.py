@@ -94,7 +94,7 @@ def counter(model_file: str) -> ChunkEncoder:
 
 
 def token_counts(docs: DataFrame, model_file: str, text: str = "text") -> DataFrame:
-    """doc_id and n_tokens of every whole text, with the dummy space that the tokenizer puts before a text. Null and empty texts have 0; equal texts have equal counts; repeated rows stay."""
+    """doc_id and n_tokens of every whole text, with the dummy space that the tokenizer puts before a text. Null and empty texts have 0; equal texts have equal counts; repeated rows stay, an empty table gives no rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = counter(model_file)
