@@ -38,13 +38,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.llm import vec
-from lakeloom.llm.common import id_crc, map_arrow, only, written
+from lakeloom.llm.common import id_crc, map_arrow, only, release, written
 
 DISCOUNT = 0.75
 #: At most so many of the most frequent words are broadcast: where a word's count is kept changes no score.
 FREQUENT, TALLIED = 1_000_000, 10_000
 #: About so many symbols of a bucket are in one step of growing it.
-GROUP = 500_000
+GROUP = 250_000
 U64 = np.uint64
 END = vec.mix(np.array([10], U64))[0]
 
@@ -545,6 +545,7 @@ def scores(docs: DataFrame, text: str = "text", fold: int = 1, depth: int = 3, l
                     continue
                 if bucket[a] != now:
                     yield from grown(blobs, facts)
+                    release()
                     now, blobs, facts = bucket[a], [], []
                 part = batch.slice(a, b - a)
                 blobs += [(x.as_py(), y.as_py()) for x, y in zip(part.column(1), part.column(2), strict=True) if x.is_valid]
