@@ -18,6 +18,7 @@ from lakeloom.operators import blocking as B
 from lakeloom.operators import decision as D
 from lakeloom.operators import evaluate as E
 from lakeloom.operators import features as X
+from lakeloom.operators import groups as G
 from lakeloom.operators import model as M
 from lakeloom.operators import validate as V
 from lakeloom.plans.linkage import sides
@@ -151,6 +152,19 @@ def _scored(records: DataFrame) -> DataFrame:
     return E.label_pairs(X.baseline_score(rows), _truth(records)).select("id_1", "id_2", "score", "label")
 
 
+def _groups(spark: SparkSession, sf_dir: str) -> tuple[G.Groups, DataFrame]:
+    """The stand-in records by groups of equal ones, and the pairs of groups that are candidates."""
+    g = G.grouped(_records(spark, sf_dir))
+    return g, G.retrieve(g)
+
+
+def _group_scores(g: G.Groups, pairs: DataFrame) -> DataFrame:
+    """Pairs of groups with the unsupervised score of the two set similarities."""
+    wide = X.attributes(pairs, g.groups, ["name", "address"])
+    rows = wide.select("id_1", "id_2", S.jaccard(F.col("name_1"), F.col("name_2")).alias("name_jaccard"), S.jaccard(F.col("address_1"), F.col("address_2")).alias("addr_jaccard"))
+    return X.baseline_score(rows).select("id_1", "id_2", "score")
+
+
 def _r6(c: str) -> Column:
     return F.round(F.col(c), 6).alias(c)
 
@@ -440,8 +454,8 @@ def f_beta(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"{ALL} select record_id as source1_entity_id, coalesce(string_agg(id_2, ',' order by id_2), '') as matched_entity_ids from anchors left join (select * from scored where score >= 0.5) on id_1 = record_id group by record_id")
 def assemble_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = _records(spark, sf_dir)
-    return D.assemble_matches(_scored(records), THRESHOLD, sides(records)[0])
+    g, pairs = _groups(spark, sf_dir)
+    return g.lists(_group_scores(g, pairs).where(F.col("score") >= THRESHOLD), "matched_entity_ids")
 
 
 @query(f"{ALL} select record_id from anchors where record_id not in (select id_1 from scored where score >= 0.5)")
