@@ -487,8 +487,8 @@ def _errors_sql(wrong: str, against: str) -> str:
 
 @query(_errors_sql("pred", "truth"))
 def false_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = _records(spark, sf_dir)
-    return E.false_merges(_scored(records).where(F.col("score") >= THRESHOLD), _truth(records), records)
+    g, pairs = _groups(spark, sf_dir)
+    return g.expanded(G.with_names(g, _group_scores(g, pairs).where(F.col("score") >= THRESHOLD).select("id_1", "id_2").distinct()), label=True).where("label = 0").select(*E.ERRORS)
 
 
 @query(_errors_sql("(select distinct a.record_id as id_1, b.record_id as id_2 from anchors a join targets b on a.address = b.address where a.address <> '')", "pred"))
