@@ -469,8 +469,8 @@ def singletons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"{ALL}, pred as (select id_1, id_2 from scored where score >= 0.5), c as (select (select count(*) from (select * from pred intersect select * from truth)) as tp, (select count(*) from (select * from pred except select * from truth)) as fp, (select count(*) from (select * from truth except select * from pred)) as fn), m as (select *, {_PR} from c) select round(p, 6) as precision, round(r, 6) as recall, round({_F}, 6) as f0_5, tp as true_positives, fp as false_positives, fn as false_negatives from m")
 def match_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = _records(spark, sf_dir)
-    out = E.match_metrics(_scored(records).where(F.col("score") >= THRESHOLD), _truth(records))
+    g, pairs = _groups(spark, sf_dir)
+    out = G.match_metrics(g, _group_scores(g, pairs).where(F.col("score") >= THRESHOLD))
     return out.select(_r6("precision"), _r6("recall"), _r6("f0_5"), "true_positives", "false_positives", "false_negatives")
 
 
