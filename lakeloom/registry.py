@@ -494,8 +494,10 @@ def false_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_errors_sql("(select distinct a.record_id as id_1, b.record_id as id_2 from anchors a join targets b on a.address = b.address where a.address <> '')", "pred"))
 def missed_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of one address, as the truth here, that the score of names and addresses does not accept."""
-    records = _records(spark, sf_dir)
-    return E.missed_matches(_scored(records).where(F.col("score") >= THRESHOLD), _address_truth(records), records)
+    g, pairs = _groups(spark, sf_dir)
+    predicted = _group_scores(g, pairs).where(F.col("score") >= THRESHOLD).select("id_1", "id_2")
+    missed = G.equal_values(g, "address", trimmed=False).distinct().join(predicted, ["id_1", "id_2"], "left_anti")
+    return g.expanded(G.with_names(g, missed)).select(*E.ERRORS)
 
 
 @query(
