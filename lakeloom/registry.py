@@ -460,8 +460,9 @@ def assemble_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"{ALL} select record_id from anchors where record_id not in (select id_1 from scored where score >= 0.5)")
 def singletons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = _records(spark, sf_dir)
-    return D.singletons(sides(records)[0], _scored(records).where(F.col("score") >= THRESHOLD), "id_1")
+    g, pairs = _groups(spark, sf_dir)
+    matched = _group_scores(g, pairs).where(F.col("score") >= THRESHOLD).select(F.col("id_1").alias("group"))
+    return g.members(True).join(matched.distinct(), "group", "left_anti").select("record_id")
 
 
 # evaluation and checks -----------------------------------------------------------
