@@ -423,10 +423,12 @@ def explode_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def train_gbt_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trees fitted on every labelled candidate, and their scores of the same."""
-    records = _records(spark, sf_dir)
-    rows = written(E.label_pairs(X.build_features(records, _candidates(records)), _truth(records)), "features")
-    return M.PairModel({"maxIter": 20}).fit(rows).predict(rows).select("id_1", "id_2", "label", "score")
+    """Trees fitted on every labelled candidate, and their scores of the same. Equal rows are one row of their number as weight."""
+    g, pairs = _groups(spark, sf_dir)
+    features = written(X.build_features(g.groups, pairs), "features")
+    rows = written(g.counted(features).groupBy(*X.FEATURES, "label").agg(F.sum("n").cast("double").alias("weight")), "rows")
+    scored = M.PairModel({"maxIter": 20}).fit(rows, weight="weight").predict(features)
+    return g.expanded(scored.select("id_1", "id_2", "score"), label=True).select("id_1", "id_2", "label", "score")
 
 
 # decision ------------------------------------------------------------------------
