@@ -392,7 +392,8 @@ def features_but_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"{ALL} select id_1, id_2, round(score, 6) as score from scored")
 def baseline_score_of_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The unsupervised score of the two set similarities: the mean of those present."""
-    return _scored(_records(spark, sf_dir)).select("id_1", "id_2", _r6("score"))
+    g, pairs = _groups(spark, sf_dir)
+    return g.expanded(_group_scores(g, pairs).select("id_1", "id_2", _r6("score")))
 
 
 @query()
