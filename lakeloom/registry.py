@@ -481,7 +481,8 @@ def match_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"with {RECORDS}, {CANDIDATES}, n as (select count(*)::double as n from records) select round((select count(*) from (select * from candidates intersect select * from truth)) / (select count(*) from truth)::double, 6) as pair_completeness, round(1 - (select count(*) from candidates) / (n * (n - 1) / 2), 6) as reduction_ratio, (select count(*) from candidates)::double as candidate_count, (select count(*) from truth)::double as true_match_count, (select count(*) from (select * from candidates intersect select * from truth))::double as matches_found from n where (select count(*) from truth) > 0")
 def blocking_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = _records(spark, sf_dir)
-    out = E.blocking_metrics(_candidates(records), _truth(records), records.agg(F.count("*").alias("n")))
+    g = G.grouped(records)
+    out = G.blocking_metrics(g, G.retrieve(g), records.agg(F.count("*").alias("n")))
     return out.select(_r6("pair_completeness"), _r6("reduction_ratio"), "candidate_count", "true_match_count", "matches_found")
 
 
