@@ -405,8 +405,8 @@ def features_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def baseline_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = _records(spark, sf_dir)
-    return X.baseline_score(X.build_features(records, _candidates(records))).select("id_1", "id_2", "score")
+    g, pairs = _groups(spark, sf_dir)
+    return g.expanded(X.baseline_score(X.build_features(g.groups, pairs)).select("id_1", "id_2", "score"))
 
 
 @query(f"{ALL} select id_1, id_2, label from scored")
