@@ -330,8 +330,8 @@ def candidates_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"with {RECORDS}, {CANDIDATES} select record_id as source1_entity_id, coalesce(string_agg(id_2, ',' order by id_2), '') as candidate_entity_ids from anchors left join candidates on id_1 = record_id group by record_id")
 def candidate_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = _records(spark, sf_dir)
-    return D.candidate_lists(_candidates(records), sides(records)[0])
+    g, pairs = _groups(spark, sf_dir)
+    return g.lists(pairs, "candidate_entity_ids")
 
 
 # features, scores, labels --------------------------------------------------------
