@@ -325,7 +325,8 @@ def block_rare_token_parties(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"with {RECORDS}, {CANDIDATES} select * from candidates")
 def candidates_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _candidates(_records(spark, sf_dir))
+    g, pairs = _groups(spark, sf_dir)
+    return g.expanded(pairs)
 
 
 @query(f"with {RECORDS}, {CANDIDATES} select record_id as source1_entity_id, coalesce(string_agg(id_2, ',' order by id_2), '') as candidate_entity_ids from anchors left join candidates on id_1 = record_id group by record_id")
