@@ -452,7 +452,8 @@ def threshold_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"{ALL}, c as (select count(*) filter (label = 1 and score >= 0.5) as tp, count(*) filter (label = 0 and score >= 0.5) as fp, count(*) filter (label = 1 and score < 0.5) as fn from scored), m as (select *, {_PR} from c) select tp as true_positives, fp as false_positives, fn as false_negatives, round({_F}, 6) as f_beta from m")
 def f_beta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = D.f_beta_score(_scored(_records(spark, sf_dir)).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int")))
+    g, pairs = _groups(spark, sf_dir)
+    out = D.f_beta_score(g.counted(_group_scores(g, pairs)).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int")), weight="n")
     return out.select("true_positives", "false_positives", "false_negatives", _r6("f_beta"))
 
 
