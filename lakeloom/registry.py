@@ -352,8 +352,8 @@ def features_exact_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"with {RECORDS}, {CANDIDATES} select id_1, id_2, -1.0::double as city_match, -1.0::double as state_match, case when a.country = '' or b.country = '' then -1.0 else (a.country = b.country)::int::double end as country_match, -1.0::double as zip_match from candidates join records a on a.record_id = id_1 join records b on b.record_id = id_2")
 def features_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = _records(spark, sf_dir)
-    return X.attributes(_candidates(records), records, list(X.AGREEMENTS.values())).select("id_1", "id_2", *X.agreement_features())
+    g, pairs = _groups(spark, sf_dir)
+    return g.expanded(X.attributes(pairs, g.groups, list(X.AGREEMENTS.values())).select("id_1", "id_2", *X.agreement_features()))
 
 
 _PLACES = """
