@@ -400,8 +400,8 @@ def baseline_score_of_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def features_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ten features; the sequence ratio has no SQL (tests compare it with difflib)."""
-    records = _records(spark, sf_dir)
-    return X.build_features(records, _candidates(records))
+    g, pairs = _groups(spark, sf_dir)
+    return g.expanded(X.build_features(g.groups, pairs))
 
 
 @query()
