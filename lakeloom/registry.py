@@ -385,9 +385,9 @@ def agreement_of_places(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"with {RECORDS}, {CANDIDATES}, wide as (select c.*, a.name as n1, b.name as n2, a.address as a1, b.address as a2, a.country as c1, b.country as c2 from candidates c join records a on a.record_id = c.id_1 join records b on b.record_id = c.id_2) select id_1, id_2, {_exact('n1', 'n2')} as name_exact_match, round({_jaccard('n1', 'n2')}, 6) as name_jaccard, {_exact('a1', 'a2')} as addr_exact_match, round({_jaccard('a1', 'a2')}, 6) as addr_jaccard, -1.0::double as city_match, -1.0::double as state_match, case when c1 = '' or c2 = '' then -1.0 else (c1 = c2)::int::double end as country_match, -1.0::double as zip_match from wide")
 def features_but_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What features_all gives, without the two sequence ratios, which SQL cannot say."""
-    records = _records(spark, sf_dir)
-    out = X.build_features(records, _candidates(records)).drop("name_seq_matcher", "addr_seq_matcher")
-    return out.withColumns({c: F.round(c, 6) for c in ("name_jaccard", "addr_jaccard")})
+    g, pairs = _groups(spark, sf_dir)
+    out = X.build_features(g.groups, pairs).drop("name_seq_matcher", "addr_seq_matcher")
+    return g.expanded(out.withColumns({c: F.round(c, 6) for c in ("name_jaccard", "addr_jaccard")}))
 
 
 @query(f"{ALL} select id_1, id_2, round(score, 6) as score from scored")
