@@ -344,10 +344,10 @@ def _exact(a: str, b: str) -> str:
 
 @query(f"with {RECORDS}, {CANDIDATES}, wide as (select c.*, a.name as n1, b.name as n2, a.address as a1, b.address as a2 from candidates c join records a on a.record_id = c.id_1 join records b on b.record_id = c.id_2) select id_1, id_2, {_exact('n1', 'n2')} as name_exact_match, round({_jaccard('n1', 'n2')}, 6) as name_jaccard, {_exact('a1', 'a2')} as addr_exact_match, round({_jaccard('a1', 'a2')}, 6) as addr_jaccard from wide")
 def features_exact_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = _records(spark, sf_dir)
+    g, pairs = _groups(spark, sf_dir)
     n1, n2, a1, a2 = (F.col(c) for c in ("name_1", "name_2", "address_1", "address_2"))
-    wide = X.attributes(_candidates(records), records, ["name", "address"])
-    return wide.select("id_1", "id_2", S.exact_match(n1, n2).alias("name_exact_match"), F.round(S.jaccard(n1, n2), 6).alias("name_jaccard"), S.exact_match(a1, a2).alias("addr_exact_match"), F.round(S.jaccard(a1, a2), 6).alias("addr_jaccard"))
+    wide = X.attributes(pairs, g.groups, ["name", "address"])
+    return g.expanded(wide.select("id_1", "id_2", S.exact_match(n1, n2).alias("name_exact_match"), F.round(S.jaccard(n1, n2), 6).alias("name_jaccard"), S.exact_match(a1, a2).alias("addr_exact_match"), F.round(S.jaccard(a1, a2), 6).alias("addr_jaccard")))
 
 
 @query(f"with {RECORDS}, {CANDIDATES} select id_1, id_2, -1.0::double as city_match, -1.0::double as state_match, case when a.country = '' or b.country = '' then -1.0 else (a.country = b.country)::int::double end as country_match, -1.0::double as zip_match from candidates join records a on a.record_id = id_1 join records b on b.record_id = id_2")
