@@ -551,12 +551,12 @@ def tsv_ground_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"{ALL} select record_id as source1_entity_id, coalesce(string_agg(id_2, ',' order by id_2), '') as matched_entity_ids from anchors left join (select * from scored where score >= 0.5) on id_1 = record_id group by record_id")
 def resumed_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Results of a run that stopped after some anchors, and of one that went on with the others."""
-    records = _records(spark, sf_dir)
-    anchors, path = sides(records)[0], new_path(spark, "results")
-    scored = written(_scored(records), "scored")
-    tsv.write_tsv(D.assemble_matches(scored, THRESHOLD, anchors.where(F.crc32("record_id") % 2 == 0)), path)
+    g, pairs = _groups(spark, sf_dir)
+    anchors, path = g.members(True), new_path(spark, "results")
+    matched = written(_group_scores(g, pairs).where(F.col("score") >= THRESHOLD), "matched")
+    tsv.write_tsv(g.lists(matched, "matched_entity_ids", anchors.where(F.crc32("record_id") % 2 == 0)), path)
     rest = written(D.remaining(anchors, tsv.read_source(spark, path)), "remaining")
-    tsv.write_tsv(D.assemble_matches(scored.join(rest.select(F.col("record_id").alias("id_1")), "id_1", "left_semi"), THRESHOLD, rest), path, mode="append")
+    tsv.write_tsv(g.lists(matched, "matched_entity_ids", rest), path, mode="append")
     return tsv.read_source(spark, path)
 
 
