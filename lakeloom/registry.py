@@ -236,7 +236,8 @@ def anchor_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"{ALL}, n as (select label, count(*) as n from scored group by label) select label, ceil(0.2 * n)::bigint as held_out, (n - ceil(0.2 * n))::bigint as trained from n")
 def stratified_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    split = E.holdout(_scored(_records(spark, sf_dir)))
+    g, pairs = _groups(spark, sf_dir)
+    split = E.holdout(g.expanded(pairs, label=True))
     return split.groupBy("label").agg(F.sum(F.col("held_out").cast("long")).alias("held_out"), F.sum((~F.col("held_out")).cast("long")).alias("trained"))
 
 
