@@ -447,7 +447,8 @@ _PR = "case when tp + fp > 0 then tp / (tp + fp)::double else 0 end as p, case w
     select round(threshold, 6) as threshold, tp as true_positives, fp as false_positives, fn as false_negatives, round({_F}, 6) as f_beta from m"""
 )
 def threshold_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = D.sweep(_scored(_records(spark, sf_dir)))
+    g, pairs = _groups(spark, sf_dir)
+    out = D.sweep(g.counted(_group_scores(g, pairs)), weight="n")
     return out.select(_r6("threshold"), "true_positives", "false_positives", "false_negatives", _r6("f_beta"))
 
 
