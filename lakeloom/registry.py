@@ -571,5 +571,6 @@ def resumed_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tuned_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best threshold, saved with a model and loaded again."""
     folder = new_path(spark, "model")
-    M.save_threshold(spark, folder, *D.best_threshold(_scored(_records(spark, sf_dir))))
+    g, pairs = _groups(spark, sf_dir)
+    M.save_threshold(spark, folder, *D.best_threshold(g.counted(_group_scores(g, pairs)), weight="n"))
     return spark.createDataFrame([(M.load_threshold(spark, folder),)], "threshold double").select(_r6("threshold"))
