@@ -135,23 +135,10 @@ def _truth(records: DataFrame) -> DataFrame:
     return a.select(F.col("record_id").alias("id_1"), "text_id").join(t.select(F.col("record_id").alias("id_2"), "text_id"), "text_id").select("id_1", "id_2").distinct()
 
 
-def _address_truth(records: DataFrame) -> DataFrame:
-    """Another truth: equal, non-blank addresses. Many such pairs have names that differ."""
-    a, t = sides(records.select("record_id", "address").where("address <> ''"))
-    return a.select(F.col("record_id").alias("id_1"), "address").join(t.select(F.col("record_id").alias("id_2"), "address"), "address").select("id_1", "id_2").distinct()
-
-
 def _candidates(records: DataFrame) -> DataFrame:
     return B.retrieve(*sides(records.select("record_id", "name", "address")))
 
 
-def _scored(records: DataFrame) -> DataFrame:
-    """Candidates with the unsupervised score of the two set similarities, and labels."""
-    wide = X.attributes(_candidates(records), records, ["name", "address"])
-    rows = wide.select("id_1", "id_2", S.jaccard(F.col("name_1"), F.col("name_2")).alias("name_jaccard"), S.jaccard(F.col("address_1"), F.col("address_2")).alias("addr_jaccard"))
-    return E.label_pairs(X.baseline_score(rows), _truth(records)).select("id_1", "id_2", "score", "label")
-
-
 def _groups(spark: SparkSession, sf_dir: str) -> tuple[G.Groups, DataFrame]:
     """The stand-in records by groups of equal ones, and the pairs of groups that are candidates."""
     g = G.grouped(_records(spark, sf_dir))
@@ -518,11 +505,12 @@ def missed_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def validate_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The checks of results of one row for each anchor: with blank lists allowed and not, with other columns, and empty."""
-    records = _records(spark, sf_dir)
-    scored = written(_scored(records), "scored")
-    lists = D.assemble_matches(scored, THRESHOLD, sides(records)[0])
+    g, pairs = _groups(spark, sf_dir)
+    scored = written(_group_scores(g, pairs), "scored")
+    lists = g.lists(scored.where(F.col("score") >= THRESHOLD), "matched_entity_ids")
     blank = lists.withColumn("matched_entity_ids", F.when(F.col("matched_entity_ids") != "", F.col("matched_entity_ids")))
-    cases = [("blank lists allowed", V.findings(blank, V.RESULT, ["matched_entity_ids"])), ("no blank lists", V.findings(blank, V.RESULT)), ("other columns", V.findings(scored, V.SCORED)), ("no rows", V.findings(lists.limit(0), V.RESULT))]
+    other = g.expanded(scored, label=True).select("id_1", "id_2", "score", "label")
+    cases = [("blank lists allowed", V.findings(blank, V.RESULT, ["matched_entity_ids"])), ("no blank lists", V.findings(blank, V.RESULT)), ("other columns", V.findings(other, V.SCORED)), ("no rows", V.findings(lists.limit(0), V.RESULT))]
     return reduce(DataFrame.unionAll, [df.select(F.lit(name).alias("checked"), "*") for name, df in cases])
 
 
