@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.llm.chunks import ChunkEncoder, sizes_of
-from lakeloom.llm.common import held, map_arrow, only
+from lakeloom.llm.common import held, map_arrow, only, release
 
 LONG, HUGE = 1024, 4096
 AT_ONCE = 150_000  # ids that one query decodes
@@ -204,9 +204,9 @@ class Contractor:
 
 
 class BpeCodec:
-    """Encodes columns of texts through a memo and DuckDB, and decodes ids."""
+    """Encodes columns of texts through a memo and DuckDB, and decodes ids. The memos are small because an executor holds one codec for each of its workers, idle ones included."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, stretches: int = 32 << 20, words: int = 80 << 20):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, stretches: int = 16 << 20, words: int = 40 << 20):
         import regex
 
         self.split = regex.compile(pattern).findall
@@ -248,6 +248,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text") -
         for batch in batches:
             for i, j, ids, bounds in own.chunks.column(batch.column(1)):
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.view(np.int32)))], ["doc_id", "ids"])
+                release()
 
     return map_arrow(only(docs, doc_id="doc_id", text=text).select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, "doc_id bigint, ids array<int>", holds=True)
 
@@ -270,17 +271,23 @@ def decode(tokens: DataFrame, ranks_path: str, pattern: str, ids: str = "ids") -
     return map_arrow(only(tokens, doc_id="doc_id", ids=ids), run, "doc_id bigint, ids array<int>, bytes binary", holds=True)
 
 
+def digests(own: BpeCodec, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of round_trip_digests; between runs of texts, unused memory goes back to the machine."""
+    for batch in batches:
+        for i, j, ids, bounds in own.chunks.column(batch.column(1)):
+            flat, ends = ids.astype("<u4").tobytes(), bounds.tolist()
+            encoded = [hashlib.sha256(flat[4 * a : 4 * b]).hexdigest() for a, b in zip(ends[:-1], ends[1:], strict=True)]
+            decoded = [hashlib.sha256(x).hexdigest() for x in own.decode(ids, bounds)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(np.diff(bounds)), pa.array(encoded), pa.array(decoded)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            del ids, flat, encoded, decoded
+            release()
+
+
 def round_trip_digests(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text") -> DataFrame:
     """Encodes, decodes the ids, and returns doc_id, n_tokens, ids_sha256 (of little-endian 32-bit ids) and decoded_sha256; in one Python worker for each task. Null and empty texts have no ids and empty decoded bytes; repeated rows stay, an empty table gives no rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(ranks_path, pattern)
-        for batch in batches:
-            for i, j, ids, bounds in own.chunks.column(batch.column(1)):
-                flat, ends = ids.astype("<u4").tobytes(), bounds.tolist()
-                digests = [hashlib.sha256(flat[4 * a : 4 * b]).hexdigest() for a, b in zip(ends[:-1], ends[1:], strict=True)]
-                decoded = [hashlib.sha256(x).hexdigest() for x in own.decode(ids, bounds)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(np.diff(bounds)), pa.array(digests), pa.array(decoded)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        yield from digests(codec(ranks_path, pattern), batches)
 
     slim = only(docs, doc_id="doc_id", text=text).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return map_arrow(slim, run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string", holds=True)

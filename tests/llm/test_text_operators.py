@@ -229,6 +229,21 @@ def test_bpe_round_trip(library, docs, odd, none):
     assert bpe.round_trip_digests(none, RANKS, P.PATTERN).count() == 0
 
 
+def test_bpe_codec_is_small_and_gives_memory_back_between_runs_of_texts(monkeypatch):
+    freed = []
+    monkeypatch.setattr(bpe, "release", lambda: freed.append(1))
+    ranks = bpe.load_ranks(RANKS)
+    own, tiny = bpe.BpeCodec(ranks, P.PATTERN), bpe.BpeCodec(ranks, P.PATTERN, 1 << 12, 1 << 12)
+    assert own.words.memo.limit + own.chunks.memo.limit <= 56 << 20
+    texts = [f"elm {i} ash{i % 7} " * 60_000 for i in range(6)] + [None, "", "yew"]
+    batch = pa.record_batch([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    parts = list(bpe.digests(own, iter([batch])))
+    assert len(freed) == len(parts) > 1
+    rows = pa.Table.from_batches(parts).to_pylist()
+    assert rows == pa.Table.from_batches(bpe.digests(tiny, iter([batch]))).to_pylist()
+    assert [r["decoded_sha256"] for r in rows] == [hashlib.sha256((t or "").encode()).hexdigest() for t in texts]
+
+
 def test_bpe_columns(library, odd):
     tokens = bpe.encode(odd, RANKS, P.PATTERN)
     got = bpe.decode(tokens, RANKS, P.PATTERN).collect()
