@@ -43,6 +43,8 @@ from lakeloom.llm.common import id_crc, map_arrow, only, release, written
 DISCOUNT = 0.75
 #: At most so many of the most frequent words are broadcast: where a word's count is kept changes no score.
 FREQUENT, TALLIED = 1_000_000, 10_000
+#: A task sums about so many pairs with words of several buckets before it passes them on.
+PAIRS = 500_000
 #: About so many symbols of a bucket are in one step of growing it.
 GROUP = 250_000
 U64 = np.uint64
@@ -277,6 +279,15 @@ def text_keys(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return vec.mix(np.add.reduceat(vec.mix(hashes + vec.mix(position.astype(U64) + U64(1))), bounds[:-1])).view(np.int64)
 
 
+def summed(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Counts of pairs (place among the heavy words, hash of the word after it), in their order: each pair once."""
+    place, word, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.lexsort((word, place))
+    place, word, n = place[order], word[order], n[order]
+    first = np.flatnonzero(np.append(True, (place[1:] != place[:-1]) | (word[1:] != word[:-1])))
+    return place[first], word[first], np.add.reduceat(n, first)
+
+
 def branches(word: np.ndarray, before: list[np.ndarray], have: np.ndarray, weights: np.ndarray, root: np.ndarray, totals: np.ndarray, given: int, least: int, gain: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For every symbol, log10 of its probability over the root's; the part of it that counts only if another bucket retains its shortest context; and the words that this bucket retains.
 
@@ -415,7 +426,18 @@ def scores(docs: DataFrame, text: str = "text", fold: int = 1, depth: int = 3, l
     def by_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, row = shared.value, TaskContext.get().partitionId() << 36
         root = np.log10(own.counts + 0.5) - own.below
-        names = ["doc_id", "row", "text_key", "held_out", "n_tokens", "often", "log", "rare", "at", "last", "word", "n"]
+        names = ["doc_id", "row", "text_key", "held_out", "n_tokens", "often", "log", "rare", "at", "last", "words", "times"]
+        none = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+        pairs, fresh = [], 0
+
+        def followers() -> pa.RecordBatch:
+            """A row for each heavy word, or for 50,000 of its followers."""
+            place, word, n = summed(pairs)
+            cuts = np.union1d(np.flatnonzero(np.append(True, place[1:] != place[:-1])), np.append(np.arange(0, len(n), 50_000), len(n)))
+            lists = [pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(x)) for x in (word.view(np.int64), n)]
+            kinds = [pa.int64()] * 3 + [pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.int32())]
+            return pa.RecordBatch.from_arrays([*[pa.nulls(len(cuts) - 1, t) for t in kinds], pa.array(own.heavy[place[cuts[:-1]]].view(np.int64)), *lists], names)
+
         for batch in batches:
             held = np.array([id_crc(x) % 5 == fold for x in batch.column(0).to_pylist()], bool)
             for i, j, hashes, bounds in symbols(batch.column(1)):
@@ -430,15 +452,18 @@ def scores(docs: DataFrame, text: str = "text", fold: int = 1, depth: int = 3, l
                 at = own.at(hashes[rare], before[0][rare], before[min(1, depth - 1)][rare], have[rare])
                 lists = [pa.ListArray.from_arrays(cuts, pa.array(x)) for x in (hashes[rare].view(np.int64), at)]
                 columns = [row + np.arange(texts), text_keys(hashes, bounds), held[i:j], np.diff(bounds), np.bincount(owner[named], minlength=texts), log]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, texts), *map(pa.array, columns), *lists, *[pa.nulls(texts, pa.int64())] * 3], names)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, texts), *map(pa.array, columns), *lists, *[pa.nulls(texts, t) for t in none]], names)
                 row += texts
                 place = find(own.heavy, before[0])
                 use = np.flatnonzero((place >= 0) & ~held[i:j][owner])
                 if len(use):
-                    _, first, n = np.unique(vec.mix(hashes[use] + vec.mix(place[use].astype(U64) + U64(1))), return_index=True, return_counts=True)
-                    pairs = [before[0][use[first]].view(np.int64), hashes[use[first]].view(np.int64), n.astype(np.int64)]
-                    kinds = [pa.int64()] * 3 + [pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.int32())]
-                    yield pa.RecordBatch.from_arrays([*[pa.nulls(len(n), t) for t in kinds], *map(pa.array, pairs)], names)
+                    pairs.append(summed([(place[use], hashes[use], np.ones(len(use), np.int64))]))
+                    fresh += len(pairs[-1][0])
+                if fresh > PAIRS:
+                    yield followers()
+                    pairs, fresh = [], 0
+        if pairs:
+            yield followers()
 
     def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, parts, n = shared.value, [], 0
@@ -554,12 +579,12 @@ def scores(docs: DataFrame, text: str = "text", fold: int = 1, depth: int = 3, l
         yield from grown(blobs, facts)
 
     spark = docs.sparkSession
-    scored = written(map_arrow(slim, by_text, "doc_id bigint, row bigint, text_key bigint, held_out boolean, n_tokens bigint, often bigint, log double, rare array<bigint>, at array<int>, last bigint, word bigint, n bigint"), "scored")
-    pairs, scored = scored.where("last is not null"), scored.where("last is null").drop("last", "word", "n")
+    scored = written(map_arrow(slim, by_text, "doc_id bigint, row bigint, text_key bigint, held_out boolean, n_tokens bigint, often bigint, log double, rare array<bigint>, at array<int>, last bigint, words array<bigint>, times array<bigint>"), "scored")
+    pairs, scored = scored.where("last is not null").select("last", F.explode(F.arrays_zip("words", "times")).alias("x")), scored.where("last is null").drop("last", "words", "times")
     places = [(int(h.view(np.int64)), int(b)) for h, m in zip(deal.heavy, deal.salts, strict=True) for b in np.unique(deal.salted(np.full(m, h, U64), np.arange(m)))]
     homes = spark.createDataFrame(places, "last bigint, bucket int")
     counts = words.select(F.col("key").alias("word"), F.col("n").alias("c"))
-    given = pairs.groupBy("last", "word").agg(F.sum("n").alias("n")).where(F.col("n") >= least).join(counts, "word").join(F.broadcast(homes), "last").select("bucket", "last", "word", "n", "c")
+    given = pairs.groupBy("last", F.col("x.words").alias("word")).agg(F.sum("x.times").alias("n")).where(F.col("n") >= least).join(counts, "word").join(F.broadcast(homes), "last").select("bucket", "last", "word", "n", "c")
     asked = scored.where("not held_out").select(F.explode(F.arrays_zip("rare", "at")).alias("x")).select(F.col("x.at").alias("bucket"), F.col("x.rare").alias("word")).distinct()
     told = asked.join(counts.where((F.col("c") < often) & (F.col("c") >= least)), "word").select("bucket", F.lit(None).cast("long").alias("last"), "word", F.lit(0).cast("long").alias("n"), "c")
     facts = given.unionByName(told).select("bucket", F.lit(None).cast("binary").alias("blob"), F.lit(None).cast("long").alias("size"), "last", "word", "n", "c")

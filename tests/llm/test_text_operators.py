@@ -521,6 +521,32 @@ def test_lm_buckets_equal_the_tree_in_memory(spark, docs, odd, share, group, mon
             assert g[0] == w[0] and g[1] == pytest.approx(w[1], abs=1e-6)
 
 
+@pytest.mark.parametrize("most", [500_000, 1])
+def test_lm_pairs_with_frequent_words_are_summed_in_each_task(spark, docs, most, monkeypatch):
+    """A row for each frequent word and task, not for each pair; the counts of all pairs are whole."""
+    monkeypatch.setattr(lm_score, "PAIRS", most)
+    tables, write = {}, lm_score.written
+    monkeypatch.setattr(lm_score, "written", lambda df, name: tables.setdefault(name, write(df, name)))
+    df = docs.where("text is not null").select("doc_id", "text").coalesce(1)
+    lm_score.scores(df, share=400)
+    scored, parts = tables["scored"], list(lm_score.symbols(pa.array([r.text for r in df.collect() if zlib.crc32(str(r.doc_id).encode()) % 5 != 1])))
+    words_of = np.concatenate([x[2] for x in parts])
+    keys, n = np.unique(words_of, return_counts=True)
+    begins = np.zeros(len(words_of), bool)
+    begins[np.concatenate([[0], np.cumsum(np.concatenate([np.diff(x[3]) for x in parts]))[:-1]])] = True
+    before = np.where(begins, lm_score.END, np.roll(words_of, 1))
+    heavy = set(keys[n > 200].tolist())
+    want = Counter((a, b) for a, b in zip(before.tolist(), words_of.tolist(), strict=True) if a in heavy)
+    rows = scored.where("last is not null").select("last", "words", "times").collect()
+    got = Counter()
+    for r in rows:
+        for word, times in zip(r.words, r.times, strict=True):
+            got[r.last % 2**64, word % 2**64] += times
+    assert heavy and got == want and scored.where("last is null").count() == df.count()
+    if most > 1:
+        assert len(rows) == len({r.last for r in rows})
+
+
 def test_suffix_tree_is_a_distribution():
     """Over all known words and the unknown one, every context's probabilities sum to 1."""
     r = random.Random(5)
