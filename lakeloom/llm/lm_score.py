@@ -557,8 +557,32 @@ def scores(docs: DataFrame, text: str = "text", fold: int = 1, depth: int = 3, l
             yield batch_of(None, np.zeros(1), np.zeros(1, np.int64), known[code])
 
     def batch_of(keys: np.ndarray | None, values: np.ndarray, times: np.ndarray, waits: np.uint64 | None) -> pa.RecordBatch:
-        word = pa.nulls(len(values), pa.int64()) if waits is None else pa.array(np.full(len(values), waits, U64).view(np.int64))
-        return pa.RecordBatch.from_arrays([pa.nulls(len(values), pa.int64()) if keys is None else pa.array(keys), pa.array(values), pa.array(times), word], ["text_key", "value", "times", "waits"])
+        """A row for each part of the texts, with lists: one for each text would come near to a row a symbol."""
+        part = np.zeros(1, U64) if keys is None else keys.view(U64) % U64(shared.value.buckets)
+        order = np.argsort(part, kind="stable")
+        part = part[order]
+        cuts = np.append(np.flatnonzero(np.append(True, part[1:] != part[:-1])), len(part))
+        n = len(cuts) - 1
+        lists = [pa.nulls(n, pa.list_(t)) if keys is None else pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(x[order])) for t, x in ((pa.int64(), keys), (pa.float64(), values), (pa.int64(), times))]
+        word = pa.nulls(n, pa.int64()) if waits is None else pa.array(np.full(n, waits, U64).view(np.int64))
+        return pa.RecordBatch.from_arrays([pa.nulls(n, pa.int32()) if keys is None else pa.array(part[cuts[:-1]].astype(np.int32)), *lists, word], ["part", "keys", "sums", "times", "waits"])
+
+    def means(lists: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        keys, sums, times = (np.concatenate(x) for x in zip(*lists, strict=True))
+        texts, back = np.unique(keys, return_inverse=True)
+        return pa.RecordBatch.from_arrays([pa.array(texts), pa.array(np.bincount(back, sums, len(texts)) / np.bincount(back, times, len(texts)))], ["text_key", "mean"])
+
+    def by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, lists = None, []
+        for batch in batches:
+            for i, part in enumerate(batch.column(0).to_pylist()):
+                if part != now and lists:
+                    yield means(lists)
+                    lists = []
+                now = part
+                lists.append(tuple(batch.column(c)[i].values.to_numpy() for c in (1, 2, 3)))
+        if lists:
+            yield means(lists)
 
     def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, blobs, facts = None, [], []
@@ -589,11 +613,11 @@ def scores(docs: DataFrame, text: str = "text", fold: int = 1, depth: int = 3, l
     told = asked.join(counts.where((F.col("c") < often) & (F.col("c") >= least)), "word").select("bucket", F.lit(None).cast("long").alias("last"), "word", F.lit(0).cast("long").alias("n"), "c")
     facts = given.unionByName(told).select("bucket", F.lit(None).cast("binary").alias("blob"), F.lit(None).cast("long").alias("size"), "last", "word", "n", "c")
     sent = map_arrow(slim, by_bucket, "bucket int, blob binary, size bigint, last bigint, word bigint, n bigint, c bigint").unionByName(facts)
-    parts = written(map_arrow(sent.repartition(deal.buckets, "bucket").sortWithinPartitions("bucket"), grow, "text_key bigint, value double, times bigint, waits bigint"), "parts")
-    kept = parts.where("text_key is null").select("waits").distinct()
-    sure = parts.where("text_key is not null and waits is null")
-    late = parts.where("text_key is not null and waits is not null").join(kept, "waits", "left_semi").select(*parts.columns)
-    deeper = sure.unionByName(late).groupBy("text_key").agg((F.sum("value") / F.sum("times")).alias("mean"))
+    parts = written(map_arrow(sent.repartition(deal.buckets, "bucket").sortWithinPartitions("bucket"), grow, "part int, keys array<bigint>, sums array<double>, times array<bigint>, waits bigint"), "parts")
+    kept = parts.where("part is null").select("waits").distinct()
+    sure = parts.where("part is not null and waits is null")
+    late = parts.where("part is not null and waits is not null").join(kept, "waits", "left_semi").select(*parts.columns)
+    deeper = map_arrow(sure.unionByName(late).drop("waits").repartition(deal.buckets, "part").sortWithinPartitions("part"), by_part, "text_key bigint, mean double")
     met = scored.select("row", F.explode("rare").alias("key")).groupBy("row", "key").agg(F.count("*").alias("times"))
     known = F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)
     rest = met.join(words.where(F.col("n") < often), "key", "left").groupBy("row").agg(F.sum(known).alias("rare_known"), F.sum(F.col("times") * (F.log10(F.coalesce("n", F.lit(0)) + 0.5) - F.lit(below))).alias("rare_log"))

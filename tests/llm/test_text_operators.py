@@ -547,6 +547,13 @@ def test_lm_pairs_with_frequent_words_are_summed_in_each_task(spark, docs, most,
         assert len(rows) == len({r.last for r in rows})
 
 
+def test_lm_partial_sums_are_lists_by_parts_of_the_texts(spark, docs, monkeypatch):
+    tables, write = {}, lm_score.written
+    monkeypatch.setattr(lm_score, "written", lambda df, name: tables.setdefault(name, write(df, name)))
+    tokens = lm_score.scores(docs, share=20_000).first().train_tokens
+    assert 1 < tables["parts"].where("keys is not null and waits is null").count() <= math.ceil(1.25 * tokens / 20_000) ** 2 < docs.count()
+
+
 def test_suffix_tree_is_a_distribution():
     """Over all known words and the unknown one, every context's probabilities sum to 1."""
     r = random.Random(5)
