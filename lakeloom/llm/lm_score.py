@@ -38,7 +38,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.llm import vec
-from lakeloom.llm.common import id_crc, map_arrow, only, release, written
+from lakeloom.llm.common import drop_shuffles, id_crc, map_arrow, only, release, written
+from lakeloom.llm.near_dedup import filter_places, id_filter
 
 DISCOUNT = 0.75
 #: At most so many of the most frequent words are broadcast: where a word's count is kept changes no score.
@@ -47,6 +48,10 @@ FREQUENT, TALLIED = 1_000_000, 10_000
 PAIRS = 500_000
 #: About so many symbols of a bucket are in one step of growing it.
 GROUP = 250_000
+#: Symbols of a chunk, whose texts are dealt together.
+CHUNK = 2_000_000
+#: Sums travel in units of 1 / UNIT, so that they are exact and do not depend on the order of adding.
+UNIT = 1 << 28
 U64 = np.uint64
 END = vec.mix(np.array([10], U64))[0]
 
@@ -235,6 +240,7 @@ class Deal:
     buckets: int
     heavy: np.ndarray  # sorted hashes of the words with several buckets
     salts: np.ndarray  # how many each has
+    told: np.ndarray | None = None  # a Bloom filter of the words that are not frequent and yet occur `least` times
     rank: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint32))  # of each frequent word, the place by falling counts
 
     def __post_init__(self) -> None:
@@ -255,6 +261,15 @@ class Deal:
         own, words = pd.factorize(hashes)
         return find(self.words, words)[own]
 
+    def nameless(self, hashes: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Which of the words are too rare to be contexts or to be named; place: those among the frequent words. The filter may take some of them for others, which changes no score."""
+        out = place < 0
+        if self.told is not None:
+            rare = np.flatnonzero(out)
+            at = filter_places(hashes[rare], 64 * len(self.told))
+            out[rare] = ~((self.told[at >> 6] >> (at & 63).astype(U64)) & U64(1)).astype(bool).all(axis=1)
+        return out
+
     def salted(self, last: np.ndarray, salt: np.ndarray) -> np.ndarray:
         return (vec.mix(last + salt.astype(U64) * U64(0x9E3779B97F4A7C15)) % U64(self.buckets)).astype(np.int32)
 
@@ -354,8 +369,25 @@ def packed(part: tuple) -> tuple[bytes, int]:
     return pa.compress(raw, codec="zstd", asbytes=True), len(raw)
 
 
+def unpacked(blob: bytes, size: int) -> tuple:
+    return pickle.loads(pa.decompress(blob, decompressed_size=size, codec="zstd"))
+
+
 def small(x: np.ndarray, n: int) -> np.ndarray:
-    return x.astype(np.uint16 if n <= 1 << 16 else np.uint32)
+    return x.astype(np.uint8 if n <= 1 << 8 else np.uint16 if n <= 1 << 16 else np.uint32)
+
+
+def signed_planes(x: np.ndarray) -> bytes:
+    """Byte planes of signed whole numbers, as many as the largest needs."""
+    u = ((x << 1) ^ (x >> 63)).astype("<u8")
+    return u.view(np.uint8).reshape(-1, 8).T[: max(1, -(-int(u.max(initial=0)).bit_length() // 8))].tobytes()
+
+
+def from_signed_planes(raw: bytes, n: int) -> np.ndarray:
+    u = np.zeros((8, n), np.uint8)
+    u[: len(raw) // n] = np.frombuffer(raw, np.uint8).reshape(-1, n)
+    u = np.ascontiguousarray(u.T).view("<u8").reshape(-1)
+    return (u >> U64(1)).astype(np.int64) ^ -(u & U64(1)).astype(np.int64)
 
 
 def planes(codes: np.ndarray) -> bytes:
@@ -367,15 +399,19 @@ def from_planes(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").reshape(-1)
 
 
-def dealt(parts: list[tuple], deal: Deal, depth: int) -> Iterator[pa.RecordBatch]:
-    """A row for each bucket with symbols in `parts`: codes of every symbol and those before it, hashes of the rare words, how many precede, text keys, whether in training, and each symbol's text.
+def dealt(parts: list[tuple], deal: Deal, depth: int, chunk: int) -> Iterator[pa.RecordBatch]:
+    """A row for each bucket with symbols in `parts`: codes of every symbol and those before it, hashes of the rare words, how many precede, and of each text with symbols there its place in the chunk, its number of symbols and whether it is in training. A last row has the texts' keys and lengths, which pass through a bucket unread.
 
-    A frequent word's code is its rank; all rare words have the next code, and their hashes are listed apart.
+    A frequent word's code is its rank; all rare words have the next code, and their hashes are listed apart; nameless words have the code after that. No context holds
+    a nameless word: symbols after one have the root's probability and stay, and those before it count for no context. Every row has a hash of the keys, by which rows
+    of another order of texts would be found out.
     """
     hashes = np.concatenate([p[0] for p in parts])
     have = np.concatenate([p[1] for p in parts])
     keys, train = np.concatenate([p[3] for p in parts]), np.concatenate([p[4] for p in parts])
-    text = np.repeat(np.arange(len(keys), dtype=np.int32), np.concatenate([np.diff(p[2]) for p in parts]))
+    length = np.concatenate([np.diff(p[2]) for p in parts])
+    text = np.repeat(np.arange(len(keys), dtype=np.int32), length)
+    mark = int(text_keys(keys.view(U64), np.array([0, len(keys)]))[0])
     own, words = pd.factorize(hashes)
     at_end = np.flatnonzero(words == END)  # every text has one
     own = np.concatenate([np.full(depth, at_end[0], own.dtype), own])
@@ -383,9 +419,13 @@ def dealt(parts: list[tuple], deal: Deal, depth: int) -> Iterator[pa.RecordBatch
     last, second = own[depth - 1 : depth - 1 + n], own[max(0, depth - 2) : max(0, depth - 2) + n]
     bucket = deal.at(hashes, words[last], words[second], have)
     place = find(deal.words, words)
+    nameless = deal.nameless(words, place)
+    for d in range(2, depth + 1):
+        have = np.where(nameless[own[depth - d : depth - d + n]], np.minimum(have, d - 1), have).astype(np.uint8)
     frequent = len(deal.words)
-    codes = np.where(place >= 0, deal.rank[place] if frequent else 0, frequent).astype(np.uint32)[own]
-    order = np.argsort(small(bucket, deal.buckets), kind="stable")
+    codes = np.where(place >= 0, deal.rank[place] if frequent else 0, frequent + nameless).astype(np.uint32)[own]
+    order = np.flatnonzero(~nameless[last])
+    order = order[np.argsort(small(bucket[order], deal.buckets), kind="stable")]
     cuts = np.flatnonzero(np.append(True, np.diff(bucket[order]) != 0)) if len(order) else np.zeros(0, np.int64)
     rows = []
     for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(order)], strict=True):
@@ -393,11 +433,15 @@ def dealt(parts: list[tuple], deal: Deal, depth: int) -> Iterator[pa.RecordBatch
         grams = np.concatenate([at + depth - d for d in range(depth + 1)])
         code = codes[grams]
         rare, which = np.unique(own[grams[code == frequent]], return_inverse=True)
-        texts, of = np.unique(text[at], return_inverse=True)
-        rows.append((int(bucket[at[0]]), *packed((planes(code), words[rare], small(which, len(rare)), have[at], keys[texts], train[texts], small(of, len(texts))))))
-    b, blobs, sizes = zip(*rows, strict=True)
+        texts, times = np.unique(text[at], return_counts=True)
+        gaps = np.diff(texts, prepend=0)
+        blob, size = packed((planes(code), words[rare], small(which, len(rare)), have[at], small(gaps, gaps.max() + 1), small(times, times.max() + 1), np.packbits(train[texts]), mark))
+        rows.append((int(bucket[at[0]]), chunk, blob, None, size))
+    blob, size = packed((keys, small(length, length.max() + 1), mark))
+    rows.append((chunk % deal.buckets, chunk, None, blob, size))
+    kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int64()]
     none = pa.nulls(len(rows), pa.int64())
-    yield pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array(blobs, pa.binary()), pa.array(sizes, pa.int64()), none, none, none, none], ["bucket", "blob", "size", "last", "word", "n", "c"])
+    yield pa.RecordBatch.from_arrays([*map(pa.array, zip(*rows, strict=True), kinds), none, none, none, none], ["bucket", "chunk", "blob", "texts", "size", "last", "word", "n", "c"])
 
 
 def scores(docs: DataFrame, text: str = "text", fold: int = 1, depth: int = 3, least: int = 2, gain: float = 1.0, share: int = 2_000_000) -> DataFrame:
@@ -411,6 +455,7 @@ def scores(docs: DataFrame, text: str = "text", fold: int = 1, depth: int = 3, l
     slim = only(docs, doc_id="doc_id", text=text).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     words = written(counted(slim, fold), "words")
     size = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
+    drop_shuffles(docs.sparkSession)
     tokens, distinct = size["n"], size["v"]
     below = float(np.log10(tokens + 0.5 * (distinct + 1)))
     tally = dict(words.where(f"n < {TALLIED}").groupBy("n").count().collect())
@@ -420,7 +465,9 @@ def scores(docs: DataFrame, text: str = "text", fold: int = 1, depth: int = 3, l
     order = np.argsort(k)
     k, c = k[order], c[order]
     many = c > share // 2
-    deal = Deal(k, c, below, max(1, math.ceil(1.25 * tokens / share)), k[many], -(-c[many] // max(1, share // 2)))
+    between = words.where((F.col("n") < often) & (F.col("n") >= least))
+    some = between.count()
+    deal = Deal(k, c, below, max(1, math.ceil(1.25 * tokens / share)), k[many], -(-c[many] // max(1, share // 2)), id_filter(between.select("key"), some) if some else None)
     shared = context.broadcast(deal)
 
     def by_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -449,7 +496,7 @@ def scores(docs: DataFrame, text: str = "text", fold: int = 1, depth: int = 3, l
                 before, have = preceding(hashes, bounds, depth)
                 rare = np.flatnonzero(~named)
                 cuts = pa.array(np.searchsorted(owner[rare], np.arange(texts + 1)).astype(np.int32))
-                at = own.at(hashes[rare], before[0][rare], before[min(1, depth - 1)][rare], have[rare])
+                at = np.where(own.nameless(hashes[rare], ids[rare]), -1, own.at(hashes[rare], before[0][rare], before[min(1, depth - 1)][rare], have[rare])).astype(np.int32)
                 lists = [pa.ListArray.from_arrays(cuts, pa.array(x)) for x in (hashes[rare].view(np.int64), at)]
                 columns = [row + np.arange(texts), text_keys(hashes, bounds), held[i:j], np.diff(bounds), np.bincount(owner[named], minlength=texts), log]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, texts), *map(pa.array, columns), *lists, *[pa.nulls(texts, t) for t in none]], names)
@@ -466,20 +513,20 @@ def scores(docs: DataFrame, text: str = "text", fold: int = 1, depth: int = 3, l
             yield followers()
 
     def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, parts, n = shared.value, [], 0
+        own, parts, n, chunk = shared.value, [], 0, TaskContext.get().partitionId() << 32
         for batch in batches:
             held = np.array([id_crc(x) % 5 == fold for x in batch.column(0).to_pylist()], bool)
             for i, j, hashes, bounds in symbols(batch.column(1)):
                 position = np.arange(len(hashes)) - np.repeat(bounds[:-1], np.diff(bounds))
                 parts.append((hashes, np.minimum(position + 1, depth).astype(np.uint8), bounds, text_keys(hashes, bounds), ~held[i:j]))
                 n += len(hashes)
-                if n > 2_000_000:
-                    yield from dealt(parts, own, depth)
-                    parts, n = [], 0
+                if n > CHUNK:
+                    yield from dealt(parts, own, depth, chunk)
+                    parts, n, chunk = [], 0, chunk + 1
         if parts:
-            yield from dealt(parts, own, depth)
+            yield from dealt(parts, own, depth, chunk)
 
-    def grown(blobs: list[tuple[bytes, int]], facts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    def grown(blobs: list[tuple[int, bytes, int]], facts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         last, word, n, c = np.concatenate(facts, axis=1) if facts else np.zeros((4, 0), np.int64)
         if not blobs:
@@ -488,22 +535,26 @@ def scores(docs: DataFrame, text: str = "text", fold: int = 1, depth: int = 3, l
         told = np.concatenate([last[given], word]).view(U64)
         frequent = len(own.words)
         place = find(own.words, told)
-        columns, listed, have, keys, train, of = [[] for _ in range(depth + 1)], [], [], [], [], []
+        columns, listed, have, places, train, of = [[] for _ in range(depth + 1)], [], [], [], [], []
         words_before = texts_before = 0
         while blobs:  # one after another, so that what is compressed and what is not are never held together
-            x, size = blobs.pop()
-            code, rare, which, *rest = pickle.loads(pa.decompress(x, decompressed_size=size, codec="zstd"))
+            chunk, x, size = blobs.pop()
+            code, rare, which, some, gaps, times, bits, mark = unpacked(x, size)
             code = from_planes(code).view(np.int32)  # all codes are below 2**31
-            code[code == frequent] = frequent + words_before + which.astype(np.int32)
+            at, nameless = np.flatnonzero(code == frequent), np.flatnonzero(code == frequent + 1)
+            code[at] = frequent + words_before + which.astype(np.int32)
+            own_word = np.minimum(np.arange(len(nameless)), np.searchsorted(nameless, len(some)))  # each is another word; those that precede count for nothing and share one
+            code[nameless] = frequent + words_before + len(rare) + own_word.astype(np.int32)
+            rare = np.append(rare, vec.mix(np.arange(words_before, words_before + own_word.max(initial=-1) + 1).astype(U64)))
+            words_before += len(rare)
             for column, part in zip(columns, code.reshape(depth + 1, -1), strict=True):
                 column.append(part)
             listed.append(rare)
-            have.append(rest[0])
-            keys.append(rest[1])
-            train.append(rest[2])
-            of.append(rest[3].astype(np.int32) + np.int32(texts_before))
-            words_before += len(rare)
-            texts_before += len(rest[1])
+            have.append(some)
+            places.append((chunk, mark, gaps, texts_before))
+            train.append(np.unpackbits(bits, count=len(gaps)).astype(bool))
+            of.append(np.repeat(np.arange(texts_before, texts_before + len(gaps), dtype=np.int32), times))
+            texts_before += len(gaps)
         rare, back = np.unique(np.concatenate([*listed, told[place < 0]]), return_inverse=True)
         tail = np.where(place >= 0, own.rank[place] if frequent else 0, 0).astype(np.int32)
         tail[place < 0] = frequent + back[words_before:]
@@ -525,13 +576,14 @@ def scores(docs: DataFrame, text: str = "text", fold: int = 1, depth: int = 3, l
             grams[d] = np.concatenate([to[grams[d]], more[d]])
         known = np.concatenate([own.by_rank, rare])[codes]
         have = np.concatenate([*have, np.ones(len(given), np.uint8)])
-        keys, train, of = np.concatenate(keys), np.concatenate(train), np.concatenate(of)
+        train, of = np.concatenate(train), np.concatenate(of)
         weights = np.concatenate([train[of].astype(np.int64), n[given]])
         count = np.zeros(len(codes), np.int64)
         often = codes < frequent
         count[often] = own.rank_counts[codes[often]]
-        count[tail[len(given) :]] = c
-        spread = find(own.heavy, known) >= 0
+        apart = place[len(given) :] < 0
+        count[tail[len(given) :][apart]] = c[apart]
+        spread = often & (find(own.heavy, known) >= 0)
         del code_of, met, used, dense, to, back
         root, totals = np.log10(count + 0.5) - own.below, np.where(spread, count, -1)
         out, waits, kept = np.zeros(len(of)), np.zeros(len(of)), []
@@ -543,46 +595,55 @@ def scores(docs: DataFrame, text: str = "text", fold: int = 1, depth: int = 3, l
             out[at[:real]], waits[at[:real]] = value[:real], wait[:real]
             kept.append(some)
         kept = np.concatenate(kept)
-        texts, back = np.unique(keys, return_inverse=True)
-        of = back.astype(np.int32)[of]
         late = np.flatnonzero(waits)
-        before = grams[1][late]
+        before, of_late, waits = grams[1][late], of[late], np.rint(waits[late] * UNIT)
         del grams, have, weights
-        yield batch_of(texts, np.bincount(of, out, len(texts)), np.bincount(of, minlength=len(texts)), None)
+        sums = np.bincount(of, np.rint(out * UNIT), texts_before).astype(np.int64)  # whole numbers below 2**53
+        del out, of
+        names = ["part", "texts", "keys", "size", "waits"]
+        kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
+        made = [(chunk, None, *packed((gaps, signed_planes(sums[a : a + len(gaps)]), mark)), None) for chunk, mark, gaps, a in places]
+        yield pa.RecordBatch.from_arrays([*map(pa.array, zip(*made, strict=True), kinds)], names)
+        starts = np.array([x[3] for x in places])
         for code in np.unique(before):
-            at = late[before == code]
-            sums, there = np.bincount(of[at], waits[at], len(texts)), np.unique(of[at])
-            yield batch_of(texts[there], sums[there], np.zeros(len(there), np.int64), known[code])
-        for code in kept[spread[kept]]:
-            yield batch_of(None, np.zeros(1), np.zeros(1, np.int64), known[code])
-
-    def batch_of(keys: np.ndarray | None, values: np.ndarray, times: np.ndarray, waits: np.uint64 | None) -> pa.RecordBatch:
-        """A row for each part of the texts, with lists: one for each text would come near to a row a symbol."""
-        part = np.zeros(1, U64) if keys is None else keys.view(U64) % U64(shared.value.buckets)
-        order = np.argsort(part, kind="stable")
-        part = part[order]
-        cuts = np.append(np.flatnonzero(np.append(True, part[1:] != part[:-1])), len(part))
-        n = len(cuts) - 1
-        lists = [pa.nulls(n, pa.list_(t)) if keys is None else pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(x[order])) for t, x in ((pa.int64(), keys), (pa.float64(), values), (pa.int64(), times))]
-        word = pa.nulls(n, pa.int64()) if waits is None else pa.array(np.full(n, waits, U64).view(np.int64))
-        return pa.RecordBatch.from_arrays([pa.nulls(n, pa.int32()) if keys is None else pa.array(part[cuts[:-1]].astype(np.int32)), *lists, word], ["part", "keys", "sums", "times", "waits"])
-
-    def means(lists: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-        keys, sums, times = (np.concatenate(x) for x in zip(*lists, strict=True))
-        texts, back = np.unique(keys, return_inverse=True)
-        return pa.RecordBatch.from_arrays([pa.array(texts), pa.array(np.bincount(back, sums, len(texts)) / np.bincount(back, times, len(texts)))], ["text_key", "mean"])
+            at = np.flatnonzero(before == code)
+            there, back = np.unique(of_late[at], return_inverse=True)
+            sums, made = np.bincount(back, waits[at]).astype(np.int64), []
+            of_place = np.searchsorted(starts, there, "right") - 1
+            cuts = np.flatnonzero(np.append(True, np.diff(of_place) != 0))
+            for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(there)], strict=True):
+                chunk, mark, gaps, first = places[of_place[a]]
+                gaps = np.diff(np.cumsum(gaps, dtype=np.int64)[there[a:b] - first], prepend=0)
+                made.append((chunk, None, *packed((small(gaps, gaps.max() + 1), signed_planes(sums[a:b]), mark)), int(known[code].view(np.int64))))
+            yield pa.RecordBatch.from_arrays([*map(pa.array, zip(*made, strict=True), kinds)], names)
+        retained = known[kept[spread[kept]]].view(np.int64)
+        yield pa.RecordBatch.from_arrays([*[pa.nulls(len(retained), t) for t in kinds[:-1]], pa.array(retained)], names)
+
+    def means(listed: tuple[np.ndarray, np.ndarray, int] | None, lists: list[tuple]) -> pa.RecordBatch:
+        """Of the texts of one chunk, by their symbols. Equal texts have equal means."""
+        if listed is None or any(mark != listed[2] for *_, mark in lists):
+            raise RuntimeError("the rows of a task came in another order when it ran again: write the documents to a table first")
+        keys, length, _ = listed
+        sums = np.zeros(len(keys), np.int64)
+        for gaps, values, _ in lists:
+            sums[np.cumsum(gaps, dtype=np.int64)] += from_signed_planes(values, len(gaps))
+        keys, first = np.unique(keys, return_index=True)
+        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(sums[first] / UNIT / length[first])], ["text_key", "mean"])
 
     def by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, lists = None, []
+        now, listed, lists = None, None, []
         for batch in batches:
-            for i, part in enumerate(batch.column(0).to_pylist()):
-                if part != now and lists:
-                    yield means(lists)
-                    lists = []
+            for part, texts, places, size in zip(*(batch.column(c).to_pylist() for c in range(4)), strict=True):
+                if part != now and now is not None:
+                    yield means(listed, lists)
+                    listed, lists = None, []
                 now = part
-                lists.append(tuple(batch.column(c)[i].values.to_numpy() for c in (1, 2, 3)))
-        if lists:
-            yield means(lists)
+                if texts is None:
+                    lists.append(unpacked(places, size))
+                else:
+                    listed = unpacked(texts, size)
+        if now is not None:
+            yield means(listed, lists)
 
     def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, blobs, facts = None, [], []
@@ -597,9 +658,11 @@ def scores(docs: DataFrame, text: str = "text", fold: int = 1, depth: int = 3, l
                     release()
                     now, blobs, facts = bucket[a], [], []
                 part = batch.slice(a, b - a)
-                blobs += [(x.as_py(), y.as_py()) for x, y in zip(part.column(1), part.column(2), strict=True) if x.is_valid]
-                rows = part.filter(part.column(4).is_valid())
-                facts.append(np.array([rows.column(x).fill_null(0).to_numpy(zero_copy_only=False) for x in range(3, 7)], np.int64))
+                blobs += [(c.as_py(), x.as_py(), y.as_py()) for c, x, y in zip(part.column(1), part.column(2), part.column(4), strict=True) if x.is_valid]
+                listed = part.filter(part.column(3).is_valid())
+                yield pa.RecordBatch.from_arrays([listed.column(1), listed.column(3), pa.nulls(len(listed), pa.binary()), listed.column(4), pa.nulls(len(listed), pa.int64())], ["part", "texts", "keys", "size", "waits"])
+                rows = part.filter(part.column(6).is_valid())
+                facts.append(np.array([rows.column(x).fill_null(0).to_numpy(zero_copy_only=False) for x in range(5, 9)], np.int64))
         yield from grown(blobs, facts)
 
     spark = docs.sparkSession
@@ -609,15 +672,16 @@ def scores(docs: DataFrame, text: str = "text", fold: int = 1, depth: int = 3, l
     homes = spark.createDataFrame(places, "last bigint, bucket int")
     counts = words.select(F.col("key").alias("word"), F.col("n").alias("c"))
     given = pairs.groupBy("last", F.col("x.words").alias("word")).agg(F.sum("x.times").alias("n")).where(F.col("n") >= least).join(counts, "word").join(F.broadcast(homes), "last").select("bucket", "last", "word", "n", "c")
-    asked = scored.where("not held_out").select(F.explode(F.arrays_zip("rare", "at")).alias("x")).select(F.col("x.at").alias("bucket"), F.col("x.rare").alias("word")).distinct()
+    asked = scored.where("not held_out").select(F.explode(F.arrays_zip("rare", "at")).alias("x")).select(F.col("x.at").alias("bucket"), F.col("x.rare").alias("word")).where("bucket >= 0").distinct()
     told = asked.join(counts.where((F.col("c") < often) & (F.col("c") >= least)), "word").select("bucket", F.lit(None).cast("long").alias("last"), "word", F.lit(0).cast("long").alias("n"), "c")
-    facts = given.unionByName(told).select("bucket", F.lit(None).cast("binary").alias("blob"), F.lit(None).cast("long").alias("size"), "last", "word", "n", "c")
-    sent = map_arrow(slim, by_bucket, "bucket int, blob binary, size bigint, last bigint, word bigint, n bigint, c bigint").unionByName(facts)
-    parts = written(map_arrow(sent.repartition(deal.buckets, "bucket").sortWithinPartitions("bucket"), grow, "part int, keys array<bigint>, sums array<double>, times array<bigint>, waits bigint"), "parts")
+    facts = (given.unionByName(told) if some else given).select("bucket", F.lit(None).cast("long").alias("chunk"), F.lit(None).cast("binary").alias("blob"), F.lit(None).cast("binary").alias("texts"), F.lit(None).cast("long").alias("size"), "last", "word", "n", "c")
+    sent = map_arrow(slim, by_bucket, "bucket int, chunk bigint, blob binary, texts binary, size bigint, last bigint, word bigint, n bigint, c bigint").unionByName(facts)
+    parts = written(map_arrow(sent.repartition(deal.buckets, "bucket").sortWithinPartitions("bucket"), grow, "part bigint, texts binary, keys binary, size bigint, waits bigint"), "parts")
+    drop_shuffles(spark)  # of the symbols, which is most of the disk
     kept = parts.where("part is null").select("waits").distinct()
     sure = parts.where("part is not null and waits is null")
     late = parts.where("part is not null and waits is not null").join(kept, "waits", "left_semi").select(*parts.columns)
-    deeper = map_arrow(sure.unionByName(late).drop("waits").repartition(deal.buckets, "part").sortWithinPartitions("part"), by_part, "text_key bigint, mean double")
+    deeper = map_arrow(sure.unionByName(late).drop("waits").repartition(deal.buckets, "part").sortWithinPartitions("part"), by_part, "text_key bigint, mean double").groupBy("text_key").agg(F.min("mean").alias("mean"))  # a text in several chunks has one mean
     met = scored.select("row", F.explode("rare").alias("key")).groupBy("row", "key").agg(F.count("*").alias("times"))
     known = F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)
     rest = met.join(words.where(F.col("n") < often), "key", "left").groupBy("row").agg(F.sum(known).alias("rare_known"), F.sum(F.col("times") * (F.log10(F.coalesce("n", F.lit(0)) + 0.5) - F.lit(below))).alias("rare_log"))

@@ -554,6 +554,30 @@ def test_lm_partial_sums_are_lists_by_parts_of_the_texts(spark, docs, monkeypatc
     assert 1 < tables["parts"].where("keys is not null and waits is null").count() <= math.ceil(1.25 * tokens / 20_000) ** 2 < docs.count()
 
 
+def test_lm_partial_sums_take_few_bytes(spark, docs, monkeypatch):
+    """Sums by text and bucket come near to one a symbol, so they travel without the texts' keys, in less than 10 bytes each."""
+    tables, write = {}, lm_score.written
+    monkeypatch.setattr(lm_score, "written", lambda df, name: tables.setdefault(name, write(df, name)))
+    df = docs.where("text is not null").coalesce(1)
+    lm_score.scores(df, share=20_000)
+    rows = tables["parts"].where("keys is not null").select("keys", "size").collect()
+    assert sum(len(r["keys"]) for r in rows) < 10 * sum(len(lm_score.unpacked(r["keys"], r["size"])[0]) for r in rows)
+    x = np.array([0, -1, 1, 255, -(1 << 40), (1 << 52) + 7])
+    assert lm_score.from_signed_planes(lm_score.signed_planes(x), len(x)).tolist() == x.tolist()
+
+
+@pytest.mark.parametrize("share", [400, 20_000])
+def test_lm_scores_do_not_depend_on_which_counts_are_broadcast(spark, docs, share, monkeypatch):
+    df = docs.where("text is not null").repartition(3).localCheckpoint()
+    monkeypatch.setattr(lm_score, "CHUNK", 5000)
+    want = {r.doc_id: (r.n_known, r.score - r.base_score) for r in lm_score.scores(df).collect()}
+    monkeypatch.setattr(lm_score, "FREQUENT", 100)
+    got = {r.doc_id: (r.n_known, r.score - r.base_score) for r in lm_score.scores(df, share=share).collect()}
+    assert got.keys() == want.keys()
+    for k, (n, more) in want.items():
+        assert got[k][0] == n and got[k][1] == pytest.approx(more, abs=1e-6)
+
+
 def test_suffix_tree_is_a_distribution():
     """Over all known words and the unknown one, every context's probabilities sum to 1."""
     r = random.Random(5)
