@@ -2,11 +2,12 @@
 
 A text is cut by the tokenizer's pattern. Each task keeps a bounded memo from
 stretch of text to ids, compared by bytes; what is not in it goes to an
-in-process DuckDB as one row for each word and byte. The recursive query joins
-neighbouring rows with the merge table, contracts every word's leftmost pair of
-least rank and goes on with the words that had one, until none has. The ids are
-those of the tiktoken library with the same ranks and pattern. For words over
-LONG bytes a round contracts all pairs of the word's least rank, from the left,
+in-process DuckDB as one row for each word: its tokens, at first its bytes, and
+the ranks of their pairs. The recursive query contracts every word's leftmost
+pair of least rank, joins the two pairs that this makes with the merge table and
+goes on with the words that have a pair left, until none has. The ids are
+those of the tiktoken library with the same ranks and pattern. Words over
+LONG bytes have a row for each byte; a round contracts all pairs of the word's least rank, from the left,
 where no pair that this makes can rank lower. Words over HUGE bytes, whose rounds
 would be too many, are contracted by the same rule over a heap of pairs.
 """
@@ -28,35 +29,33 @@ from lakeloom.llm.chunks import ChunkEncoder, sizes_of
 from lakeloom.llm.common import held, map_arrow, only, release
 
 LONG, HUGE = 1024, 4096
+PART = 200_000  # bytes of words that one query encodes
 AT_ONCE = 150_000  # ids that one query decodes
-#: state: the tokens of the words that still change, in the order of their places, with the least (rank, place) of any pair of each word; words whose best is null are done.
-ENCODE = """
-with recursive state(place, word, tok, best) as (
-    select place, word, tok, min(rank) over (partition by word)
-    from (
-        select s.place, s.word, s.tok, m.id::bigint << 32 | s.place as rank
-        from (select place, word, tok, case when lead(word) over w = word then lead(tok) over w end as follower from start window w as (order by place)) s
-        left join merges m on m.a = s.tok and m.b = s.follower
-    )
+NONE = 2147483647  # the rank of a pair that is no token
+#: A row is a word: its tokens with -1 at both ends, the rank of the pair that begins at each of them but the last, and the least of these. A round contracts the leftmost pair of that
+#: rank and looks up the two pairs that this makes; words whose least rank is NONE are done.
+ENCODE = f"""
+with recursive state(word, toks, ranks, best) as (
+    select word, toks, ranks, list_min(ranks) from start
     union all
-    select place, word, tok, min(rank) over (partition by word)
+    select word, toks, ranks, list_min(ranks)
     from (
-        select s.place, s.word, s.tok, m.id::bigint << 32 | s.place as rank
+        select
+            s.word,
+            list_concat(list_slice(toks, 1, p - 1), [best], list_slice(toks, p + 2, len(toks))) as toks,
+            list_concat(list_slice(ranks, 1, p - 2), [coalesce(l.id, {NONE}), coalesce(r.id, {NONE})], list_slice(ranks, p + 2, len(ranks))) as ranks
         from (
-            select place, word, tok, case when lead(word) over w = word then lead(tok) over w end as follower
-            from (
-                select place, word, (if(place = best & 4294967295, best >> 32, tok))::integer as tok
-                from (select *, lag(place) over (order by place) as previous, lag(word) over (order by place) as before from state where best is not null)
-                where before is null or before <> word or previous <> best & 4294967295
-            )
-            window w as (order by place)
+            select *, toks[p - 1] as before, toks[p + 2] as after
+            from (select *, list_position(ranks, best) as p from state where best < {NONE})
         ) s
-        left join merges m on m.a = s.tok and m.b = s.follower
+        left join merges l on l.a = s.before and l.b = s.best
+        left join merges r on r.a = s.best and r.b = s.after
     )
 )
-select word, tok from state where best is null order by place
+select word, toks from state where best = {NONE} order by word
 """
-#: As ENCODE, but a round contracts every second row of each run of rows that begin a pair of the word's least rank; of ranks that are not `sure`, the leftmost alone.
+#: A row is a token, in the order of places, with the rank of the pair that it begins and the least rank of its word, which is null once the word is done. A round contracts every second
+#: row of each run of rows that begin a pair of the word's least rank; of ranks that are not `sure`, the leftmost alone.
 ENCODE_LONG = """
 with recursive state(place, word, tok, id, best) as (
     select place, word, tok, id, min(id) over (partition by word)
@@ -90,12 +89,8 @@ with recursive state(place, word, tok, id, best) as (
 )
 select word, tok from state where best is null order by place
 """
-#: Decoding: the bytes of each text's tokens in the order of their places, every byte as the character of that number.
-DECODE = """
-select t.text, string_agg(v.bytes, '' order by t.place) as bytes
-from ids t join vocabulary v on v.id = t.id
-group by t.text
-"""
+#: Decoding: each text's ids, in their order, become its tokens' bytes, every byte as the character of that number, and these are aggregated in that order.
+DECODE = "select text, list_aggregate(list_select(bytes, ids), 'string_agg', '') as bytes from ids, vocabulary"
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -149,58 +144,86 @@ class Contractor:
         self.con.execute("create table merges as select * from given")
         self.con.execute("create table sure as select distinct id from given where id not in (select a from given where a >= id union select b from given where b >= id)")
         self.con.unregister("given")
-        vocabulary = pa.table({"id": pa.array(ranks.values(), pa.int32()), "bytes": [t.decode("latin-1") for t in ranks]})
-        self.con.register("given", vocabulary)
+        self.unknown = max(ranks.values()) + 1  # stands for ids outside the vocabulary, which have no bytes
+        bytes_of = [""] * (self.unknown + 1)
+        for t, n in ranks.items():
+            bytes_of[n] = t.decode("latin-1")
+        self.con.register("given", pa.table({"bytes": pa.array([bytes_of], pa.list_(pa.string()))}))
         self.con.execute("create table vocabulary as select * from given")
         self.con.unregister("given")
         self.of_byte = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
+        self.of_pair = np.array([ranks.get(bytes([i, j]), NONE) for i in range(256) for j in range(256)], np.int32)
 
     def decode(self, ids: np.ndarray, bounds: np.ndarray) -> list[bytes]:
         """The bytes of each run ids[bounds[i]:bounds[i+1]], AT_ONCE ids at a time."""
         out = [[] for _ in bounds[1:]]
         for lo in range(0, len(ids), AT_ONCE):
-            part = ids[lo : lo + AT_ONCE]
-            place = np.arange(lo, lo + len(part))
-            self.con.register("ids", pa.table({"text": (np.searchsorted(bounds, place, "right") - 1).astype(np.int32), "place": place, "id": part.astype(np.int32)}))
+            part = np.minimum(ids[lo : lo + AT_ONCE].astype(np.uint32), self.unknown).astype(np.int32)
+            first, last = np.searchsorted(bounds, [lo, lo + len(part) - 1], "right") - 1
+            ends = np.clip(bounds[first : last + 2] - lo, 0, len(part)).astype(np.int32)
+            texts = np.arange(first, last + 1, dtype=np.int32)
+            self.con.register("ids", pa.table({"text": texts, "ids": pa.ListArray.from_arrays(pa.array(ends), pa.array(part + np.int32(1)))}))
             for text, data in self.con.sql(DECODE).fetchall():
-                out[text].append(data.encode("latin-1"))
+                out[text].append((data or "").encode("latin-1"))
             self.con.unregister("ids")
         return [b"".join(x) for x in out]
 
-    def encode(self, words: list[bytes]) -> list[np.ndarray]:
-        """The ids of each word; a word that is a token itself has that id alone."""
-        out: list = [None] * len(words)
-        short, long = [], []
-        for i, w in enumerate(words):
-            if (r := self.ranks.get(w)) is not None:
-                out[i] = [r]
-            elif len(w) > HUGE:
-                out[i] = by_heap(w, self.ranks)
-            else:
-                (long if len(w) > LONG else short).append(i)
-        for rest, query in ((short, ENCODE), (long, ENCODE_LONG)):
+    def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words, one after another, and how many each has; a word that is a token itself has that id alone."""
+        known = np.fromiter((self.ranks.get(w, -1) for w in words), np.int64, len(words))
+        parts = [(np.flatnonzero(known >= 0), known[known >= 0].astype(np.int32), np.ones(int((known >= 0).sum()), np.int64))]
+        rest = np.flatnonzero(known < 0)
+        size = np.fromiter((len(words[i]) for i in rest.tolist()), np.int64, len(rest))
+        for i in rest[size > HUGE].tolist():
+            ids = np.array(by_heap(words[i], self.ranks), np.int32)
+            parts.append((np.array([i]), ids, np.array([len(ids)])))
+        for some, contract in ((size <= LONG, self.by_rows_of_words), ((size > LONG) & (size <= HUGE), self.by_rows_of_tokens)):
+            own, until = rest[some], np.cumsum(size[some])
             lo = 0
-            while lo < len(rest):
-                hi, size = lo, 0
-                while hi < len(rest) and (size < 100_000 or hi == lo):
-                    size += len(words[rest[hi]])
-                    hi += 1
-                part = rest[lo:hi]
-                for i, ids in zip(part, self.contract([words[i] for i in part], query), strict=True):
-                    out[i] = ids
+            while lo < len(own):
+                hi = max(lo + 1, int(np.searchsorted(until, (until[lo - 1] if lo else 0) + PART)))
+                parts.append((own[lo:hi], *contract([words[i] for i in own[lo:hi].tolist()])))
                 lo = hi
-        return out
+        sizes = np.zeros(len(words), np.int64)
+        for own, _, n in parts:
+            sizes[own] = n
+        starts = np.cumsum(sizes) - sizes
+        out = np.empty(int(sizes.sum()), np.uint32)
+        for own, ids, n in parts:
+            out[np.repeat(starts[own] - (np.cumsum(n) - n), n) + np.arange(len(ids))] = ids
+        return out, sizes
 
     def contract(self, words: list[bytes], query: str = ENCODE) -> list[np.ndarray]:
-        size = np.array([len(w) for w in words])
-        ends = np.cumsum(size)
+        """The ids of each word by either query."""
+        ids, sizes = (self.by_rows_of_words if query == ENCODE else self.by_rows_of_tokens)(words)
+        return np.split(ids, np.cumsum(sizes)[:-1])
+
+    def by_rows_of_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """ENCODE: ids, one word's after another's, and how many each has."""
+        n, size = len(words), np.fromiter(map(len, words), np.int64, len(words))
+        ends, flat = np.cumsum(size), np.frombuffer(b"".join(words), np.uint8)
+        place, word = np.arange(len(flat)), np.repeat(np.arange(n), size)
+        toks, ranks = np.full(len(flat) + 2 * n, -1, np.int32), np.full(len(flat) + n, NONE, np.int32)
+        toks[place + 2 * word + 1] = self.of_byte[flat]
+        pair = self.of_pair[flat[:-1].astype(np.int64) << 8 | flat[1:]]
+        pair[ends[:-1] - 1] = NONE
+        ranks[place[:-1] + word[:-1] + 1] = pair
+        lists = [pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends + k * np.arange(1, n + 1)]).astype(np.int32)), pa.array(x)) for k, x in ((2, toks), (1, ranks))]
+        self.con.register("start", pa.table({"word": np.arange(n, dtype=np.int32), "toks": lists[0], "ranks": lists[1]}))
+        got = self.con.sql(ENCODE).to_arrow_table()
+        self.con.unregister("start")
+        got = got.column("toks")
+        ids = np.concatenate([x.flatten().to_numpy() for x in got.chunks])
+        return ids[ids >= 0], pa.compute.list_value_length(got).to_numpy().astype(np.int64) - 2
+
+    def by_rows_of_tokens(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """ENCODE_LONG: ids, one word's after another's, and how many each has."""
+        size = np.fromiter(map(len, words), np.int64, len(words))
         flat = np.frombuffer(b"".join(words), np.uint8)
-        self.con.register("start", pa.table({"place": np.arange(ends[-1]), "word": np.repeat(np.arange(len(words), dtype=np.int32), size), "tok": self.of_byte[flat]}))
-        got = self.con.sql(query).to_arrow_table()
+        self.con.register("start", pa.table({"place": np.arange(len(flat)), "word": np.repeat(np.arange(len(words), dtype=np.int32), size), "tok": self.of_byte[flat]}))
+        got = self.con.sql(ENCODE_LONG).to_arrow_table()
         self.con.unregister("start")
-        word, tok = got.column("word").to_numpy(), got.column("tok").to_numpy()
-        cuts = np.searchsorted(word, np.arange(len(words) + 1))
-        return [tok[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        return got.column("tok").to_numpy(), np.bincount(got.column("word").to_numpy(), minlength=len(words))
 
 
 class BpeCodec:
@@ -215,18 +238,21 @@ class BpeCodec:
         self.chunks = ChunkEncoder(self.encode_chunks, limit=stretches)
 
     def contracted(self, runs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-        got = self.contractor.encode([w for r in runs for w in r])
-        return np.concatenate([np.asarray(x, np.uint32) for x in got]), np.fromiter(map(len, got), np.int64, len(got))
+        return self.contractor.encode([w for r in runs for w in r])
 
     def encode_chunks(self, runs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of stretches of text, one after another, and how many each has: split by the pattern, unknown words contracted together."""
-        words, counts = [], []
+        data, lengths, counts = [], [], []
         for r in runs:
-            own = [w.encode() for w in self.split(b"".join(r).decode())]
-            counts.append(sizes_of(r, np.fromiter(map(len, own), np.int64, len(own))))
-            words += own
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
-        ids, size = self.words.memo.values(self.words.places(np.frombuffer(b"".join(words), np.uint8), np.concatenate([[0], ends])))
+            raw = b"".join(r)
+            own = np.fromiter(map(len, self.split(raw.decode())), np.int64)  # characters; the words are the whole text
+            if not raw.isascii():
+                own = np.diff(np.append(np.flatnonzero(np.frombuffer(raw, np.uint8) & 0xC0 != 0x80), len(raw))[np.cumsum(own)], prepend=0)
+            data.append(raw)
+            lengths.append(own)
+            counts.append(sizes_of(r, own))
+        ends = np.cumsum(np.concatenate(lengths))
+        ids, size = self.words.memo.values(self.words.places(np.frombuffer(b"".join(data), np.uint8), np.concatenate([[0], ends])))
         total = np.concatenate([[0], np.cumsum(size)])[np.cumsum(np.concatenate(counts))]
         return ids, np.diff(total, prepend=0)
 
