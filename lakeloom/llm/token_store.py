@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakeloom.llm.chunks import ChunkEncoder, sizes_of
+from lakeloom.llm.chunks import ChunkEncoder, sizes_of, word_cuts
 from lakeloom.llm.common import held, map_arrow, only, written
 
 WRITER = {
@@ -72,12 +72,15 @@ def build_encoder(path: str) -> Encoder:
     length = np.zeros(max(vocabulary.values()) + 1, np.int64)  # bytes of each token, a character of the vocabulary being a byte
     length[list(vocabulary.values())] = list(map(len, vocabulary))
 
+    added = "|".join(re.escape(t.content) for t in tokenizer.get_added_tokens_decoder().values())
+    arises = re.compile(added.encode()).search if added else lambda text: None
+
     def encode(runs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+        runs = [part for r in runs for part in ([[k] for k in r] if len(r) > 1 and arises(b"".join(r)) else [r])]  # texts of added tokens that only joining makes
         got = [np.array(x.ids, np.uint32) for x in tokenizer.encode_batch_fast([b"".join(r).decode() for r in runs], add_special_tokens=False)]
         return np.concatenate(got), np.concatenate([sizes_of(r, length[x]) for r, x in zip(runs, got, strict=True)])
 
-    added = [re.escape(t.content) for t in tokenizer.get_added_tokens_decoder().values()]
-    return Encoder(ChunkEncoder(encode), "|".join(added), lambda text: tokenizer.encode(text, add_special_tokens=False).ids)
+    return Encoder(ChunkEncoder(encode, word_cuts), added, lambda text: tokenizer.encode(text, add_special_tokens=False).ids)
 
 
 def encoder(path: str) -> Encoder:

@@ -373,6 +373,31 @@ def test_token_store_reads_added_tokens_as_the_library(spark, tmp_path):
     assert got == {k: library.encode(t or "", add_special_tokens=False).ids + [0] for k, t in enumerate(texts)}
 
 
+def test_token_store_learns_a_word_once_whatever_sign_follows():
+    """A word with a comma used to be another stretch, which the library encoded again."""
+    own, given = token_store.build_encoder(P.path("byte_bpe_50k.json")), []
+    encode = own.plain.encode
+    own.plain.encode = lambda runs: given.extend(k for r in runs for k in r) or encode(runs)
+    texts = [" ".join(f"{w}{sign}" for w in ("elm", "Yew3", "ash")) + " oak" for sign in (",", ".", "!", "***", "'s", ";\n", "")]
+    got = [ids[a:b].tolist() for _, _, ids, bounds in own.column(pa.array(texts)) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    assert got == [own.whole(t) for t in texts]
+    assert len(given) == len(set(given)) and sum(b"ash" in k for k in given) == 1
+
+
+def test_token_store_cuts_at_signs_as_the_library_does():
+    own = token_store.build_encoder(P.path("byte_bpe_50k.json"))
+    r = random.Random(4)
+    pieces = ["a", "Z", "ll", "7", "é", "ß", "日", "\u0301", "²", "'", "'s", "'ll", "'re", "’s", ".", ",", "_", "-", "<|", "|>", "$$$", " ", "  ", "\n", "\n\n", "\t", "\xa0", "\u3000", "\x00", "\x7f", "endoftext"]
+    texts = ["".join(r.choice(pieces) for _ in range(r.randint(1, 12))) for _ in range(20_000)]
+    # joined, the stretches of these two make an added token
+    for some in (texts, ["b<|endoftext", "b|>c", "b,d"], ["x<|endoftext y|>c <|endoftext"]):
+        got = [ids[a:b].tolist() for _, _, ids, bounds in own.column(pa.array(some)) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        assert got == [own.whole(t) for t in some]
+    signs = [b"<|endoftext", b"|>c", b",d"]
+    ids, sizes = own.plain.encode([signs])
+    assert ids.tolist() == [n for k in signs for n in own.whole(k.decode())] and sizes.tolist() == [len(own.whole(k.decode())) for k in signs]
+
+
 def test_token_store_encodings(spark, docs, tmp_path):
     import pyarrow.parquet as pq
 
